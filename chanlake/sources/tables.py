@@ -69,6 +69,7 @@ def write_bucketed(
         bucketed.repartition(F.col(BUCKET), dealt)
         .sortWithinPartitions(*order)
         .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
         .parquet(path)
     )
