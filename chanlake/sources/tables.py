@@ -54,9 +54,10 @@ def write_bucketed(
     spread_by: str = "id",
     buckets: int = DEFAULT_BUCKETS,
     spread: int = 8,
-    mode: str = "overwrite",
+    dynamic: bool = True,
 ) -> None:
-    """Write a table in channel buckets, replacing only the buckets present in ``df``.
+    """Write a table in channel buckets, replacing only the buckets present in ``df``
+    (all of them if not ``dynamic``).
 
     Rows of a bucket are dealt to ``spread`` tasks by ``spread_by``, so that a channel
     holding a large share of all rows is not written by one task. Row order inside a
@@ -68,8 +69,8 @@ def write_bucketed(
     (
         bucketed.repartition(F.col(BUCKET), dealt)
         .sortWithinPartitions(*order)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy(BUCKET)
         .parquet(path)
     )
