@@ -1 +1,10 @@
 """Named queries over the given tables, with the SQL each must equal."""
+
+from __future__ import annotations
+
+from chanlake.catalog import messages
+from chanlake.catalog.base import Entry
+
+ENTRIES: dict[str, Entry] = {
+    **messages.ENTRIES,
+}

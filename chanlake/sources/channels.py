@@ -42,7 +42,7 @@ def decode_channels(texts: DataFrame, value: str = "value") -> DataFrame:
     """
     fields = ddl({**CHANNEL_DOC, CORRUPT: "string"})
     record = F.from_json(value, fields, {"columnNameOfCorruptRecord": CORRUPT})
-    rows = texts.withColumn("_record", record)
+    rows = texts.select("*", F.explode(F.array(record)).alias("_record"))  # parsed once
     return rows.select(
         *(c for c in texts.columns),
         *(F.col(f"_record.{name}").alias(name) for name in CHANNEL_DOC),

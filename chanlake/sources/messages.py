@@ -23,7 +23,7 @@ ERROR = "decode_error"
 
 # Where two objects meet on one line. An unescaped quote and a key cannot follow a
 # brace inside a JSON string, so text that holds "}{" is never cut.
-GLUE = r'(?<=\})(?=\s*\{\s*"\w+"\s*:)'
+GLUE = r'(?<=\})(?=\{\s*"\w+"\s*:)'
 
 
 def read_lines(
@@ -49,7 +49,7 @@ def repair_concatenated_json(lines: DataFrame, value: str = "value") -> DataFram
     return lines.withColumn(
         value,
         F.explode(
-            F.when(F.contains(value, F.lit("}")), F.split(value, GLUE)).otherwise(F.array(value))
+            F.when(F.contains(F.col(value), F.lit("}{")), F.split(value, GLUE)).otherwise(F.array(value))
         ),
     )
 
@@ -70,7 +70,9 @@ def decode(lines: DataFrame, schema: Schema = RAW_MESSAGE, value: str = "value")
     """
     fields = ddl({**schema, CORRUPT: "string"})
     record = F.from_json(value, fields, {"columnNameOfCorruptRecord": CORRUPT})
-    rows = lines.withColumn("_record", record)
+    # As a generator the record is parsed once per line: as a plain column the filters on
+    # its fields would be pushed below it and parse the line again for each of them.
+    rows = lines.select("*", F.explode(F.array(record)).alias("_record"))
     rows = rows.select(
         *(c for c in lines.columns if c not in schema),
         *(F.col(f"_record.{name}").alias(name) for name in schema),
