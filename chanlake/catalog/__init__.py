@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from chanlake.catalog import messages
+from chanlake.catalog import channels, identities, messages
 from chanlake.catalog.base import Entry
 
 ENTRIES: dict[str, Entry] = {
     **messages.ENTRIES,
+    **identities.ENTRIES,
+    **channels.ENTRIES,
 }

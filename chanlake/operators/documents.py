@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,29 +35,43 @@ def _text(value: Column) -> Column:
     return F.to_json(value)
 
 
+def _let(body: Callable[..., Column], *values: Column) -> Column:
+    """``body`` over values computed once per row, however often it uses them."""
+    bound = F.array(F.struct(*(v.alias(f"v{i}") for i, v in enumerate(values))))
+    return F.get(F.transform(bound, lambda s: body(*(s[f"v{i}"] for i in range(len(values))))), 0)
+
+
+def _overlay(old: Column, new: Column) -> Column:
+    """The keys of two objects, the new one's values winning."""
+    return F.map_concat(F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k)), new)
+
+
 def _merge_end(old: Column, new: Column, unique: bool) -> Column:
     """What stands at the end of a listed path."""
-    old_kind, new_kind = _kind(old), _kind(new)
-    both_objects = F.map_concat(
-        F.map_filter(_as_object(old), lambda k, _: ~F.map_contains_key(_as_object(new), k)),
-        _as_object(new),
-    )
-    fresh = _as_list(new)
-    if unique:
-        seen = F.transform(_as_list(old), _text)
-        fresh = F.filter(fresh, lambda v: ~F.array_contains(seen, _text(v)))
-    both_lists = F.concat(_as_list(old), fresh)
-    return (
-        F.when(new_kind.isNull(), old)
-        .when(old_kind.isNull(), new)
-        .when((old_kind == "OBJECT") & (new_kind == "OBJECT"), F.to_variant_object(both_objects))
-        .when((old_kind == "ARRAY") & (new_kind == "ARRAY"), both_lists.cast("variant"))
-        .when(
-            old_kind != new_kind,
-            F.raise_error(F.lit("types differ at a preserved path")).cast("variant"),
+
+    def objects(a: Column, b: Column) -> Column:
+        return F.to_variant_object(_overlay(a, b))
+
+    def lists(a: Column, b: Column) -> Column:
+        if unique:
+            seen = F.transform(a, _text)
+            b = F.filter(b, lambda v: ~F.array_contains(seen, _text(v)))
+        return F.concat(a, b).cast("variant")
+
+    def body(old: Column, new: Column, old_kind: Column, new_kind: Column) -> Column:
+        return (
+            F.when(new_kind.isNull(), old)
+            .when(old_kind.isNull(), new)
+            .when(
+                old_kind != new_kind,
+                F.raise_error(F.lit("types differ at a preserved path")).cast("variant"),
+            )
+            .when(new_kind == "OBJECT", _let(objects, _as_object(old), _as_object(new)))
+            .when(new_kind == "ARRAY", _let(lists, _as_list(old), _as_list(new)))
+            .otherwise(new)
         )
-        .otherwise(new)
-    )
+
+    return _let(body, old, new, _kind(old), _kind(new))
 
 
 def _merge_paths(old: Column, new: Column, paths: list[list[str]], unique: bool) -> Column:
@@ -65,40 +81,58 @@ def _merge_paths(old: Column, new: Column, paths: list[list[str]], unique: bool)
     result = new
     for step in sorted({path[0] for path in paths}):
         rest = [path[1:] for path in paths if path[0] == step]
-        result = _merge_step(old, result, step, rest, unique)
+        merge = _merge_items if ":" in step else _merge_field
+        result = merge(old, result, step, rest, unique)
     return result
 
 
-def _merge_step(
+def _merge_items(
     old: Column, new: Column, step: str, rest: list[list[str]], unique: bool
 ) -> Column:
-    if ":" in step:
-        key, wanted = step.split(":", 1)
-        old_items = _as_list(old)
-
-        def merge_item(item: Column) -> Column:
-            ident = F.try_variant_get(item, f"$.{key}", "string")
-            twin = F.get(
-                F.filter(old_items, lambda o: F.try_variant_get(o, f"$.{key}", "string") == ident),
-                0,
-            )
-            merged = _merge_paths(twin, item, rest, unique)
-            meant = twin.isNotNull() if wanted == ANY else twin.isNotNull() & (ident == wanted)
-            return F.when(meant, merged).otherwise(item)
-
-        merged_list = F.transform(_as_list(new), merge_item).cast("variant")
-        return F.when(
-            (_kind(new) == "ARRAY") & (_kind(old) == "ARRAY"), merged_list
-        ).otherwise(new)
-    old_map, new_map = _as_object(old), _as_object(new)
-    old_value = F.try_element_at(old_map, F.lit(step))
-    new_value = F.try_element_at(new_map, F.lit(step))
-    value = _merge_paths(old_value, new_value, rest, unique)
-    replaced = F.map_concat(
-        F.map_filter(new_map, lambda k, _: k != step), F.create_map(F.lit(step), value)
-    )
-    usable = (_kind(new) == "OBJECT") & (_kind(old) == "OBJECT") & value.isNotNull()
-    return F.when(usable, F.to_variant_object(replaced)).otherwise(new)
+    """``step`` selects list elements by one of their fields."""
+    key, wanted = step.split(":", 1)
+
+    def ident(item: Column) -> Column:
+        return F.try_variant_get(item, f"$.{key}", "string")
+
+    def merge_item(item: Column, twin: Column) -> Column:
+        meant = twin.isNotNull()
+        if wanted != ANY:
+            meant = meant & (ident(item) == wanted)
+        return F.when(meant, _merge_paths(twin, item, rest, unique)).otherwise(item)
+
+    def merge_lists(new: Column, old_items: Column, new_items: Column) -> Column:
+        def one(item: Column) -> Column:
+            same = F.filter(old_items, lambda o: ident(o) == ident(item))
+            return _let(merge_item, item, F.get(same, 0))
+
+        both = old_items.isNotNull() & new_items.isNotNull()
+        return F.when(both, F.transform(new_items, one).cast("variant")).otherwise(new)
+
+    return _let(merge_lists, new, _as_list(old), _as_list(new))
+
+
+def _merge_field(
+    old: Column, new: Column, step: str, rest: list[list[str]], unique: bool
+) -> Column:
+    """``step`` names a key of both objects."""
+
+    def put(new: Column, new_map: Column, value: Column) -> Column:
+        others = F.map_filter(new_map, lambda k, _: k != step)
+        replaced = F.to_variant_object(F.map_concat(others, F.create_map(F.lit(step), value)))
+        return F.when(value.isNull(), new).otherwise(replaced)
+
+    def merge_maps(new: Column, old_map: Column, new_map: Column) -> Column:
+        value = _merge_paths(
+            F.try_element_at(old_map, F.lit(step)),
+            F.try_element_at(new_map, F.lit(step)),
+            rest,
+            unique,
+        )
+        both = old_map.isNotNull() & new_map.isNotNull()
+        return F.when(both, _let(put, new, new_map, value)).otherwise(new)
+
+    return _let(merge_maps, new, _as_object(old), _as_object(new))
 
 
 def refresh_document(
@@ -111,12 +145,17 @@ def refresh_document(
     winning, lists are joined (without repeats on request), and a part the new document
     lacks comes from the old one. ``key:value`` selects a list element, ``key:*`` each.
     """
-    kept = F.map_filter(_as_object(old), lambda k, _: ~F.map_contains_key(_as_object(new), k))
-    overlaid = F.to_variant_object(F.map_concat(kept, _as_object(new)))
-    merged = _merge_paths(old, overlaid, [p.split(".") for p in paths], list_entries_are_unique)
-    if not paths:
-        merged = overlaid
-    return F.when(old.isNull(), new).when(new.isNull(), old).otherwise(merged)
+
+    def body(old: Column, new: Column) -> Column:
+        overlaid = _let(
+            lambda a, b: F.to_variant_object(_overlay(a, b)), _as_object(old), _as_object(new)
+        )
+        steps = [p.split(".") for p in paths]
+        if not steps:
+            return overlaid
+        return _merge_paths(old, overlaid, steps, list_entries_are_unique)
+
+    return F.when(old.isNull(), new).when(new.isNull(), old).otherwise(_let(body, old, new))
 
 
 def refresh_channel_docs(

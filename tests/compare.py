@@ -82,7 +82,7 @@ def main(argv):
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad = database(sf_dir), entry.oracle_sql(), 0
     for name, query in entry.queries().items():
-        if argv[1:] and name not in argv[1:]:
+        if argv[1:] and not any(name == a or (a.endswith("*") and entry.ENTRIES[name][0].__module__.endswith(a[:-1])) for a in argv[1:]):
             continue
         start = time.time()
         try:
