@@ -312,18 +312,10 @@ WHERE id > coalesce(mark, 0)"""
 
 def search_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every content type with a query."""
-    messages = flat(spark, sf_dir)
     kinds = ("document", "message", "photo", "url", "video", "voice")
-    found = [
-        search.search_messages(messages, '"K": 4', kind).select(
-            "channel_id", "id", F.lit(kind).alias("content_type")
-        )
-        for kind in kinds
-    ]
-    result = found[0]
-    for other in found[1:]:
-        result = result.unionByName(other)
-    return result
+    hits = search.search_messages(flat(spark, sf_dir), '"K": 4')
+    found = F.array_compact(F.array(*(F.when(search.content_type(kind), kind) for kind in kinds)))
+    return hits.select("channel_id", "id", F.explode(found).alias("content_type"))
 
 
 SEARCH_SQL = f"""WITH {MESSAGES_SQL},

@@ -77,12 +77,16 @@ def _merge_end(old: Column, new: Column, unique: bool) -> Column:
 def _merge_paths(old: Column, new: Column, paths: list[list[str]], unique: bool) -> Column:
     """``new`` with the parts of ``old`` that ``paths`` lead to merged in."""
     if [] in paths:
-        return _merge_end(old, new, unique)
+        return _let(lambda o, n: _merge_end(o, n, unique), old, new)
     result = new
     for step in sorted({path[0] for path in paths}):
         rest = [path[1:] for path in paths if path[0] == step]
         merge = _merge_items if ":" in step else _merge_field
-        result = merge(old, result, step, rest, unique)
+
+        def merged(o: Column, n: Column, merge=merge, step=step, rest=rest) -> Column:
+            return merge(o, n, step, rest, unique)
+
+        result = _let(merged, old, result)
     return result
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from chanlake.functions.dates import days_since
@@ -33,6 +33,11 @@ LINKED = "linked"
 # --- edges ---------------------------------------------------------------------------
 
 
+def _tagged(targets: Column, kind: str) -> Column:
+    edges = F.transform(targets, lambda v: F.struct(v.alias("dst"), F.lit(kind).alias("kind")))
+    return F.coalesce(edges, F.array().cast("array<struct<dst:string,kind:string>>"))
+
+
 def channel_edges(docs: DataFrame) -> DataFrame:
     """Distinct ``src, dst, kind`` edges held in channel documents."""
     source = F.col("full_chat.id").alias("src")
@@ -42,15 +47,7 @@ def channel_edges(docs: DataFrame) -> DataFrame:
         LINKED: other_chats(F.col("chats"), F.col("full_chat.id")),
     }
     # One scan of the documents: the three lists are tagged and exploded together.
-    tagged = F.concat(
-        *(
-            F.coalesce(
-                F.transform(values, lambda v, k=kind: F.struct(v.alias("dst"), F.lit(k).alias("kind"))),
-                F.array().cast("array<struct<dst:string,kind:string>>"),
-            )
-            for kind, values in lists.items()
-        )
-    )
+    tagged = F.concat(*(_tagged(values, kind) for kind, values in lists.items()))
     return docs.select(source, F.inline(tagged)).distinct()
 
 
@@ -278,7 +275,8 @@ def snowball(
     )
     best = materialised(start, "snowball")
     changed = best
-    while not changed.isEmpty():
+    improved = not best.isEmpty()
+    while improved:
         # Priority from which a channel's neighbours count: its own, or that of a
         # channel it is linked from.
         through_links = changed.join(links, changed["channel_id"] == links["src"]).select(
@@ -301,14 +299,22 @@ def snowball(
             .agg(F.min("priority").alias("priority"))
         )
         known = best.withColumnRenamed("priority", "_known")
+        better = F.col("_known").isNull() | F.coalesce(
+            F.col("priority") < F.col("_known"), F.lit(False)
+        )
+        # The write itself counts what got better: no further job decides on another round.
+        watch = Observation()
         merged = materialised(
-            known.join(reached, "channel_id", "full").select(
+            known.join(reached, "channel_id", "full")
+            .select(
                 "channel_id",
                 F.least("priority", "_known").alias("priority"),
-                (F.col("_known").isNull() | (F.col("priority") < F.col("_known"))).alias("_better"),
-            ),
+                better.alias("_better"),
+            )
+            .observe(watch, F.count_if("_better").alias("better")),
             "snowball",
         )
+        improved = watch.get["better"] > 0
         best = merged.drop("_better")
         changed = merged.filter("_better").drop("_better")
     return best

@@ -33,7 +33,7 @@ def observation_arrays(observations: DataFrame, page_rows: int = PAGE_ROWS) -> D
         *MESSAGE,
         "page",
         *(
-            F.transform("_steps", lambda s, n=name: s[n]).alias(name)
+            F.col(f"_steps.{name}").alias(name)
             for name in ("queried_at", "views", "forwards", "edit_date", "replies")
         ),
         F.transform("_steps", lambda s: F.map_from_entries(s["reactions"])).alias("reactions"),

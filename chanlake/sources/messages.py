@@ -27,10 +27,13 @@ GLUE = r'(?<=\})(?=\{\s*"\w+"\s*:)'
 
 
 def read_lines(
-    spark: SparkSession, path: str | list[str], modified_after: str | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    modified_after: str | None = None,
+    files: str = MESSAGE_FILES,
 ) -> DataFrame:
     """Non-blank lines of all message files below ``path``, with their file's path and time."""
-    reader = spark.read.option("pathGlobFilter", MESSAGE_FILES).option("recursiveFileLookup", True)
+    reader = spark.read.option("pathGlobFilter", files).option("recursiveFileLookup", True)
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
     return with_source(reader.text(path))
@@ -157,9 +160,11 @@ def decode_messages(
     path: str | list[str],
     schema: Schema = RAW_MESSAGE,
     modified_after: str | None = None,
+    files: str = MESSAGE_FILES,
 ) -> DataFrame:
     """All records below ``path``, good and bad: read, repair, decode."""
-    return decode(repair_concatenated_json(read_lines(spark, path, modified_after)), schema)
+    lines = read_lines(spark, path, modified_after, files)
+    return decode(repair_concatenated_json(lines), schema)
 
 
 def scan_messages(

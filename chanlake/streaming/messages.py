@@ -9,7 +9,11 @@ from pyspark.sql.streaming import StreamingQuery
 from chanlake.operators.filters import content_only, service_side
 from chanlake.operators.flatten import flatten_messages, flatten_service
 from chanlake.operators.upsert import MESSAGE_KEY, upsert_table
-from chanlake.plans.message_tables import MessageTables, with_channel_and_period
+from chanlake.plans.message_tables import (
+    PATH_TEMPLATE,
+    MessageTables,
+    with_channel_and_period,
+)
 from chanlake.schemas import MESSAGES, SERVICE_MESSAGES
 from chanlake.session import materialised
 from chanlake.sources.messages import (
@@ -24,16 +28,18 @@ from chanlake.sources.tables import DEFAULT_BUCKETS
 
 
 def read_message_stream(
-    spark: SparkSession, raw: str, files_per_trigger: int | None = None
+    spark: SparkSession,
+    raw: str,
+    files_per_trigger: int | None = None,
+    template: str = PATH_TEMPLATE,
+    files: str = MESSAGE_FILES,
 ) -> DataFrame:
     """Decoded records of files as they appear below ``raw``, good and bad."""
-    reader = (
-        spark.readStream.option("pathGlobFilter", MESSAGE_FILES).option("recursiveFileLookup", True)
-    )
+    reader = spark.readStream.option("pathGlobFilter", files).option("recursiveFileLookup", True)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     lines = with_source(reader.text(raw))
-    return with_channel_and_period(decode(repair_concatenated_json(lines)))
+    return with_channel_and_period(decode(repair_concatenated_json(lines)), template)
 
 
 def stream_messages(
@@ -43,6 +49,8 @@ def stream_messages(
     checkpoint: str,
     buckets: int = DEFAULT_BUCKETS,
     files_per_trigger: int | None = None,
+    template: str = PATH_TEMPLATE,
+    files: str = MESSAGE_FILES,
 ) -> StreamingQuery:
     """Upsert new files into the tables, batch by batch, until all present ones are in.
 
@@ -71,7 +79,7 @@ def stream_messages(
         )
 
     return (
-        read_message_stream(spark, raw, files_per_trigger)
+        read_message_stream(spark, raw, files_per_trigger, template, files)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
