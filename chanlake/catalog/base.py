@@ -23,10 +23,17 @@ Entry = tuple[Query, str | None]
 KEY = bytes(range(32)).hex()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; its zone-less timestamps are read as UTC."""
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A given table; its zone-less timestamps are read as UTC.
+
+    With ``spread`` a table in fewer files than there are cores is dealt to all of them,
+    for work that costs more per row than moving the row. Large tables are left alone.
+    """
     configure(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if spread and len(df.inputFiles()) < cores:
+        df = df.repartition(cores)
     moments = {
         c: F.col(c).cast("timestamp") for c, kind in df.dtypes if kind == "timestamp_ntz"
     }
@@ -75,7 +82,7 @@ def _peer(tag: str, field: str, value: Column) -> Column:
 
 def events_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the number in their properties as ``k``."""
-    return table(spark, sf_dir, "events").withColumn(
+    return table(spark, sf_dir, "events", spread=True).withColumn(
         "k", F.regexp_extract("props", r"(\d+)", 1).cast("bigint")
     )
 

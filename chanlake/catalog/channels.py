@@ -130,7 +130,8 @@ def channel_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 2 == 0, F.lit("2024-02-01T00:00:00+00:00")).alias("last_queried_at"),
     )
     # The linked chat comes first on purpose: documents list theirs in any order.
-    return table(spark, sf_dir, "customer").select("c_custkey", F.to_json(document).alias("value"))
+    customers = table(spark, sf_dir, "customer", spread=True)
+    return customers.select("c_custkey", F.to_json(document).alias("value"))
 
 
 def channel_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

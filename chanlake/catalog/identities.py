@@ -17,7 +17,7 @@ from chanlake.catalog.base import (
 from chanlake.functions.anonymise import anonymise_action
 from chanlake.functions.nested import matching_chat
 from chanlake.functions.pseudonym import hashed, keyed, unkeyed
-from chanlake.functions.redact import extract_mentions, extract_urls, redact_entities
+from chanlake.functions.redact import redact_entities, rewrite
 from chanlake.operators import anonymise as A
 from chanlake.operators import pseudonyms as P
 from chanlake.schemas import CHANNEL_DOC, PRIVATE_MESSAGE, ddl
@@ -124,7 +124,7 @@ SCAN_MAPS_SQL = f"SELECT s_name AS original, {hmac_sql('s_name')} AS hash FROM s
 def deanonymise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders by hashed customer; every seventh customer is missing from the map."""
     known = customer_map(spark, sf_dir).filter(F.right("original", F.lit(1)) != "7")
-    orders = table(spark, sf_dir, "orders").withColumn(
+    orders = table(spark, sf_dir, "orders", spread=True).withColumn(
         "name", F.format_string("Customer#%09d", "o_custkey")
     )
     hashed_orders = P.with_hashes(orders, {"name": "name"}, KEY).select("o_orderkey", "name")
@@ -138,7 +138,7 @@ FROM orders JOIN customer ON o_custkey = c_custkey"""
 
 def safe_anonymise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the orders already hold a pseudonym."""
-    orders = table(spark, sf_dir, "orders").withColumn(
+    orders = table(spark, sf_dir, "orders", spread=True).withColumn(
         "name", F.format_string("Customer#%09d", "o_custkey")
     )
     mixed = unkeyed(
@@ -156,7 +156,7 @@ SELECT o_orderkey, {hmac_sql('c_name')} AS name FROM orders JOIN customer ON o_c
 
 def unmapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = customer_map(spark, sf_dir).filter(F.right("original", F.lit(1)) != "7")
-    orders = table(spark, sf_dir, "orders").withColumn(
+    orders = table(spark, sf_dir, "orders", spread=True).withColumn(
         "name", F.format_string("Customer#%09d", "o_custkey")
     )
     return P.unmapped(P.with_hashes(orders, {"name": "name"}, KEY), known, "name")
@@ -172,7 +172,7 @@ _EMAIL = "[A-Za-z0-9._-]+@[A-Za-z0-9.-]+[A-Za-z0-9]"
 
 def redact_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose e-mail addresses are entities, with the spans found by pattern."""
-    documents = table(spark, sf_dir, "documents").filter(F.col("text").rlike(_EMAIL))
+    documents = table(spark, sf_dir, "documents", spread=True).filter(F.col("text").rlike(_EMAIL))
     # Alternating pieces: text, address, text, ... The offsets are running lengths.
     found = F.regexp_extract_all("text", F.lit(f"({_EMAIL})"), F.lit(1))
     rest = F.split("text", _EMAIL, -1)
@@ -227,7 +227,7 @@ def _entity(kind: str, offset: Column, length: Column, url: Column | None = None
 
 def _order_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as messages: ``😀 hi @<customer>, see https://x.example/<order> bye``."""
-    orders = table(spark, sf_dir, "orders").withColumn(
+    orders = table(spark, sf_dir, "orders", spread=True).withColumn(
         "name", F.format_string("Customer#%09d", "o_custkey")
     )
     link = F.concat(F.lit("https://x.example/"), "o_orderkey")
@@ -244,12 +244,12 @@ def _order_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def redact_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     notes = keyed(_order_notes(spark, sf_dir), KEY)
-    message, entities = F.col("message"), F.col("entities")
-    return notes.select(
+    parts = rewrite(F.col("message"), F.col("entities"))
+    return notes.select("o_orderkey", parts.alias("parts")).select(
         "o_orderkey",
-        redact_entities(message, entities).alias("redacted"),
-        list_text(extract_mentions(message, entities)).alias("mentions"),
-        list_text(extract_urls(message, entities)).alias("urls"),
+        F.col("parts.message").alias("redacted"),
+        list_text("parts.text_mentions").alias("mentions"),
+        list_text("parts.text_urls").alias("urls"),
     )
 
 

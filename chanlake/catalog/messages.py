@@ -183,7 +183,8 @@ def _written_lines(spark: SparkSession, sf_dir: str) -> str:
         .otherwise(F.col("value"))
     )
     path = work_path(spark, "logs")
-    lines.select("channel_id", value.alias("value")).write.partitionBy("channel_id").text(path)
+    rows = lines.select("channel_id", value.alias("value")).repartition("channel_id")
+    rows.write.partitionBy("channel_id").text(path)
     return path
 
 

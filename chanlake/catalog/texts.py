@@ -24,7 +24,7 @@ LANGUAGES = ["de", "en", "es", "fr"]
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents with handles, tags and links put before and after them."""
-    documents = table(spark, sf_dir, "documents")
+    documents = table(spark, sf_dir, "documents", spread=True)
     text = F.concat(
         F.lit("@"), "lang", F.lit("_"), "source", F.lit(" a@b #"), "source", F.lit(" "), "text",
         F.lit(" see https://x.example/"), "doc_id", F.lit(" or www.y.example, t.me/"), "source", F.lit(" end"),
@@ -98,7 +98,7 @@ FROM customer JOIN events ON user_id = c_custkey WHERE event_type = 'view'"""
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", spread=True).select(
         "doc_id", F.col("lang").alias("language"), "text"
     )
 

@@ -14,27 +14,26 @@ def collection_cutoff(now: Column) -> Column:
     return now - F.expr(f"INTERVAL {COLLECTION_LAG_DAYS} DAYS")
 
 
-def _pairs(edges: Column) -> Column:
-    return F.transform(
-        F.slice(edges, 1, F.greatest(F.size(edges) - 1, F.lit(0))),
-        lambda start, i: F.struct(start.alias("start"), F.get(edges, i + 1).alias("end")),
+def _bins(start: Column, end: Column, step: str) -> Column:
+    """Consecutive bins of one step from ``start``; one that ends after ``end`` is left out."""
+    width = F.expr(f"INTERVAL {step}")
+    edges = F.when(start <= end, F.sequence(start, end, width))
+    bins = F.transform(edges, lambda at: F.struct(at.alias("start"), (at + width).alias("end")))
+    return F.coalesce(
+        F.filter(bins, lambda b: b["end"] <= end),
+        F.array().cast("array<struct<start:timestamp,end:timestamp>>"),
     )
 
 
-def _edges(start: Column, end: Column, step: str) -> Column:
-    return F.when(start <= end, F.sequence(start, end, F.expr(f"INTERVAL {step}")))
-
-
 def month_bins(created: Column, cutoff: Column) -> Column:
-    """Whole months from the month of ``created``; one ending after the cutoff is left out."""
-    bins = _pairs(_edges(F.date_trunc("month", created).cast("timestamp"), cutoff, "1 MONTH"))
-    return F.coalesce(bins, F.array().cast("array<struct<start:timestamp,end:timestamp>>"))
+    """Whole months from the month of ``created`` up to the cutoff."""
+    return _bins(F.date_trunc("month", created).cast("timestamp"), cutoff, "1 MONTH")
 
 
 def hour_bins(now: Column, days: int = OBSERVATION_DAYS) -> Column:
     """Hourly bins over ``days``, the first one starting an hour before ``now``."""
     first = now - F.expr("INTERVAL 1 HOUR")
-    return _pairs(_edges(first, now + F.expr(f"INTERVAL {days} DAYS"), "1 HOUR"))
+    return _bins(first, now + F.expr(f"INTERVAL {days} DAYS"), "1 HOUR")
 
 
 def period_name(bin_: Column) -> Column:

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(body: Callable[..., Column], *values: Column) -> Column:
+    """``body`` over values computed once per row, however often it uses them."""
+    bound = F.array(F.struct(*(v.alias(f"v{i}") for i, v in enumerate(values))))
+    return F.get(F.transform(bound, lambda s: body(*(s[f"v{i}"] for i in range(len(values))))), 0)
+
+
 def navigate_path(obj: Column, path: str) -> Column:
     """Follow a dotted path: a number indexes a list, ``key:value`` picks the first
     element whose key has that value (numbers match their text form), anything else

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chanlake.functions.nested import let
+
 _OBJECT = "map<string,variant>"
 _LIST = "array<variant>"
 ANY = "*"
@@ -35,12 +35,6 @@ def _text(value: Column) -> Column:
     return F.to_json(value)
 
 
-def _let(body: Callable[..., Column], *values: Column) -> Column:
-    """``body`` over values computed once per row, however often it uses them."""
-    bound = F.array(F.struct(*(v.alias(f"v{i}") for i, v in enumerate(values))))
-    return F.get(F.transform(bound, lambda s: body(*(s[f"v{i}"] for i in range(len(values))))), 0)
-
-
 def _overlay(old: Column, new: Column) -> Column:
     """The keys of two objects, the new one's values winning."""
     return F.map_concat(F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k)), new)
@@ -66,18 +60,18 @@ def _merge_end(old: Column, new: Column, unique: bool) -> Column:
                 old_kind != new_kind,
                 F.raise_error(F.lit("types differ at a preserved path")).cast("variant"),
             )
-            .when(new_kind == "OBJECT", _let(objects, _as_object(old), _as_object(new)))
-            .when(new_kind == "ARRAY", _let(lists, _as_list(old), _as_list(new)))
+            .when(new_kind == "OBJECT", let(objects, _as_object(old), _as_object(new)))
+            .when(new_kind == "ARRAY", let(lists, _as_list(old), _as_list(new)))
             .otherwise(new)
         )
 
-    return _let(body, old, new, _kind(old), _kind(new))
+    return let(body, old, new, _kind(old), _kind(new))
 
 
 def _merge_paths(old: Column, new: Column, paths: list[list[str]], unique: bool) -> Column:
     """``new`` with the parts of ``old`` that ``paths`` lead to merged in."""
     if [] in paths:
-        return _let(lambda o, n: _merge_end(o, n, unique), old, new)
+        return let(lambda o, n: _merge_end(o, n, unique), old, new)
     result = new
     for step in sorted({path[0] for path in paths}):
         rest = [path[1:] for path in paths if path[0] == step]
@@ -86,7 +80,7 @@ def _merge_paths(old: Column, new: Column, paths: list[list[str]], unique: bool)
         def merged(o: Column, n: Column, merge=merge, step=step, rest=rest) -> Column:
             return merge(o, n, step, rest, unique)
 
-        result = _let(merged, old, result)
+        result = let(merged, old, result)
     return result
 
 
@@ -108,12 +102,12 @@ def _merge_items(
     def merge_lists(new: Column, old_items: Column, new_items: Column) -> Column:
         def one(item: Column) -> Column:
             same = F.filter(old_items, lambda o: ident(o) == ident(item))
-            return _let(merge_item, item, F.get(same, 0))
+            return let(merge_item, item, F.get(same, 0))
 
         both = old_items.isNotNull() & new_items.isNotNull()
         return F.when(both, F.transform(new_items, one).cast("variant")).otherwise(new)
 
-    return _let(merge_lists, new, _as_list(old), _as_list(new))
+    return let(merge_lists, new, _as_list(old), _as_list(new))
 
 
 def _merge_field(
@@ -134,9 +128,9 @@ def _merge_field(
             unique,
         )
         both = old_map.isNotNull() & new_map.isNotNull()
-        return F.when(both, _let(put, new, new_map, value)).otherwise(new)
+        return F.when(both, let(put, new, new_map, value)).otherwise(new)
 
-    return _let(merge_maps, new, _as_object(old), _as_object(new))
+    return let(merge_maps, new, _as_object(old), _as_object(new))
 
 
 def refresh_document(
@@ -151,7 +145,7 @@ def refresh_document(
     """
 
     def body(old: Column, new: Column) -> Column:
-        overlaid = _let(
+        overlaid = let(
             lambda a, b: F.to_variant_object(_overlay(a, b)), _as_object(old), _as_object(new)
         )
         steps = [p.split(".") for p in paths]
@@ -159,7 +153,7 @@ def refresh_document(
             return overlaid
         return _merge_paths(old, overlaid, steps, list_entries_are_unique)
 
-    return F.when(old.isNull(), new).when(new.isNull(), old).otherwise(_let(body, old, new))
+    return F.when(old.isNull(), new).when(new.isNull(), old).otherwise(let(body, old, new))
 
 
 def refresh_channel_docs(
