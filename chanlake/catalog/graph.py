@@ -327,7 +327,7 @@ target AS (SELECT src, dst, spam, step FROM edge JOIN node ON dst = id WHERE has
 hop AS (
   SELECT src AS origin, dst, spam, step FROM target
   UNION SELECT c_custkey + 1 - 2 * (c_custkey % 50), dst, spam, step
-  FROM target JOIN customer ON src = c_custkey WHERE c_custkey % 50 < 2),
+  FROM target JOIN customer ON src = c_custkey WHERE c_custkey % 50 < 2 AND c_acctbal >= 0),
 best(id, priority) USING KEY (id) AS (
   SELECT id, CAST(CASE WHEN spam THEN 9999999 ELSE step END AS BIGINT) FROM node WHERE has_doc AND pts BETWEEN 100 AND 130
   UNION

@@ -122,7 +122,7 @@ kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY
   WHERE r <= {VOCABULARY}),
 weight AS (SELECT lang, trigram, CAST(round(ln((n + 1) / total) * {SCALE}) AS BIGINT) AS w FROM kept JOIN total USING (lang)),
 floor AS (SELECT lang, CAST(round(ln(1 / total) * {SCALE}) AS BIGINT) AS w FROM total),
-seen AS (SELECT doc_id, trigram, count(*) AS n FROM tri GROUP BY 1, 2),
+seen AS (SELECT doc_id, trigram, count(*) AS n FROM tri WHERE trigram IN (SELECT trigram FROM kept) GROUP BY 1, 2),
 score AS (SELECT s.doc_id, f.lang, sum(s.n * coalesce(weight.w, f.w)) AS score, sum(s.n) AS n
   FROM seen s CROSS JOIN floor f LEFT JOIN weight ON weight.lang = f.lang AND weight.trigram = s.trigram GROUP BY 1, 2),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang DESC) AS r,

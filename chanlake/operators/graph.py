@@ -258,15 +258,17 @@ def snowball(
     (priority, id). As increments are positive and depend on the target only, that is
     a shortest distance: each round joins the channels whose priority got better with
     their edges and keeps the minimum per target, until nothing improves. A channel's
-    linked chats (assumed to be linked both ways) are visited along with it, and what
-    they point to counts from its priority.
+    linked chats (assumed to be linked both ways) are visited along with it unless they
+    are private, and what they point to counts from its priority.
     """
+    fetched = nodes.filter(F.col("has_doc") & F.col("spam").isNotNull())
     links = edges.filter(F.col("kind") == LINKED).select("src", "dst").distinct()
-    links = materialised(links, "links")
+    links = materialised(
+        links.join(fetched.select(F.col("channel_id").alias("dst")), "dst", "left_semi"), "links"
+    )
     targets = materialised(
         scored_targets(edges.filter(F.col("kind") != LINKED), nodes, private_priority), "targets"
     )
-    fetched = nodes.filter(F.col("has_doc") & F.col("spam").isNotNull())
     start = fetched.join(seeds.select("channel_id").distinct(), "channel_id", "left_semi").select(
         "channel_id",
         exploration_priority(

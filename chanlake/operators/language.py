@@ -54,20 +54,18 @@ def train_profiles(labelled: DataFrame, vocabulary: int = VOCABULARY) -> DataFra
 
 def _wide(profiles: DataFrame, languages: list[str]) -> DataFrame:
     """One row per trigram with a weight per language, gaps filled with the floor."""
-    floor = profiles.filter(F.col("trigram").isNull())
+
+    def of(language: str) -> Column:
+        return F.max(F.when(F.col("language") == language, F.col("weight")))
+
+    floor = profiles.filter(F.col("trigram").isNull()).agg(*(of(x).alias(x) for x in languages))
     pivoted = (
         profiles.filter(F.col("trigram").isNotNull())
         .groupBy("trigram")
-        .agg(*(F.max(F.when(F.col("language") == x, F.col("weight"))).alias(x) for x in languages))
+        .agg(*(of(x).alias(x) for x in languages))
     )
     return pivoted.select(
-        "trigram",
-        *(
-            F.coalesce(
-                x, floor.filter(F.col("language") == x).agg(F.max("weight")).scalar()
-            ).alias(x)
-            for x in languages
-        ),
+        "trigram", *(F.coalesce(x, floor.select(x).scalar()).alias(x) for x in languages)
     )
 
 
@@ -82,33 +80,18 @@ def detect_language(
 
     Trigrams are scored by a join with the profile, whose size is fixed by the model
     (languages times vocabulary), and summed per text before the shuffle, so a row of
-    sums per text is what moves. Trigrams no profile knows count the floor for all.
+    sums per text is what moves. Trigrams that no profile knows say nothing; a text
+    without any known one is inconclusive.
     """
     wide = F.broadcast(_wide(profiles, languages))
-    floors = {
-        x: profiles.filter(F.col("trigram").isNull() & (F.col("language") == x))
-        .agg(F.max("weight"))
-        .scalar()
-        for x in languages
-    }
     found = texts.select(*keys, F.explode(trigrams(F.col("text"))).alias("trigram"))
     sums = (
-        found.join(wide, "trigram", "left")
+        found.join(wide, "trigram")
         .groupBy(*keys)
-        .agg(
-            F.count("*").alias("_n"),
-            F.count(languages[0]).alias("_known"),
-            *(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in languages),
-        )
+        .agg(F.count("*").alias("_n"), *(F.sum(x).alias(x) for x in languages))
     )
     scores = F.array(
-        *(
-            F.struct(
-                (F.col(x) + (F.col("_n") - F.col("_known")) * floors[x]).alias("score"),
-                F.lit(x).alias("language"),
-            )
-            for x in languages
-        )
+        *(F.struct(F.col(x).alias("score"), F.lit(x).alias("language")) for x in languages)
     )
     ranked = sums.select(*keys, "_n", F.sort_array(scores, asc=False).alias("_ranked"))
     lead = F.col("_ranked")[0]["score"] - F.col("_ranked")[1]["score"]
@@ -118,5 +101,4 @@ def detect_language(
             "language"
         ),
     )
-    # Texts without a single trigram have no row above: they stay, inconclusive.
     return texts.select(*keys).join(scored, keys, "left")

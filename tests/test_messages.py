@@ -150,7 +150,6 @@ def test_build_tables_incrementally(spark, raw, tmp_path):
     assert build_message_tables(spark, raw, tables, buckets=4)
     messages = spark.read.parquet(tables.messages)
     assert messages.count() == 9 + 1
-    assert messages.filter("channel_id='chan2'").first().message == "newer" or True
     assert rows(spark.read.parquet(tables.service), "id") == [(5,), (6,)]
     assert spark.read.parquet(tables.quarantine).count() == len(BAD)
     # nothing new
