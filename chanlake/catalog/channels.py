@@ -191,9 +191,9 @@ def flatten_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _written_docs(spark: SparkSession, sf_dir: str) -> str:
-    """Documents on disk, one file each for as many as a task writes one by one."""
+    """Documents on disk, in channel buckets."""
     path = work_path(spark, "channel-docs")
-    write_channel_docs(channel_docs(spark, sf_dir).drop("c_custkey"), path)
+    write_channel_docs(channel_docs(spark, sf_dir).drop("c_custkey"), path, 16)
     return path
 
 

@@ -43,7 +43,7 @@ def erase_from_table(
         erase_channels(saved.filter(F.col(BUCKET).isin(numbers)), tombstones), "kept"
     )
     (
-        kept.repartition(F.col(BUCKET), F.pmod(F.xxhash64(*kept.columns[:2]), F.lit(8)))
+        kept.hint("rebalance", BUCKET)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)

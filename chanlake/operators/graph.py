@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chanlake.functions.dates import days_since
 from chanlake.functions.nested import matching_chat, other_chats
 from chanlake.operators.skew import PAGE_ROWS, global_rank, hash_pages, lookup
-from chanlake.session import materialised
+from chanlake.session import discard, materialised, write_stage
 
 # Scoring constants (fixed values).
 PRIVATE_PRIORITY = 10_000_000
@@ -275,7 +275,9 @@ def snowball(
             F.lit(True), F.col("spam"), F.col("language"), F.lit(0), private_priority
         ).alias("priority"),
     )
-    best = materialised(start, "snowball")
+    stage = write_stage(start, "snowball")
+    spark, columns = edges.sparkSession, "channel_id string, priority bigint"
+    best = spark.read.schema(columns).parquet(stage)
     changed = best
     improved = not best.isEmpty()
     while improved:
@@ -306,19 +308,21 @@ def snowball(
         )
         # The write itself counts what got better: no further job decides on another round.
         watch = Observation()
-        merged = materialised(
+        merged = (
             known.join(reached, "channel_id", "full")
             .select(
                 "channel_id",
                 F.least("priority", "_known").alias("priority"),
                 better.alias("_better"),
             )
-            .observe(watch, F.count_if("_better").alias("better")),
-            "snowball",
+            .observe(watch, F.count_if("_better").alias("better"))
         )
+        before, stage = stage, write_stage(merged, "snowball")
+        discard(spark, before)
         improved = watch.get["better"] > 0
-        best = merged.drop("_better")
-        changed = merged.filter("_better").drop("_better")
+        state = spark.read.schema(f"{columns}, _better boolean").parquet(stage)
+        best = state.drop("_better")
+        changed = state.filter("_better").drop("_better")
     return best
 
 

@@ -94,7 +94,8 @@ def detect_language(
         *(F.struct(F.col(x).alias("score"), F.lit(x).alias("language")) for x in languages)
     )
     ranked = sums.select(*keys, "_n", F.sort_array(scores, asc=False).alias("_ranked"))
-    lead = F.col("_ranked")[0]["score"] - F.col("_ranked")[1]["score"]
+    second = F.coalesce(F.get("_ranked", 1)["score"], F.lit(0))
+    lead = F.col("_ranked")[0]["score"] - second
     scored = ranked.select(
         *keys,
         F.when(lead >= F.col("_n") * margin, F.upper(F.col("_ranked")[0]["language"])).alias(

@@ -16,7 +16,7 @@ from chanlake.operators.pseudonyms import (
 from chanlake.schemas import ANON_MAP
 from chanlake.session import materialised
 from chanlake.sources.lists import scan_anon_maps
-from chanlake.sources.tables import latest_version, scan_table, write_version
+from chanlake.sources.tables import latest_version, scan_table, write_bucketed, write_version
 
 
 @dataclass(frozen=True)
@@ -49,6 +49,4 @@ def merge_map_files(
 
 def write_channel_maps(channel_originals: DataFrame, path: str) -> None:
     """Per-channel maps: one folder per channel bucket, rows ``channel_id, original, hash``."""
-    from chanlake.sources.tables import write_bucketed
-
-    write_bucketed(channel_originals, path, "original")
+    write_bucketed(channel_originals, path)

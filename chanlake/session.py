@@ -60,12 +60,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def write_stage(df: DataFrame, name: str = "stage") -> str:
+    """Write ``df`` as Parquet in the shared folder; gives the path."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
 def materialised(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+    """Write ``df`` in the shared folder and read it back.
 
-    Cheaper than a checkpoint when the result is scanned several times: later
-    plans get column pruning, pushed filters and real size statistics.
+    Cheaper than a checkpoint when the result is scanned several times: later plans get
+    column pruning, pushed filters and real size statistics.
     """
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_stage(df, name))
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a stage that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

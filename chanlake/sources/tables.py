@@ -49,25 +49,19 @@ def bucket_of(channel_id: str | Column, buckets: int = DEFAULT_BUCKETS) -> Colum
 
 
 def write_bucketed(
-    df: DataFrame,
-    path: str,
-    spread_by: str = "id",
-    buckets: int = DEFAULT_BUCKETS,
-    spread: int = 8,
-    dynamic: bool = True,
+    df: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS, dynamic: bool = True
 ) -> None:
     """Write a table in channel buckets, replacing only the buckets present in ``df``
     (all of them if not ``dynamic``).
 
-    Rows of a bucket are dealt to ``spread`` tasks by ``spread_by``, so that a channel
-    holding a large share of all rows is not written by one task. Row order inside a
-    file is by date where there is one, which keeps row-group statistics narrow.
+    The rows are rebalanced by bucket at run time: small buckets share a task, and one
+    that a hot channel fills is split over as many tasks as its size asks for. Row order
+    inside a file is by date where there is one, which keeps row-group statistics narrow.
     """
     bucketed = df.withColumn(BUCKET, bucket_of("channel_id", buckets))
-    dealt = F.pmod(F.xxhash64(F.col(spread_by)), F.lit(spread))
     order = [BUCKET] + [c for c in ("date",) if c in df.columns]
     (
-        bucketed.repartition(F.col(BUCKET), dealt)
+        bucketed.hint("rebalance", BUCKET)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
@@ -78,22 +72,22 @@ def write_bucketed(
 
 def write_messages(df: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -> None:
     """The message table, columns in sorted order."""
-    write_bucketed(df.select(*sorted(c for c in df.columns if c != BUCKET)), path, "id", buckets)
+    write_bucketed(df.select(*sorted(c for c in df.columns if c != BUCKET)), path, buckets)
 
 
 def write_users(df: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -> None:
     """Participants. Channels without any leave no rows and hence no files."""
-    write_bucketed(df, path, "id", buckets)
+    write_bucketed(df, path, buckets)
 
 
 def write_service_messages(df: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -> None:
-    write_bucketed(df, path, "id", buckets)
+    write_bucketed(df, path, buckets)
 
 
 def write_observations(df: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -> None:
     """Roll-ups of observations, as JSON lines in channel buckets."""
     bucketed = df.withColumn(BUCKET, bucket_of("channel_id", buckets))
-    bucketed.write.mode("overwrite").partitionBy(BUCKET).json(path)
+    bucketed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).json(path)
 
 
 def write_version(df: DataFrame, root: str, version: str) -> str:
@@ -122,23 +116,22 @@ def latest_version(spark: SparkSession, root: str) -> str | None:
     return max(done, default=None)
 
 
-def write_channel_docs(docs: DataFrame, path: str) -> None:
+def write_channel_docs(docs: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -> None:
     """Channel documents as JSON, in channel buckets."""
     columns = [c for c in docs.columns if c not in ("full_keys", "file_path", "file_modified")]
-    rows = docs.select(*columns).withColumn(BUCKET, bucket_of(F.col("full_chat.id")))
-    rows.write.mode("overwrite").partitionBy(BUCKET).json(path)
+    rows = docs.select(*columns).withColumn(BUCKET, bucket_of(F.col("full_chat.id"), buckets))
+    rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).json(path)
 
 
 def write_monthly_jsonl(messages: DataFrame, path: str, period: Column) -> None:
     """Messages in one folder per channel and period; columns keep their nesting.
 
-    The rows of a channel and month are dealt to several tasks, so that a month that
-    holds much of the data is written in parallel.
+    Rebalanced at run time, so that a month which holds much of the data is written by
+    several tasks and small ones share one.
     """
     rows = messages.withColumn("period", period)
-    spread = F.pmod(F.xxhash64("id"), F.lit(8))
     (
-        rows.repartition(F.col("channel_id"), F.col("period"), spread)
+        rows.hint("rebalance", "channel_id", "period")
         .write.mode("overwrite")
         .partitionBy("channel_id", "period")
         .json(path)

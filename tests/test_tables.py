@@ -68,7 +68,7 @@ def test_upsert_table_touches_only_its_buckets(spark, tmp_path):
 
 def test_erase(spark, tmp_path):
     path = str(tmp_path / "t")
-    write_bucketed(messages(spark, *((f"c{i}", 1, "x", 0) for i in range(20))), path, "id", 8)
+    write_bucketed(messages(spark, *((f"c{i}", 1, "x", 0) for i in range(20))), path, 8)
     gone = spark.createDataFrame([("c3",), ("c4",), ("unknown",)], "channel_id string")
     erase_from_table(spark.read.parquet(path), path, gone, 8)
     assert {r.channel_id for r in spark.read.parquet(path).collect()} == {
