@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chanlake.session import materialised
+
 VOCABULARY = 20_000  # trigrams per language in a profile: the size of the model
 SCALE = 1000  # log-probabilities are kept as whole thousandths, so sums are exact
 MARGIN = 20  # least lead per trigram, in thousandths, for a conclusive answer
@@ -32,6 +34,8 @@ def train_profiles(labelled: DataFrame, vocabulary: int = VOCABULARY) -> DataFra
         .groupBy("language", "trigram")
         .agg(F.count("*").alias("n"))
     )
+    # The texts are read once: all that follows works on the counts.
+    counts = materialised(counts, "trigram-counts")
     top = Window.partitionBy("language").orderBy(F.desc("n"), F.asc("trigram"))
     kept = (
         counts.withColumn("_row", F.row_number().over(top))

@@ -38,10 +38,12 @@ def create_session(app_name: str = "chanlake", master: str | None = None, **conf
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only a session without the setting (a local test) gets a folder of its own.
+    Only a local session without the setting (a test) gets a folder of its own.
     """
-    root = spark.conf.get(CHECKPOINT_SETTING, None)
+    root = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="chanlake-")
         spark.conf.set(CHECKPOINT_SETTING, root)
     return root.rstrip("/")
