@@ -71,13 +71,16 @@ def difference(df, con, sql):
 def main(argv):
     sys.path.insert(0, ".")
     import __spark_entry__ as entry
-    from chanlake.session import create_session
+    from pyspark.sql import SparkSession
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    spark = create_session(
-        "compare",
-        "local[8]",
-        **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"},
+    # A session as any caller may make it: the library's settings are not in it.
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g")
+        .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad = database(sf_dir), entry.oracle_sql(), 0
@@ -89,6 +92,10 @@ def main(argv):
             df = query(spark, sf_dir)
             if name in sql:
                 problem = difference(df, con, sql[name])
+                plan = df._jdf.queryExecution().executedPlan().toString()
+                for node in ("NestedLoop", "Cartesian", "EvalPython"):
+                    if node in plan:
+                        print("   plan has", node)
             else:
                 problem = None if df.count() else "no rows"
         except Exception as error:  # report and go on with the next query
