@@ -88,11 +88,12 @@ def detect_language(
     without any known one is inconclusive.
     """
     wide = F.broadcast(_wide(profiles, languages))
-    found = texts.select(*keys, F.explode(trigrams(F.col("text"))).alias("trigram"))
+    # The outer explode and join keep texts without (known) trigrams: no second look at them.
+    found = texts.select(*keys, F.explode_outer(trigrams(F.col("text"))).alias("trigram"))
     sums = (
-        found.join(wide, "trigram")
+        found.join(wide, "trigram", "left")
         .groupBy(*keys)
-        .agg(F.count("*").alias("_n"), *(F.sum(x).alias(x) for x in languages))
+        .agg(F.count(languages[0]).alias("_n"), *(F.sum(x).alias(x) for x in languages))
     )
     scores = F.array(
         *(F.struct(F.col(x).alias("score"), F.lit(x).alias("language")) for x in languages)
@@ -100,10 +101,7 @@ def detect_language(
     ranked = sums.select(*keys, "_n", F.sort_array(scores, asc=False).alias("_ranked"))
     second = F.coalesce(F.get("_ranked", 1)["score"], F.lit(0))
     lead = F.col("_ranked")[0]["score"] - second
-    scored = ranked.select(
-        *keys,
-        F.when(lead >= F.col("_n") * margin, F.upper(F.col("_ranked")[0]["language"])).alias(
-            "language"
-        ),
+    conclusive = (F.col("_n") > 0) & (lead >= F.col("_n") * margin)
+    return ranked.select(
+        *keys, F.when(conclusive, F.upper(F.col("_ranked")[0]["language"])).alias("language")
     )
-    return texts.select(*keys).join(scored, keys, "left")

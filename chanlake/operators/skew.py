@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # A key is hot when it holds more than one row in this many. There can be no more hot
 # keys than that, whatever the data, so a list of them is always safe to broadcast.
 HOT_KEYS_MAX = 10_000
+HOT_ROWS_MIN = 10_000  # no key with fewer rows is worth splitting
 SALTS = 64
 PAGE_ROWS = 10_000
 
@@ -18,11 +19,14 @@ _SALT = "_salt"
 _HOT = "_hot"
 
 
-def hot_keys(df: DataFrame, keys: list[str], at_most: int = HOT_KEYS_MAX) -> DataFrame:
+def hot_keys(
+    df: DataFrame, keys: list[str], at_most: int = HOT_KEYS_MAX, min_rows: int = HOT_ROWS_MIN
+) -> DataFrame:
     """Keys with more than ``1 / at_most`` of the rows: fewer than ``at_most`` of them."""
     counts = df.filter(F.col(keys[0]).isNotNull()).groupBy(*keys).agg(F.count("*").alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
-    return counts.filter(F.col("_rows") > F.greatest(total / at_most, F.lit(1))).select(*keys)
+    least = F.greatest(total / at_most, F.lit(min_rows))
+    return counts.filter(F.col("_rows") > least).select(*keys)
 
 
 def lookup(
@@ -32,6 +36,7 @@ def lookup(
     spread_by: list[str],
     how: str = "left",
     at_most: int = HOT_KEYS_MAX,
+    min_rows: int = HOT_ROWS_MIN,
 ) -> DataFrame:
     """Join many rows with a table that has one row per key, splitting hot keys.
 
@@ -40,7 +45,7 @@ def lookup(
     are dealt out too. The deal is a function of the row, so a recomputed task gives
     the same rows.
     """
-    hot = F.broadcast(hot_keys(facts, keys, at_most).withColumn(_HOT, F.lit(True)))
+    hot = F.broadcast(hot_keys(facts, keys, at_most, min_rows).withColumn(_HOT, F.lit(True)))
     deal = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
     any_null = F.lit(False)
     for key in keys:

@@ -26,9 +26,10 @@ def test_lookup_equals_a_plain_join_when_a_key_is_hot(spark):
         F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")).alias("k"),
     )
     dim = spark.range(0, 2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    assert rows(hot_keys(facts, ["k"], at_most=100)) == [(7,)]
+    assert rows(hot_keys(facts, ["k"], at_most=100, min_rows=1)) == [(7,)]
+    assert rows(hot_keys(facts, ["k"])) == []
     for how in ("left", "inner"):
-        assert rows(lookup(facts, dim, ["k"], ["n"], how, at_most=100), "n", "k", "v") == rows(
+        assert rows(lookup(facts, dim, ["k"], ["n"], how, 100, 1), "n", "k", "v") == rows(
             facts.join(dim, "k", how), "n", "k", "v"
         )
 
