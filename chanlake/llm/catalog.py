@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chanlake.llm import decontaminate, lm, mixing, sharding, tokencount
+from chanlake.llm import decontaminate, lm, mixing, neardup, sharding, tokencount, topk
 from chanlake.llm.ship import ship
 from chanlake.session import configure, work_path
 
@@ -29,6 +29,22 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.filter("id % 50 = 0"), 5)
+
+
+OP4_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.curriculum(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     first = F.array_min("steps").alias("first_step")
@@ -67,6 +83,27 @@ FROM x
 """
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP6_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS v, doc_id AS o FROM documents UNION SELECT e.b, r.o FROM r JOIN e ON e.a = r.v),
+g AS (SELECT v, min(o) AS component_id FROM r GROUP BY v)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN g ON g.v = d.doc_id
+"""
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = tokencount.count_tokens(docs, tokenizer_path(), work_path(spark, "token-counts"))
@@ -118,7 +155,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ENTRIES = {
+    "op4_topk": (op4_topk, OP4_SQL),
     "op5_mixing": (op5_mixing, OP5_SQL),
+    "op6_near_duplicates": (op6_near_duplicates, OP6_SQL),
     "op8_token_counts": (op8_token_counts, None),
     "op9_decontamination": (op9_decontamination, OP9_SQL),
     "op10_sharding": (op10_sharding, None),
