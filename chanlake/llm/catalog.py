@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chanlake.llm import decontaminate, lm, mixing, neardup, sharding, tokencount, topk
+from chanlake.llm import decontaminate, langid, lm, mixing, neardup, quality, sharding, tokencount, topk
 from chanlake.llm.ship import ship
 from chanlake.session import configure, work_path
 
@@ -29,6 +29,19 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold("doc_id", 5) == 0).alias("held_out"))
+    model = langid.train(docs.filter(~F.col("held_out")))
+    found = langid.identify(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratio = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.resample(docs, ratio)
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, vectors.filter("id % 50 = 0"), 5)
@@ -155,6 +168,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ENTRIES = {
+    "op2_language": (op2_language, None),
+    "op3_quality": (op3_quality, None),
     "op4_topk": (op4_topk, OP4_SQL),
     "op5_mixing": (op5_mixing, OP5_SQL),
     "op6_near_duplicates": (op6_near_duplicates, OP6_SQL),

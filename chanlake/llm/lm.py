@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chanlake.llm.ship import extended
 from chanlake.llm.words import combine, mix, pieces, row_sums, word_hashes
 from chanlake.session import shared_dir
 
@@ -499,9 +500,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", keep: tuple[
     """
     base_total = model.tokens + ADD * (model.vocabulary + 1)
     passed = [id_column, *keep]
-    schema = docs.select(*passed).schema
-    for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double")):
-        schema = schema.add(name, kind)
+    schema = extended(docs.select(*passed), n_tokens="long", n_known="long", base_score="double", score="double")
 
     def work(batches):
         files = _Files(model.folder)

@@ -1,4 +1,4 @@
-"""Give the workers this package where the cluster has not installed it."""
+"""What a job with Python tasks needs: the package on the workers, result schemas."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _DONE: set[str] = set()
 
@@ -28,3 +29,9 @@ def ship(spark: SparkSession) -> SparkSession:
         context.addPyFile(path)
         _DONE.add(context.applicationId)
     return spark
+
+
+def extended(df: DataFrame, **fields: str) -> StructType:
+    """The schema of ``df`` with more fields, given as name and DDL type."""
+    more = StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in fields.items()))
+    return StructType([*df.schema.fields, *more.fields])
