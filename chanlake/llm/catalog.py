@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chanlake.llm import decontaminate, langid, lm, mixing, neardup, quality, sharding, tokencount, topk
+from chanlake.llm import decontaminate, langid, lm, mixing, neardup, quality, secrets, sharding, tokencount, topk
 from chanlake.llm.ship import ship
 from chanlake.session import configure, work_path
 
@@ -117,6 +117,14 @@ FROM d LEFT JOIN n USING (doc_id) JOIN g ON g.v = d.doc_id
 """
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, learn_from=fold("doc_id", 5) != 0)
+    held_out = (fold("doc_id", 5) == 0).alias("held_out")
+    return found.select("doc_id", held_out, "occurrence", F.sha2("value", 256).alias("value_sha256"),
+                        F.length("value").cast("bigint").alias("n_chars"), "probability", "is_secret")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = tokencount.count_tokens(docs, tokenizer_path(), work_path(spark, "token-counts"))
@@ -173,6 +181,7 @@ ENTRIES = {
     "op4_topk": (op4_topk, OP4_SQL),
     "op5_mixing": (op5_mixing, OP5_SQL),
     "op6_near_duplicates": (op6_near_duplicates, OP6_SQL),
+    "op7_secrets": (op7_secrets, None),
     "op8_token_counts": (op8_token_counts, None),
     "op9_decontamination": (op9_decontamination, OP9_SQL),
     "op10_sharding": (op10_sharding, None),

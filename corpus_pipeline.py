@@ -1,14 +1,65 @@
-"""A pipeline over the documents: STAGES, each written as Parquet and read by the next."""
+"""From raw documents to training shards: five stages, each written as Parquet and reread.
+
+A stage takes ``(spark, docs, sf_dir)`` and works on all rows that its predecessor kept. All
+but the last return the columns of ``documents``. An empty input gives an empty result.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chanlake.llm import decontaminate, langid, mixing, neardup, sharding
+from chanlake.llm.catalog import fold, table
+from chanlake.llm.ship import ship
+from chanlake.session import configure, materialised
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts in a language that was learned; those the identifier rejects go.
+
+    It learns from the labelled rows of its own input.
+    """
+    configure(ship(spark))
+    model = langid.train(docs.filter(fold("doc_id", 5) != 0).select("doc_id", "text", "lang"))
+    return langid.identify(docs, model).filter(~F.col("rejected")).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest id."""
+    configure(ship(spark))
+    found = neardup.near_duplicates(docs)
+    return docs.join(found.filter(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.filter("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The training mix in the order of its positions; a document has a row for each copy."""
+    configure(spark)
+    return mixing.training_order(mixing.curriculum(docs)).select(*docs.columns)
+
+
+def shard_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows with ``size``, ``shard`` and ``slot``."""
+    configure(spark)
+    return sharding.shard(docs)
+
 
-from chanlake.llm.catalog import table
-from chanlake.session import materialised
+STAGES = [
+    ("language_id", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", decontaminate_benchmark),
+    ("mixing", mix_sources),
+    ("sharding", shard_documents),
+]
 
-STAGES: list = []
-ORACLE_SQL = None  # best fit decreasing and the language model have no SQL
+# Centroids and best fit decreasing have no SQL: tests/llm compares with brute force.
+ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
