@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from chanlake.llm.ranges import digest, range_count, running_total
 
-WORD = r"[^\x20\x09-\x0D]+"
+GAP = r"[\x20\x09-\x0D]+"
 STEPS = 1_000_000  # training positions are given in millionths of the run
 
 
@@ -41,7 +41,7 @@ class Recipe:
 
 def word_count(text: str | Column) -> Column:
     """Words of a text; 0 for null."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")).cast("bigint")
 
 
 def source_targets(sizes: DataFrame, recipe: Recipe) -> DataFrame:

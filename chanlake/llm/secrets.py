@@ -74,8 +74,8 @@ def rule_labels(found: DataFrame) -> DataFrame:
 def dictionary(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``word``: letter runs of the candidates that the texts use as words, from a count of
     the words of all texts."""
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(rf"\b[a-z]{{{MIN_WORD},}}\b"), F.lit(0))).alias("word"))
-    often = words.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_COUNT).select("word")
+    words = docs.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word"))
+    often = words.filter(F.length("word") >= MIN_WORD).groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_COUNT).select("word")
     return often.join(found.select(F.explode(_parts()).alias("word")).distinct(), "word", "left_semi")
 
 
