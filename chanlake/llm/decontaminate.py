@@ -15,7 +15,7 @@ from chanlake.session import materialised
 
 WINDOW = 10
 RAREST = 2  # lists intersected before the rest of a window is confirmed
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -25,13 +25,14 @@ def words_of(text: str | Column) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     ascii_only = F.octet_length(text) == F.char_length(text)
     lowered = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
-    return F.coalesce(F.regexp_extract_all(lowered, F.lit(_WORD), F.lit(0)), F.array().cast("array<string>"))
+    return F.coalesce(F.array_remove(F.split(lowered, _GAP), ""), F.array().cast("array<string>"))
 
 
 def windows_of(items: DataFrame, width: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """Distinct windows ``window_id, terms`` and ``window_id, item_id``.
 
-    A shorter item is one window; items without words or without an id have none.
+    A shorter item is one window; items without words or without an id have none. The id is a
+    64-bit hash of the terms: small enough for the joins that spare the index a shuffle.
     """
     worded = items.filter("item_id IS NOT NULL").select("item_id", words_of("text").alias("_words"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("_words") - width, F.lit(0)))
@@ -40,7 +41,7 @@ def windows_of(items: DataFrame, width: int = WINDOW) -> tuple[DataFrame, DataFr
         .withColumn("_start", F.explode(starts))
         .select("item_id", F.slice("_words", F.col("_start") + 1, width).alias("terms"))
         .distinct()
-        .withColumn("window_id", F.sha2(F.array_join("terms", " "), 256))
+        .withColumn("window_id", F.xxhash64(F.array_join("terms", " ")))
     )
     return rows.select("window_id", "terms").distinct(), rows.select("window_id", "item_id")
 
@@ -105,7 +106,8 @@ def phrase_matches(index: DataFrame, windows: DataFrame, rarest: int = RAREST) -
 
 def _confirmed(index: DataFrame, candidates: DataFrame, ranked: DataFrame) -> DataFrame:
     """Candidates whose every term stands at its place, on the postings of their documents."""
-    near = index.join(candidates.select("doc").distinct(), "doc", "left_semi")
+    # candidates grow with the corpus: they are never broadcast, whatever their size here
+    near = index.join(candidates.select("doc").distinct().hint("merge"), "doc", "left_semi")
     expected = candidates.join(ranked.select("window_id", "offset", "term_id"), "window_id").withColumn(
         "pos", F.col("start") + F.col("offset")
     )
