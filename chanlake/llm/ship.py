@@ -12,11 +12,15 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+BATCH_ROWS = 1000
 _DONE: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Add the package's source as a zip to the session's Python files, once for a session."""
+    """Add the package's source as a zip to the session's Python files, once for a session,
+    and set the rows of a batch for Python tasks."""
+    # whole texts: smaller batches, as memory goes with the bytes of a batch
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId not in _DONE:
         package = Path(__file__).resolve().parent.parent
