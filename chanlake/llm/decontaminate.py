@@ -135,7 +135,8 @@ def proximity_matches(index: DataFrame, windows: DataFrame, slop: int, rarest: i
     shifts = F.explode(F.sequence(F.lit(-slop), F.lit(slop)))
     near = (
         anchors.join(wanted, "window_id")
-        .withColumn("pos", F.col("start") + F.col("offset") + shifts)
+        .withColumn("_shift", shifts)
+        .withColumn("pos", F.col("start") + F.col("offset") + F.col("_shift"))
         .join(index.withColumn("_hit", F.lit(1)), ["doc", "pos", "term_id"])
         .groupBy("doc", "start", "window_id")
         .agg(F.count_distinct("offset").alias("_hits"))

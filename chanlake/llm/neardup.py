@@ -327,7 +327,7 @@ def near_duplicates(
         "set_a", "set_b", "n_shingles", F.coalesce("component", "doc").alias("component_id")
     )
     found = signed.join(classes, ["set_a", "set_b", "n_shingles"], "left")
-    component = F.coalesce("component_id", "doc")
+    component = F.when(F.col("doc").isNotNull(), F.coalesce("component_id", "doc"))
     return found.select(
         F.col("doc").alias(id_column),
         "n_shingles",
