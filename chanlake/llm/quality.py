@@ -55,7 +55,8 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> Ratio:
     driver has one row for each bucket. No target at all gives ratios of 0.
     """
     good = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("_q"))
-    marked = docs.select("doc_id", "text").join(good, "doc_id", "left").select(
+    # labels grow with the corpus: they are never broadcast, whatever their size here
+    marked = docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left").select(
         "text", F.coalesce(F.col("_q") == 1, F.lit(False)).alias("target")
     )
 
