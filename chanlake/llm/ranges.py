@@ -28,17 +28,16 @@ def running_total(
     totals of the parts, at most ``ranges`` rows for a key, give the rest. Null keys are a key.
     """
     leading = F.conv(F.substring(order[0], 1, 7), 16, 10).cast("bigint")
-    df = df.withColumn("_range", F.floor(leading * ranges / float(1 << 28)).cast("int"))
-    df = df.withColumn("_value", value)
-    totals = df.groupBy(*keys, "_range").agg(F.sum("_value").alias("_sum"))
-    by_range = Window.partitionBy(*keys).orderBy("_range")
-    totals = totals.withColumn("_before", F.sum("_sum").over(by_range) - F.col("_sum")).select(
-        *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_range").alias("_r"), "_before"
-    )
-    inside = Window.partitionBy(*keys, "_range").orderBy(*order)
-    own = df.withColumn("_own", F.sum("_value").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_value"))
-    match = F.col("_range") == F.col("_r")
-    for i, k in enumerate(keys):
-        match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    joined = own.join(totals, match).withColumn(name, F.col("_own") + F.col("_before"))
-    return joined.drop("_range", "_r", "_value", "_own", "_before", *(f"_k{i}" for i in range(len(keys))))
+    at = F.floor(leading * ranges / float(1 << 28)).cast("int")
+    # one key column that is never null: the windows and the join are partitioned alike, so
+    # whole rows are shuffled once
+    key = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+    df = df.withColumns({"_key": key, "_range": at, "_value": value})
+    totals = df.groupBy("_key", "_range").agg(F.sum("_value").alias("_sum"))
+    by_range = Window.partitionBy("_key").orderBy("_range")
+    before = F.sum("_sum").over(by_range) - F.col("_sum")
+    totals = totals.select("_key", "_range", before.alias("_before"))
+    inside = Window.partitionBy("_key", "_range").orderBy(*order)
+    own = F.sum("_value").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_value")
+    joined = df.withColumn("_own", own).join(totals, ["_key", "_range"])
+    return joined.withColumn(name, F.col("_own") + F.col("_before")).drop("_key", "_range", "_value", "_own", "_before")
