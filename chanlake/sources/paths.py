@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from string import Formatter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,56 +16,28 @@ def list_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
-def template_fields(template: str) -> list[str]:
-    """Names of the placeholders of a ``{name}`` template, in order."""
-    return [name for _, name, _, _ in Formatter().parse(template) if name is not None]
-
-
-def fill(template: str, **values) -> str:
-    """Fill the given placeholders and keep the others as placeholders."""
-    keep = {name: "{" + name + "}" for name in template_fields(template)}
-    return template.format(**{**keep, **values})
-
-
-def params_template(*names: str) -> str:
-    return "_".join(f"{name}={{{name}}}" for name in names)
-
-
-def params_name(**values) -> str:
-    return "_".join(f"{name}={value}" for name, value in values.items())
-
-
-def template_regex(template: str, **fixed) -> tuple[str, list[str]]:
-    """A template as a regular expression, with the names of its groups in order."""
-    pattern, names = "", []
-    for text, name, _, _ in Formatter().parse(template):
-        pattern += re.escape(text)
-        if name is None:
-            continue
-        if name in fixed:
-            pattern += re.escape(str(fixed[name]))
-        else:
-            pattern += "(.+)"
-            names.append(name)
-    return pattern, names
+def _segments(template: str, fixed: dict) -> tuple[str, list[str]]:
+    """Literal and key segments of a ``{key}`` template as one pattern, and its free keys."""
+    parts = re.split(r"\{(\w+)\}", template)
+    literals, keys = parts[::2], parts[1::2]
+    found = [re.escape(str(fixed[key])) if key in fixed else "(.+)" for key in keys]
+    pattern = "".join(re.escape(literal) + key for literal, key in zip(literals, [*found, ""], strict=True))
+    return pattern, [key for key in keys if key not in fixed]
 
 
 def with_path_params(
     df: DataFrame, template: str, path: str | Column = "file_path", **fixed
 ) -> DataFrame:
-    """Add one column per free placeholder of ``template``, matched in the path's last parts.
+    """Add one column for each free key of ``template``, matched in the path's last parts.
 
     ``template`` may span folders, as in ``{channel_id}/{start}_to_{end}.jsonl``. Rows
     whose path does not match are dropped.
     """
-    pattern, names = template_regex(template, **fixed)
+    pattern, keys = _segments(template, fixed)
     column = F.col(path) if isinstance(path, str) else path
-    depth = template.count("/") + 1
-    tail = F.array_join(F.slice(F.split(column, "/"), -depth, depth), "/")
-    matched = df.filter(tail.rlike(pattern))
-    return matched.withColumns(
-        {name: F.regexp_extract(tail, pattern, i + 1) for i, name in enumerate(names)}
-    )
+    ending = F.substring_index(column, "/", -(template.count("/") + 1))
+    values = {key: F.regexp_extract(ending, pattern, n) for n, key in enumerate(keys, 1)}
+    return df.filter(ending.rlike(pattern)).withColumns(values)
 
 
 def only_modified_since(df: DataFrame, since: Column, column: str = "file_modified") -> DataFrame:

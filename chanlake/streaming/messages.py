@@ -87,9 +87,16 @@ def stream_messages(
     )
 
 
-def dedup_stream(messages: DataFrame, delay: str = "1 day", at: str = "date") -> DataFrame:
-    """The first reading of each message; a copy within ``delay`` is dropped."""
-    return messages.withWatermark(at, delay).dropDuplicatesWithinWatermark(MESSAGE_KEY)
+def dedup_stream(messages: DataFrame, arrival: str | None = None, delay: str = "1 day") -> DataFrame:
+    """The first reading of each message.
+
+    An archive is back-filled, so message dates do not follow arrival and are no watermark:
+    by default keys are remembered for good. With an ``arrival`` column (a file's time) they
+    are forgotten after ``delay``, and a later copy passes again.
+    """
+    if arrival is None:
+        return messages.dropDuplicates(MESSAGE_KEY)
+    return messages.withWatermark(arrival, delay).dropDuplicatesWithinWatermark(MESSAGE_KEY)
 
 
 def flat_stream(decoded: DataFrame) -> DataFrame:

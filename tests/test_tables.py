@@ -17,13 +17,7 @@ from chanlake.operators.search import merge_seeds_last_wins
 from chanlake.plans.anon_map import merge_map_files
 from chanlake.plans.channel_tables import build_channel_tables
 from chanlake.plans.message_tables import MessageTables
-from chanlake.sources.paths import (
-    fill,
-    params_name,
-    params_template,
-    template_fields,
-    with_path_params,
-)
+from chanlake.sources.paths import with_path_params
 from chanlake.sources.tables import scan_table, write_bucketed
 from chanlake.streaming.messages import stream_messages
 from tests.conftest import KEY, rows
@@ -185,10 +179,7 @@ def test_language(spark):
 
 
 def test_path_templates(spark):
-    template = params_template("chan", "month")
-    assert template == "chan={chan}_month={month}" and template_fields(template) == ["chan", "month"]
-    assert fill(template, chan="x") == "chan=x_month={month}"
-    assert params_name(a=1, b="c") == "a=1_b=c"
+    template = "chan={chan}_month={month}"
     df = spark.createDataFrame([("s3://r/d/chan=a.b_month=2.json",), ("s3://r/d/other.json",)], "file_path string")
     assert rows(with_path_params(df, template + ".json"), "chan", "month") == [("a.b", "2")]
     assert rows(with_path_params(df, template + ".json", chan="zz")) == []
