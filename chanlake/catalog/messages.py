@@ -100,18 +100,28 @@ SELECT channel_id, CASE WHEN tag = 'Message' AND comments_msg_id IS NULL THEN 'c
   count(*) AS messages FROM msg GROUP BY 1, 2"""
 
 
+_COMMENT_FIELDS = (
+    "comments_msg_id", "message", "views", "forwards", "from_type", "from_id", "media_type", "media_id",
+    "replies_to_msg_id", "fwd_from_id", "nr_replies",
+)
+
+
 def flatten_service(spark: SparkSession, sf_dir: str) -> DataFrame:
-    side = filters.service_side(raw_messages(spark, sf_dir))
-    service = flatten.flatten_service(side.filter(F.col("_") == "MessageService"))
-    return service.select("channel_id", "id", when_text("date").alias("date"), "action_type", "action")
+    """Service messages with their action, and old comments with all that a message has."""
+    service = flatten.flatten_service(filters.service_side(raw_messages(spark, sf_dir)))
+    return service.select(
+        "channel_id", "id", when_text("date").alias("date"), "action_type", "action", *_COMMENT_FIELDS
+    )
 
 
 SERVICE_SQL = f"""WITH {MESSAGES_SQL}
 SELECT channel_id, id, {when_sql('date')} AS date,
-  CASE WHEN k % 2 = 0 THEN 'MessageActionChatEditTitle' ELSE 'MessageActionChatAddUser' END AS action_type,
-  CASE WHEN k % 2 = 0 THEN '{{"title":"t' || k || '"}}'
-    ELSE '{{"users":[' || substr(channel_id, 2) || ',' || k || ']}}' END AS action
-FROM msg WHERE tag = 'MessageService'"""
+  CASE WHEN tag <> 'MessageService' THEN NULL WHEN k % 2 = 0 THEN 'MessageActionChatEditTitle'
+    ELSE 'MessageActionChatAddUser' END AS action_type,
+  CASE WHEN tag <> 'MessageService' THEN NULL WHEN k % 2 = 0 THEN '{{"title":"t' || k || '"}}'
+    ELSE '{{"users":[' || substr(channel_id, 2) || ',' || k || ']}}' END AS action,
+  {", ".join(_COMMENT_FIELDS)}
+FROM msg WHERE tag = 'MessageService' OR comments_msg_id IS NOT NULL"""
 
 
 def content_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -275,12 +275,18 @@ def service_written(spark: SparkSession, sf_dir: str) -> DataFrame:
         flatten.flatten_service(filters.service_side(raw_messages(spark, sf_dir))), path, BUCKETS
     )
     saved = spark.read.parquet(path)
-    return saved.groupBy("channel_id", "action_type").agg(F.count("*").alias("messages"))
+    return saved.groupBy("channel_id", "action_type").agg(
+        F.count("*").alias("messages"),
+        F.count("message").alias("texts"),
+        F.sum("views").alias("views"),
+        F.max("comments_msg_id").alias("last_commented"),
+    )
 
 
 SERVICE_WRITTEN_SQL = f"""WITH {MESSAGES_SQL}
 SELECT channel_id, CASE WHEN tag <> 'MessageService' THEN NULL WHEN k % 2 = 0 THEN 'MessageActionChatEditTitle'
-  ELSE 'MessageActionChatAddUser' END AS action_type, count(*) AS messages
+  ELSE 'MessageActionChatAddUser' END AS action_type, count(*) AS messages, count(message) AS texts,
+  CAST(sum(views) AS BIGINT) AS views, max(comments_msg_id) AS last_commented
 FROM msg WHERE tag = 'MessageService' OR comments_msg_id IS NOT NULL GROUP BY 1, 2"""
 
 
@@ -335,6 +341,66 @@ def tables_built(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(spark.read.parquet(tables.messages))
 
 
+def _arrives(spark: SparkSession, folder: str, raw: str) -> None:
+    """Move written logs below ``raw``: they get there late, with their old file times."""
+    jvm = spark.sparkContext._jvm
+    source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (folder, f"{raw}/late"))
+    source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(source, target)
+
+
+def late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files older than all that was read, of new and of known channels, come after the first run."""
+    lines = message_lines(spark, sf_dir)
+    early = (F.col("ts") < F.to_timestamp(F.lit("2024-01-20"))) & (F.col("k") % 3 > 0)
+    late = _logs(spark, lines.filter(~early))
+    raw, tables = _logs(spark, lines.filter(early)), _tables(spark)
+    build_message_tables(spark, raw, tables, BUCKETS, _LAYOUT, "*.txt")
+    _arrives(spark, late, raw)
+    build_message_tables(spark, raw, tables, BUCKETS, _LAYOUT, "*.txt")
+    return _summary(spark.read.parquet(tables.messages))
+
+
+def out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An older file with stale counts of all messages comes after the newest one."""
+    lines = message_lines(spark, sf_dir)
+    stale = _logs(spark, lines.withColumn("value", F.regexp_replace("value", '"views":-?[0-9]+', '"views":0')))
+    raw = _logs(spark, lines.filter(F.col("k") % 3 > 0))
+    tables = _tables(spark)
+    build_message_tables(spark, raw, tables, BUCKETS, _LAYOUT, "*.txt")
+    _arrives(spark, stale, raw)
+    build_message_tables(spark, raw, tables, BUCKETS, _LAYOUT, "*.txt")
+    return _summary(spark.read.parquet(tables.messages))
+
+
+OUT_OF_ORDER_SQL = f"""WITH {MESSAGES_SQL}
+SELECT channel_id, count(*) AS messages, CAST(sum(CASE WHEN k % 3 > 0 THEN views ELSE 0 END) AS BIGINT) AS views,
+  max(id) AS last_id, count(media_type) AS media FROM content GROUP BY channel_id"""
+
+
+def built_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over logs with bad lines and without service messages: the second does nothing."""
+    lines = message_lines(spark, sf_dir)
+    content = F.contains("value", F.lit('"_":"Message",')) & ~F.contains("value", F.lit('"comments_msg_id"'))
+    bad = F.col("k") % 13 == 1
+    value = F.when(bad, F.regexp_replace("value", '"id":', '"key":')).otherwise(F.col("value"))
+    raw, tables = _logs(spark, lines.filter(content).withColumn("value", value)), _tables(spark)
+    runs = [build_message_tables(spark, raw, tables, BUCKETS, _LAYOUT, "*.txt") for _ in range(2)]
+    good = spark.read.parquet(tables.messages).select("channel_id", F.lit(1).alias("good"))
+    channel = F.regexp_extract("file_path", "channel_id=([^/]+)", 1).alias("channel_id")
+    rest = spark.read.parquet(tables.quarantine).select(channel, F.lit(0).alias("good"))
+    return good.unionByName(rest).groupBy("channel_id").agg(
+        F.count_if(F.col("good") == 1).alias("messages"),
+        F.count_if(F.col("good") == 0).alias("bad_lines"),
+        F.first(F.lit(runs[1])).alias("second_changed"),
+        F.lit(spark.read.parquet(tables.service).count()).alias("service_messages"),
+    )
+
+
+TWICE_SQL = f"""WITH {MESSAGES_SQL}
+SELECT channel_id, count(*) FILTER (WHERE k % 13 <> 1) AS messages, count(*) FILTER (WHERE k % 13 = 1) AS bad_lines,
+  FALSE AS second_changed, CAST(0 AS BIGINT) AS service_messages FROM content GROUP BY channel_id"""
+
+
 # --- streams -------------------------------------------------------------------------
 
 
@@ -350,10 +416,13 @@ def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream that reads each message twice keeps one of them."""
-    lines = message_lines(spark, sf_dir)
-    raw = _logs(spark, lines.unionByName(lines))
-    decoded = read_message_stream(spark, raw, None, _LAYOUT, "*.txt").filter("decode_error is null")
+    """A stream that reads each message twice keeps one: four groups of files that span the
+    same dates, written twice and read one file a batch."""
+    group = F.concat(F.lit("g"), F.col("line_id") % 4)
+    lines = message_lines(spark, sf_dir).withColumn("channel_id", group)
+    raw = _logs(spark, lines)
+    _add_logs(lines, raw)
+    decoded = read_message_stream(spark, raw, 1, _LAYOUT, "*.txt").filter("decode_error is null")
     kept = dedup_stream(decoded.select("channel_id", "id", "date", "views"))
     path = work_path(spark, "dedup")
     query = (
@@ -368,7 +437,8 @@ def stream_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DEDUP_SQL = f"""WITH {EVENTS_SQL}
-SELECT channel_id, event_id AS id, {when_sql('ts')} AS date, CAST(round(value * 100) AS BIGINT) AS views FROM ev"""
+SELECT 'g' || event_id % 4 AS channel_id, event_id AS id, {when_sql('ts')} AS date,
+  CAST(round(value * 100) AS BIGINT) AS views FROM ev"""
 
 ENTRIES: dict[str, Entry] = {
     "month_bins": (month_bins, MONTHS_SQL),
@@ -387,6 +457,9 @@ ENTRIES: dict[str, Entry] = {
     "write_service_messages": (service_written, SERVICE_WRITTEN_SQL),
     "write_monthly_jsonl": (monthly_files, MONTHLY_SQL),
     "build_message_tables": (tables_built, WRITTEN_SQL),
+    "incremental_late_files": (late_files, WRITTEN_SQL),
+    "upsert_out_of_order": (out_of_order, OUT_OF_ORDER_SQL),
+    "no_service_rows_twice": (built_twice, TWICE_SQL),
     "stream_messages": (streamed, WRITTEN_SQL),
     "dedup_stream": (stream_deduplicated, DEDUP_SQL),
 }

@@ -65,18 +65,14 @@ def flatten_messages(
 def flatten_service(
     messages: DataFrame, keep: tuple[str, ...] = ("channel_id", "period", "file_modified")
 ) -> DataFrame:
-    """Service messages: the action's tag, and the rest of the action as JSON text."""
-    return to_schema(
-        messages.select(
-            *_keys(messages, keep),
-            "id",
-            "date",
-            M.action_type(F.col("action")).alias("action_type"),
-            M.action_body(F.col("action")).alias("action"),
-        ),
-        SERVICE_MESSAGES,
-        _keys(messages, keep),
+    """The service side: the action's tag, the rest of the action as JSON text, and all
+    columns of a message, which comments stored the old way fill."""
+    action = F.struct(
+        M.action_type(F.col("action")).alias("action_type"), M.action_body(F.col("action")).alias("action")
     )
+    rows = flatten_messages(messages.withColumn("_service", action), (*keep, "_service"))
+    rows = rows.select("*", "_service.action_type", "_service.action")
+    return to_schema(rows, SERVICE_MESSAGES, _keys(messages, keep))
 
 
 def without_matching_chat(docs: DataFrame) -> DataFrame:

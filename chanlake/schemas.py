@@ -135,11 +135,13 @@ MESSAGES: Schema = in_order(
     }
 )
 
+# Service messages and comments stored the old way: these are whole messages.
 SERVICE_MESSAGES: Schema = {
     "id": "bigint",
     "date": "timestamp",
     "action_type": "string",
     "action": "string",
+    **{name: kind for name, kind in MESSAGES.items() if name not in ("id", "date")},
 }
 
 # Constructor fields of a user. Nested ones that no operator reads stay JSON text.

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,6 +72,22 @@ def materialised(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(write_stage(df, name))
 
 
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Gives ``materialised`` for stages that are deleted at the end of the block."""
+    paths = []
+
+    def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+        paths.append(write_stage(df, name))
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield stage
+    finally:
+        for path in paths:
+            discard(spark, path)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a stage that nothing reads any more."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

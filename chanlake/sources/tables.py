@@ -70,6 +70,12 @@ def write_bucketed(
     )
 
 
+def create_empty(like: DataFrame, path: str) -> None:
+    """A bucketed table without rows: one empty file that holds the columns."""
+    empty = like.sparkSession.createDataFrame([], like.drop(BUCKET).schema)
+    empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BUCKET}=0")
+
+
 def write_messages(df: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -> None:
     """The message table, columns in sorted order."""
     write_bucketed(df.select(*sorted(c for c in df.columns if c != BUCKET)), path, buckets)

@@ -3,30 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from chanlake.operators.filters import content_only, service_side
-from chanlake.operators.flatten import flatten_messages, flatten_service
-from chanlake.operators.upsert import MESSAGE_KEY, upsert_table
+from chanlake.operators.upsert import MESSAGE_KEY
 from chanlake.plans.message_tables import (
     PATH_TEMPLATE,
     MessageTables,
+    merge_decoded,
     with_channel_and_period,
 )
-from chanlake.schemas import MESSAGES, SERVICE_MESSAGES
-from chanlake.session import materialised
+from chanlake.session import stages
 from chanlake.sources.messages import (
     MESSAGE_FILES,
     decode,
-    quarantined,
     repair_concatenated_json,
-    valid,
     with_source,
 )
 from chanlake.sources.tables import DEFAULT_BUCKETS
 
 
+MAX_FILE_AGE = "36500d"
+
+
 def read_message_stream(
     spark: SparkSession,
     raw: str,
@@ -36,6 +34,8 @@ def read_message_stream(
 ) -> DataFrame:
     """Decoded records of files as they appear below ``raw``, good and bad."""
     reader = spark.readStream.option("pathGlobFilter", files).option("recursiveFileLookup", True)
+    # by default the source skips files a week older than the newest one: an archive has those
+    reader = reader.option("maxFileAge", MAX_FILE_AGE)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     lines = with_source(reader.text(raw))
@@ -54,29 +54,13 @@ def stream_messages(
 ) -> StreamingQuery:
     """Upsert new files into the tables, batch by batch, until all present ones are in.
 
-    The checkpoint remembers the files, and a repeated batch merges to the same rows.
+    The checkpoint remembers the files, and a repeated batch merges to the same rows. A file
+    that is rewritten in place is not read again by a stream: ``build_message_tables`` does.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        decoded = materialised(batch, "stream-batch")
-        bad = quarantined(decoded)
-        if not bad.isEmpty():
-            bad.write.mode("append").parquet(tables.quarantine)
-        good = valid(decoded)
-        upsert_table(
-            flatten_messages(content_only(good)),
-            tables.messages,
-            MESSAGES,
-            buckets=buckets,
-            staged=True,
-        )
-        upsert_table(
-            flatten_service(service_side(good)),
-            tables.service,
-            SERVICE_MESSAGES,
-            buckets=buckets,
-            staged=True,
-        )
+        with stages(batch.sparkSession) as stage:
+            merge_decoded(stage(batch, "stream-batch"), tables, buckets)
 
     return (
         read_message_stream(spark, raw, files_per_trigger, template, files)
@@ -97,9 +81,3 @@ def dedup_stream(messages: DataFrame, arrival: str | None = None, delay: str = "
     if arrival is None:
         return messages.dropDuplicates(MESSAGE_KEY)
     return messages.withWatermark(arrival, delay).dropDuplicatesWithinWatermark(MESSAGE_KEY)
-
-
-def flat_stream(decoded: DataFrame) -> DataFrame:
-    """Flat content messages of a decoded stream."""
-    good = decoded.filter(F.col("decode_error").isNull())
-    return flatten_messages(content_only(good))

@@ -169,3 +169,56 @@ def test_build_tables_incrementally(spark, raw, tmp_path):
     assert messages.count() == 11
     assert messages.filter("channel_id='chan1' and id=1").first().message == "edited"
     assert messages.filter(F.col("id") == 99).count() == 1
+
+
+def _log(path, *lines, at):
+    import os
+
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join(lines) + "\n")
+    os.utime(path, (at, at))
+
+
+def test_one_run_and_many_runs_give_the_same_tables(spark, tmp_path):
+    bad = '{"_":"Message","id":20,"date":null}'
+    edited = LINES[0].replace("plain", "edited")
+    logs = [  # name, time, lines: later ones arrive later, with older and equal times
+        ("c1/2024-01-01_to_2024-02-01.jsonl", 2000, (edited, bad)),
+        ("c1/2023-12-01_to_2024-01-01.jsonl", 1000, (LINES[0], LINES[4])),
+        ("c[2]/2024-01-01_to_2024-02-01.jsonl", 2000, (LINES[0], bad)),
+        ("c3/2024-01-01_to_2024-02-01.jsonl", 1500, (LINES[1],)),
+    ]
+    fields = ("channel_id", "id", "message", "comments_msg_id")
+    got = {}
+    for runs in ("many", "one"):
+        raw, out = tmp_path / runs / "raw", tmp_path / runs / "out"
+        tables = MessageTables(str(out / "m"), str(out / "s"), str(out / "q"))
+        for name, at, lines in logs:
+            _log(raw / name, *lines, at=at)
+            if runs == "many":
+                assert build_message_tables(spark, str(raw), tables, buckets=4)
+        assert build_message_tables(spark, str(raw), tables, buckets=4) == (runs == "one")
+        got[runs] = [rows(spark.read.parquet(p), *fields) for p in (tables.messages, tables.service)]
+        got[runs].append(spark.read.parquet(tables.quarantine).count())
+    assert got["many"] == got["one"]
+    messages, service, quarantined_lines = got["one"]
+    assert [r[:3] for r in messages] == [("c1", 1, "edited"), ("c3", 2, "v"), ("c[2]", 1, "plain")]
+    assert service == [("c1", 5, "old comment", 1)] and quarantined_lines == 2
+
+
+def test_a_rewritten_file_is_read_again_and_stages_are_removed(spark, tmp_path):
+    import os
+
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    tables = MessageTables(str(out / "m"), str(out / "s"), str(out / "q"))
+    name = raw / "c1" / "2024-01-01_to_2024-02-01.jsonl"
+    _log(name, LINES[0], at=2000)
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    assert build_message_tables(spark, str(raw), tables, buckets=4)
+    assert spark.read.parquet(tables.service).count() == 0  # no service rows: an empty table
+    assert not build_message_tables(spark, str(raw), tables, buckets=4)
+    _log(name, LINES[0].replace("plain", "longer text"), at=2000)  # same time, another length
+    assert build_message_tables(spark, str(raw), tables, buckets=4)
+    assert rows(spark.read.parquet(tables.messages), "message") == [("longer text",)]
+    assert set(os.listdir(shared)) == before
