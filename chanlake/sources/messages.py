@@ -40,9 +40,11 @@ def read_lines(
 
 
 def with_source(lines: DataFrame) -> DataFrame:
+    """Lines with their file: its path as it is named, not as the URI that Spark gives."""
+    uri = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
     return lines.select(
         "value",
-        F.col("_metadata.file_path").alias("file_path"),
+        F.url_decode(uri).alias("file_path"),
         F.col("_metadata.file_modification_time").alias("file_modified"),
     ).filter(F.trim("value") != "")
 
