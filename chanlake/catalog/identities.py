@@ -128,7 +128,7 @@ def deanonymise(spark: SparkSession, sf_dir: str) -> DataFrame:
         "name", F.format_string("Customer#%09d", "o_custkey")
     )
     hashed_orders = P.with_hashes(orders, {"name": "name"}, KEY).select("o_orderkey", "name")
-    return P.deanonymise(hashed_orders, known, "name", ["o_orderkey"]).select("o_orderkey", "name")
+    return P.deanonymise(hashed_orders, known, "name").select("o_orderkey", "name")
 
 
 DEANONYMISE_SQL = f"""
@@ -147,7 +147,7 @@ def safe_anonymise(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     ).select("o_orderkey", "name")
     known = customer_map(spark, sf_dir)
-    return P.safe_anonymise(mixed, known, "name", ["o_orderkey"], KEY).select("o_orderkey", "name")
+    return P.safe_anonymise(mixed, known, "name", KEY).select("o_orderkey", "name")
 
 
 SAFE_SQL = f"""

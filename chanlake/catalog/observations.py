@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chanlake.catalog.base import EVENTS_SQL, Entry, events_k, when_sql, when_text
 from chanlake.operators import observe
-from chanlake.plans.observations import roll_up, track
+from chanlake.plans.observations import admissions, roll_up, track
 from chanlake.schemas import OBSERVATIONS
 from chanlake.session import work_path
 from chanlake.sources.tables import to_schema
@@ -78,11 +78,11 @@ def _agg_sql(value: str) -> str:
 
 
 ARRAYS_SQL = f"""WITH {_OBS_SQL}
-SELECT channel_id, id, CAST(0 AS INTEGER) AS page, {_agg_sql(when_sql('queried_at'))} AS queried_at,
+SELECT channel_id, id, strftime(queried_at, '%Y-%m') AS page, {_agg_sql(when_sql('queried_at'))} AS queried_at,
   {_agg_sql('CAST(views AS VARCHAR)')} AS views, {_agg_sql('CAST(forwards AS VARCHAR)')} AS forwards,
   {_agg_sql(when_sql('edit_date'))} AS edit_date, {_agg_sql('reactions')} AS reactions,
   {_agg_sql("CAST(coalesce(replies, 0) AS VARCHAR)")} AS replies
-FROM obs GROUP BY channel_id, id"""
+FROM obs GROUP BY 1, 2, 3"""
 
 
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,7 +175,7 @@ def tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
     track(spark, pull, first.filter("false"), log, "2")
     roll_up(spark, log, arrays, 16)
     read = spark.read.schema(
-        "channel_id string, id bigint, page int, queried_at array<timestamp>, views array<bigint>"
+        "channel_id string, id bigint, page string, queried_at array<timestamp>, views array<bigint>"
     ).json(arrays)
     return read.select(
         "channel_id",
@@ -191,8 +191,33 @@ TRACKED_SQL = f"""WITH {_SAVED_SQL},
 rows AS (
   SELECT channel_id, id, queried_at, views FROM saved WHERE (channel_id, id) IN (SELECT channel_id, id FROM pull)
   UNION ALL SELECT channel_id, id, queried_at, views FROM newest WHERE r = 1 AND (channel_id, id) IN (SELECT channel_id, id FROM saved))
-SELECT channel_id, id, CAST(0 AS INTEGER) AS page, CAST(count(*) AS INTEGER) AS observations,
-  {_agg_sql('CAST(views AS VARCHAR)')} AS views FROM rows GROUP BY channel_id, id"""
+SELECT channel_id, id, strftime(queried_at, '%Y-%m') AS page, CAST(count(*) AS INTEGER) AS observations,
+  {_agg_sql('CAST(views AS VARCHAR)')} AS views FROM rows GROUP BY 1, 2, 3"""
+
+
+def admitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three rounds of admission, one for every ten days, while followed messages vanish.
+
+    A round's pull has no message at all, so the log forgets the earlier ones: admission
+    still counts them.
+    """
+    log = work_path(spark, "observations")
+    new = new_messages(spark, sf_dir).withColumns(
+        {"channel_id": F.concat("channel_id", F.col("id") % 50), "queried_at": F.col("date")}
+    )
+    part = F.least(F.floor((F.dayofmonth("date") - 1) / 10), F.lit(2))
+    for number in range(3):
+        track(spark, new.filter("false"), new.filter(part == number), log, str(number), cap=20)
+    return admissions(spark, log)
+
+
+ADMITTED_SQL = """
+WITH m AS (SELECT 't' || event_type || event_id % 50 AS channel_id, event_id AS id, date_trunc('hour', ts) AS h,
+  least((day(ts) - 1) // 10, 2) AS round FROM events),
+c AS (SELECT channel_id, round, h, count(*) AS n FROM m GROUP BY 1, 2, 3),
+b AS (SELECT channel_id, round, h, coalesce(sum(n) OVER (PARTITION BY channel_id ORDER BY round, h
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM c)
+SELECT channel_id, id FROM m JOIN b USING (channel_id, round, h) WHERE before < 20"""
 
 
 def _stream_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,8 +256,8 @@ def stream_tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STREAM_TRACKED_SQL = f"""WITH {_OBS_SQL}
-SELECT channel_id, id, CAST(0 AS INTEGER) AS page, {_agg_sql('CAST(views AS VARCHAR)')} AS views,
-  {_agg_sql("CAST(coalesce(replies, 0) AS VARCHAR)")} AS replies FROM obs GROUP BY channel_id, id"""
+SELECT channel_id, id, strftime(queried_at, '%Y-%m') AS page, {_agg_sql('CAST(views AS VARCHAR)')} AS views,
+  {_agg_sql("CAST(coalesce(replies, 0) AS VARCHAR)")} AS replies FROM obs GROUP BY 1, 2, 3"""
 
 ENTRIES: dict[str, Entry] = {
     "observation_arrays": (observation_arrays, ARRAYS_SQL),
@@ -241,6 +266,7 @@ ENTRIES: dict[str, Entry] = {
     "latest_vs_saved": (latest_vs_saved, LATEST_SQL),
     "append_pull": (append_pull, APPEND_SQL),
     "track_updates": (tracked, TRACKED_SQL),
+    "track_admissions": (admitted, ADMITTED_SQL),
     "stream_hourly": (stream_hourly, STREAM_HOURLY_SQL),
     "stream_track_updates": (stream_tracked, STREAM_TRACKED_SQL),
 }

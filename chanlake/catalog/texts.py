@@ -12,7 +12,7 @@ from chanlake.functions.text import (
     extract_usernames,
     quota_exhausted,
 )
-from chanlake.operators.language import MARGIN, SCALE, VOCABULARY, detect_language, train_profiles
+from chanlake.operators.language import MARGIN, SCALE, detect_language, train_profiles
 from chanlake.operators.search import pending_keywords, search_channels
 from chanlake.plans.keywords import bot_seeds
 from chanlake.session import work_path
@@ -110,25 +110,45 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_language(documents.select("doc_id", "text"), profiles, LANGUAGES, ["doc_id"])
 
 
-_TRIGRAMS_SQL = r"""
+def language_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per language: texts that the profiles were not trained on, and how many they get right."""
+    documents = _labelled(spark, sf_dir)
+    profiles = train_profiles(documents.filter("doc_id % 2 = 0"))
+    held_out = documents.filter("doc_id % 2 = 1")
+    found = detect_language(held_out.select("doc_id", "text"), profiles, LANGUAGES, ["doc_id"])
+    right = F.col("found") == F.upper("language")
+    return (
+        held_out.select("doc_id", "language")
+        .join(found.withColumnRenamed("language", "found"), "doc_id")
+        .groupBy("language")
+        .agg(F.count("*").alias("texts"), F.count_if(right).alias("right"), F.count("found").alias("answered"))
+    )
+
+
+def _detected_sql(trained: str, asked: str) -> str:
+    return rf"""
 clean AS (SELECT doc_id, lang,
-    string_split(' ' || trim(regexp_replace(lower(text), '[^\p{L}]+', ' ', 'g')) || ' ', '') AS c FROM documents),
+    string_split(' ' || trim(regexp_replace(lower(text), '[^\p{{L}}]+', ' ', 'g')) || ' ', '') AS c FROM documents),
 tri AS (SELECT doc_id, lang, c[i] || c[i + 1] || c[i + 2] AS trigram
   FROM clean, LATERAL unnest(range(1, len(c) - 1)) t(i)),
-counts AS (SELECT lang, trigram, count(*) AS n FROM tri GROUP BY 1, 2)"""
-LANGUAGES_SQL = f"""WITH {_TRIGRAMS_SQL},
+counts AS (SELECT lang, trigram, count(*) AS n FROM tri WHERE {trained} GROUP BY 1, 2),
 total AS (SELECT lang, sum(n) + count(*) AS total FROM counts GROUP BY lang),
-kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, trigram) AS r FROM counts)
-  WHERE r <= {VOCABULARY}),
-weight AS (SELECT lang, trigram, CAST(round(ln((n + 1) / total) * {SCALE}) AS BIGINT) AS w FROM kept JOIN total USING (lang)),
+weight AS (SELECT lang, trigram, CAST(round(ln((n + 1) / total) * {SCALE}) AS BIGINT) AS w FROM counts JOIN total USING (lang)),
 floor AS (SELECT lang, CAST(round(ln(1 / total) * {SCALE}) AS BIGINT) AS w FROM total),
-seen AS (SELECT doc_id, trigram, count(*) AS n FROM tri WHERE trigram IN (SELECT trigram FROM kept) GROUP BY 1, 2),
+seen AS (SELECT doc_id, trigram, count(*) AS n FROM tri
+  WHERE {asked} AND trigram IN (SELECT trigram FROM counts) GROUP BY 1, 2),
 score AS (SELECT s.doc_id, f.lang, sum(s.n * coalesce(weight.w, f.w)) AS score, sum(s.n) AS n
   FROM seen s CROSS JOIN floor f LEFT JOIN weight ON weight.lang = f.lang AND weight.trigram = s.trigram GROUP BY 1, 2),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang DESC) AS r,
-    lead(score) OVER (PARTITION BY doc_id ORDER BY score DESC, lang DESC) AS next FROM score)
-SELECT d.doc_id, CASE WHEN score - next >= n * {MARGIN} THEN upper(ranked.lang) END AS language
-FROM documents d LEFT JOIN ranked ON ranked.doc_id = d.doc_id AND r = 1"""
+    lead(score) OVER (PARTITION BY doc_id ORDER BY score DESC, lang DESC) AS next FROM score),
+found AS (SELECT d.doc_id, d.lang, CASE WHEN score - next >= n * {MARGIN} THEN upper(ranked.lang) END AS language
+  FROM documents d LEFT JOIN ranked ON ranked.doc_id = d.doc_id AND r = 1 WHERE {asked.replace("doc_id", "d.doc_id")})"""
+
+
+LANGUAGES_SQL = f"WITH {_detected_sql('TRUE', 'TRUE')} SELECT doc_id, language FROM found"
+ACCURACY_SQL = f"""WITH {_detected_sql('doc_id % 2 = 0', 'doc_id % 2 = 1')}
+SELECT lang AS language, count(*) AS texts, count(*) FILTER (WHERE language = upper(lang)) AS "right",
+  count(language) AS answered FROM found GROUP BY lang"""
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +167,7 @@ def _keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def channels_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """At most a hundred parts per keyword."""
+    """All parts that a keyword matches."""
     return search_channels(_parts(spark, sf_dir), _keywords(spark, sf_dir), F.col("text")).select(
         "keyword", "id"
     )
@@ -157,9 +177,8 @@ _KEYWORDS_SQL = """kw AS (SELECT upper(p_name) AS keyword FROM part
   UNION SELECT unnest(string_split(p_name, ' ')) FROM part)"""
 CHANNELS_FOUND_SQL = f"""WITH {_KEYWORDS_SQL},
 txt AS (SELECT p_partkey AS id, ' ' || trim(regexp_replace(lower(p_name || ' ' || p_brand || ' ' || p_type), '[^a-z0-9_]+', ' ', 'g')) || ' ' AS t FROM part),
-hit AS (SELECT keyword, id, row_number() OVER (PARTITION BY keyword ORDER BY id) AS r
-  FROM kw JOIN txt ON contains(t, ' ' || lower(keyword) || ' '))
-SELECT keyword, id FROM hit WHERE r <= 100"""
+hit AS (SELECT keyword, id FROM kw JOIN txt ON contains(t, ' ' || lower(keyword) || ' '))
+SELECT keyword, id FROM hit"""
 
 
 def keywords_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,6 +211,7 @@ ENTRIES: dict[str, Entry] = {
     "extract_usernames": (usernames_found, USERNAMES_SQL),
     "bot_seeds": (seeds_from_bot, BOT_SEEDS_SQL),
     "detect_language": (languages, LANGUAGES_SQL),
+    "language_accuracy": (language_accuracy, ACCURACY_SQL),
     "search_channels": (channels_found, CHANNELS_FOUND_SQL),
     "pending_keywords": (keywords_pending, PENDING_SQL),
     "write_searched_keywords": (searched_written, SEARCHED_SQL),

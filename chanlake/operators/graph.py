@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chanlake.functions.dates import days_since
 from chanlake.functions.nested import matching_chat, other_chats
-from chanlake.operators.skew import PAGE_ROWS, global_rank, hash_pages, lookup
+from chanlake.operators.skew import PAGE_ROWS, global_rank, hash_pages
 from chanlake.session import discard, materialised, write_stage
 
 # Scoring constants (fixed values).
@@ -115,8 +115,9 @@ def forward_sources(pairs: DataFrame, anon_map: DataFrame) -> tuple[DataFrame, D
     """Hashed forward sources with their originals, and the pairs no map row explains."""
     inverse = anon_map.groupBy("hash").agg(F.min("original").alias("original_id"))
     known = inverse.withColumnRenamed("hash", "source_id")
-    found = lookup(pairs, known, ["source_id"], ["channel_id"], how="inner")
-    return found, pairs.join(known.select("source_id"), "source_id", "left_anti")
+    joined = materialised(pairs.join(known, "source_id", "left"), "sources")
+    missing = F.col("original_id").isNull()
+    return joined.filter(~missing), joined.filter(missing).select(*pairs.columns)
 
 
 def issue_table(
@@ -130,7 +131,7 @@ def issue_table(
 def edge_channel_lookup(edges: DataFrame, channels: DataFrame) -> DataFrame:
     """Edges with the target's channel row; ``has_doc`` is false for private targets."""
     target = channels.withColumnRenamed("id", "dst").withColumn("has_doc", F.lit(True))
-    joined = lookup(edges, target, ["dst"], ["src"])
+    joined = edges.join(target, "dst", "left")
     return joined.withColumn("has_doc", F.coalesce("has_doc", F.lit(False)))
 
 
@@ -243,7 +244,7 @@ def scored_targets(edges: DataFrame, nodes: DataFrame, private_priority: int) ->
         lang_priority(F.col("language")).cast("bigint").alias("step"),
     ).filter(nodes["has_doc"] & nodes["spam"].isNotNull())
     distinct = edges.select("src", "dst").distinct()
-    return lookup(distinct, info, ["dst"], ["src"], how="inner")
+    return distinct.join(info, "dst")
 
 
 def snowball(

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chanlake.session import materialised
 
-VOCABULARY = 20_000  # trigrams per language in a profile: the size of the model
 SCALE = 1000  # log-probabilities are kept as whole thousandths, so sums are exact
 MARGIN = 20  # least lead per trigram, in thousandths, for a conclusive answer
 
@@ -23,11 +22,10 @@ def trigrams(text: Column) -> Column:
     return F.regexp_extract_all(normalised(text), F.lit("(?s)(?=(...))"), F.lit(1))
 
 
-def train_profiles(labelled: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
+def train_profiles(labelled: DataFrame) -> DataFrame:
     """``trigram, language, weight`` rows from texts with a known ``language``.
 
-    Weights are add-one smoothed log-probabilities over the most frequent trigrams of
-    each language. The row with a null trigram holds the weight of any other trigram.
+    Weights are add-one smoothed log-probabilities over all trigrams of each language. The row with a null trigram holds the weight of any other trigram.
     """
     counts = (
         labelled.select("language", F.explode(trigrams(F.col("text"))).alias("trigram"))
@@ -36,24 +34,19 @@ def train_profiles(labelled: DataFrame, vocabulary: int = VOCABULARY) -> DataFra
     )
     # The texts are read once: all that follows works on the counts.
     counts = materialised(counts, "trigram-counts")
-    top = Window.partitionBy("language").orderBy(F.desc("n"), F.asc("trigram"))
-    kept = (
-        counts.withColumn("_row", F.row_number().over(top))
-        .filter(F.col("_row") <= vocabulary)
-        .drop("_row")
-    )
     totals = counts.groupBy("language").agg((F.sum("n") + F.count("*")).alias("total"))
 
     def weight(count: Column) -> Column:
         return F.round(F.log((count + 1) / F.col("total")) * SCALE).cast("bigint")
 
-    seen = kept.join(F.broadcast(totals), "language").select(
+    seen = counts.join(totals, "language").select(
         "trigram", "language", weight(F.col("n")).alias("weight")
     )
     unseen = totals.select(
         F.lit(None).cast("string").alias("trigram"), "language", weight(F.lit(0)).alias("weight")
     )
-    return seen.unionByName(unseen)
+    # Written, so that the plans that use it know its size.
+    return materialised(seen.unionByName(unseen), "profiles")
 
 
 def _wide(profiles: DataFrame, languages: list[str]) -> DataFrame:
@@ -82,12 +75,11 @@ def detect_language(
 ) -> DataFrame:
     """``keys, language``: the best scoring language, null if its lead is too small.
 
-    Trigrams are scored by a join with the profile, whose size is fixed by the model
-    (languages times vocabulary), and summed per text before the shuffle, so a row of
-    sums per text is what moves. Trigrams that no profile knows say nothing; a text
+    Trigrams are scored by a join with the profile. Where Spark finds the profile small it
+    broadcasts it, and sums per text are what moves; a large one is joined by shuffles. Trigrams that no profile knows say nothing; a text
     without any known one is inconclusive.
     """
-    wide = F.broadcast(_wide(profiles, languages))
+    wide = _wide(profiles, languages)
     # The outer explode and join keep texts without (known) trigrams: no second look at them.
     found = texts.select(*keys, F.explode_outer(trigrams(F.col("text"))).alias("trigram"))
     sums = (

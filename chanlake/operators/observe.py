@@ -5,20 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chanlake.operators.skew import PAGE_ROWS, latest_per_key, lookup, time_pages
+from chanlake.operators.skew import latest_per_key
 
 SAMPLE_CAP = 100  # messages followed per channel before admission stops
 MESSAGE = ["channel_id", "id"]
 METRICS = ("views", "forwards", "edit_date", "reactions", "replies")
 
 
-def observation_arrays(observations: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Parallel arrays per message, in order of query time; null metrics keep their place.
+def observation_arrays(observations: DataFrame) -> DataFrame:
+    """Parallel arrays per message and month of observation (``page``, as yyyy-MM), in order
+    of query time; null metrics keep their place.
 
-    Messages observed more than ``page_rows`` times get several rows, in time order by
-    ``page``; hourly observation over two weeks needs one.
+    The page is a fixed window of time, so a row does not depend on how often others were
+    observed, and hourly observation fills at most 744 places.
     """
-    paged = time_pages(observations, MESSAGE, "queried_at", page_rows)
+    paged = observations.withColumn("page", F.date_format("queried_at", "yyyy-MM"))
     step = F.struct(
         "queried_at",
         "views",
@@ -54,8 +55,8 @@ def latest_vs_saved(
     """
     present = newest_pull(pull).select(*MESSAGE, F.lit(False).alias("_gone"))
     if not mark_deleted:
-        return lookup(saved, present, MESSAGE, ["queried_at"], "inner").drop("_gone")
-    marked = lookup(saved, present, MESSAGE, ["queried_at"], "left")
+        return saved.join(present, MESSAGE).drop("_gone")
+    marked = saved.join(present, MESSAGE, "left")
     return marked.withColumn("deleted", F.coalesce("_gone", F.lit(True))).drop("_gone")
 
 
@@ -93,11 +94,14 @@ def hourly_observations(observations: DataFrame) -> DataFrame:
     )
 
 
-def admitted_hours(messages: DataFrame, cap: int = SAMPLE_CAP, date: str = "date") -> DataFrame:
+def admitted_hours(
+    messages: DataFrame, cap: int = SAMPLE_CAP, date: str = "date", followed: DataFrame | None = None
+) -> DataFrame:
     """Channel hours in which new messages are still taken in.
 
     An hour is admitted as a whole while fewer than ``cap`` messages were taken in
-    before it. The running total goes over hourly counts, not over messages.
+    before it, those of earlier rounds included: ``followed`` has ``channel_id, followed``.
+    The running total goes over hourly counts, not over messages.
     """
     hour = F.date_trunc("hour", date).alias("_hour")
     counts = messages.groupBy("channel_id", hour).agg(F.count("*").alias("_n"))
@@ -105,16 +109,21 @@ def admitted_hours(messages: DataFrame, cap: int = SAMPLE_CAP, date: str = "date
         Window.unboundedPreceding, -1
     )
     total = F.coalesce(F.sum("_n").over(before), F.lit(0))
-    return counts.withColumn("_before", total).filter(F.col("_before") < cap)
+    if followed is not None:
+        counts = counts.join(followed, "channel_id", "left")
+        total = total + F.coalesce("followed", F.lit(0))
+    return counts.withColumn("_before", total).drop("followed").filter(F.col("_before") < cap)
 
 
-def sample_cap(messages: DataFrame, cap: int = SAMPLE_CAP, date: str = "date") -> DataFrame:
+def sample_cap(
+    messages: DataFrame, cap: int = SAMPLE_CAP, date: str = "date", followed: DataFrame | None = None
+) -> DataFrame:
     """New messages that enter the sample: a channel stops once it follows ``cap``.
 
     The admitted hours of a channel are its first ones up to a point, so one time per
     channel decides: the end of its last admitted hour.
     """
-    hours = admitted_hours(messages, cap, date)
+    hours = admitted_hours(messages, cap, date, followed)
     last = hours.groupBy("channel_id").agg(F.max("_hour").alias("_last"))
-    joined = lookup(messages, last, ["channel_id"], ["id"], "inner")
+    joined = messages.join(last, "channel_id")
     return joined.filter(F.date_trunc("hour", date) <= F.col("_last")).drop("_last")

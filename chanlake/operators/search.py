@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from chanlake.functions.text import matches_query
 
-CHANNELS_PER_KEYWORD = 100
-
 
 def content_type(kind: str) -> Column:
     """Predicate of a content type over flat messages; ``message`` is any."""
@@ -37,14 +35,14 @@ def search_channels(
     channels: DataFrame,
     keywords: DataFrame,
     text: Column,
-    limit: int = CHANNELS_PER_KEYWORD,
+    limit: int | None = None,
     order: list[Column] | None = None,
 ) -> DataFrame:
-    """``keyword, id`` of at most ``limit`` channels per keyword.
+    """Each keyword with the channels that match it; only the first ``limit`` on request.
 
     A channel matches when the keyword's words stand in its text one after the other.
     Candidates come from an equality join on the keyword's longest word; the phrase is
-    then checked. The cut to ``limit`` happens in every task before the shuffle.
+    then checked. A cut to ``limit`` happens in every task before the shuffle.
     """
     phrase = words(F.col("keyword"))
     longest = F.array_max(F.transform(phrase, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
@@ -59,6 +57,8 @@ def search_channels(
         "*", F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" ")).alias("_text")
     ).select("*", F.explode(F.array_distinct(F.filter(F.split("_text", " "), lambda w: w != ""))).alias("_word"))
     found = indexed.join(asked, "_word").filter(F.contains("_text", F.col("_phrase")))
+    if limit is None:
+        return found.select("keyword", *channels.columns)
     window = Window.partitionBy("keyword").orderBy(*order_columns)
     return (
         found.withColumn("_row", F.row_number().over(window))
@@ -84,8 +84,6 @@ def merge_seeds_last_wins(*sources: DataFrame) -> DataFrame:
 
 def comment_thread(messages: DataFrame) -> DataFrame:
     """Messages paired with the message they reply to in the same channel."""
-    from chanlake.operators.skew import lookup
-
     parents = messages.select(
         "channel_id",
         F.col("id").alias("replies_to_msg_id"),
@@ -95,4 +93,4 @@ def comment_thread(messages: DataFrame) -> DataFrame:
         F.col("replies_to_msg_id").isNotNull()
         & (F.col("replies_to_chan_id").isNull() | (F.col("replies_to_chan_id") == F.col("channel_id")))
     )
-    return lookup(replies, parents, ["channel_id", "replies_to_msg_id"], ["id"], "inner")
+    return replies.join(parents, ["channel_id", "replies_to_msg_id"])

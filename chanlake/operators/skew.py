@@ -1,6 +1,7 @@
 """Keeping hot keys from landing in one task.
 
-Assumption throughout: one key may hold a third of all rows.
+Assumption throughout: one key may hold a third of all rows. Joins need no help: the adaptive
+skew join, which the session settings switch on, splits partitions that grow too large.
 """
 
 from __future__ import annotations
@@ -8,67 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than one row in this many. There can be no more hot
-# keys than that, whatever the data, so a list of them is always safe to broadcast.
-HOT_KEYS_MAX = 10_000
-HOT_ROWS_MIN = 10_000  # no key with fewer rows is worth splitting
-SALTS = 64
 PAGE_ROWS = 10_000
 
-_SALT = "_salt"
-_HOT = "_hot"
-
-
-def hot_keys(
-    df: DataFrame, keys: list[str], at_most: int = HOT_KEYS_MAX, min_rows: int = HOT_ROWS_MIN
-) -> DataFrame:
-    """Keys with more than ``1 / at_most`` of the rows: fewer than ``at_most`` of them."""
-    counts = df.filter(F.col(keys[0]).isNotNull()).groupBy(*keys).agg(F.count("*").alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    least = F.greatest(total / at_most, F.lit(min_rows))
-    return counts.filter(F.col("_rows") > least).select(*keys)
-
-
-def lookup(
-    facts: DataFrame,
-    dimension: DataFrame,
-    keys: list[str],
-    spread_by: list[str],
-    how: str = "left",
-    at_most: int = HOT_KEYS_MAX,
-    min_rows: int = HOT_ROWS_MIN,
-) -> DataFrame:
-    """Join many rows with a table that has one row per key, splitting hot keys.
-
-    Rows of a hot key are dealt to ``SALTS`` tasks by a hash of ``spread_by``; only the
-    dimension rows of hot keys are repeated to meet them. Null keys, which never match,
-    are dealt out too. The deal is a function of the row, so a recomputed task gives
-    the same rows.
-    """
-    hot = F.broadcast(hot_keys(facts, keys, at_most, min_rows).withColumn(_HOT, F.lit(True)))
-    deal = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
-    any_null = F.lit(False)
-    for key in keys:
-        any_null = any_null | F.col(key).isNull()
-    salted = (
-        facts.join(hot, keys, "left")
-        .withColumn(_SALT, F.when(F.col(_HOT) | any_null, deal).otherwise(0))
-        .drop(_HOT)
-    )
-    repeated = (
-        dimension.join(hot, keys, "left")
-        .withColumn(
-            _SALT,
-            F.explode(
-                F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
-        .drop(_HOT)
-    )
-    return salted.join(repeated, [*keys, _SALT], how).drop(_SALT)
-
 
 def hash_pages(df: DataFrame, keys: list[str], value: str, page_rows: int = PAGE_ROWS) -> DataFrame:
     """Add ``page``: 0 for ordinary groups, hash pages for groups above ``page_rows``.
@@ -82,23 +24,6 @@ def hash_pages(df: DataFrame, keys: list[str], value: str, page_rows: int = PAGE
     return df.join(large, keys, "left").withColumn("page", page.cast("int")).drop("_rows")
 
 
-def time_pages(df: DataFrame, keys: list[str], at: str, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Add ``page`` as ``hash_pages`` does, but in time order: later pages hold later rows."""
-    micros = F.unix_micros(F.col(at))
-    sizes = df.groupBy(*keys).agg(
-        F.count("*").alias("_rows"), F.min(micros).alias("_first"), F.max(micros).alias("_last")
-    )
-    large = sizes.filter(F.col("_rows") > page_rows)
-    pages = F.ceil(F.col("_rows") / page_rows)
-    part = (micros - F.col("_first")) / (F.col("_last") - F.col("_first") + 1)
-    page = F.when(F.col("_rows").isNotNull(), F.floor(part * pages)).otherwise(0)
-    return (
-        df.join(large, keys, "left")
-        .withColumn("page", page.cast("int"))
-        .drop("_rows", "_first", "_last")
-    )
-
-
 def global_rank(df: DataFrame, order: list[str], name: str = "rank", parts: int = 0) -> DataFrame:
     """Number all rows 1, 2, ... in the given order without gathering them in one task.
 

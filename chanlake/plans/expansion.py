@@ -35,7 +35,7 @@ def score_nodes(
     """``channel_id, has_doc, spam, language`` of all documents and all edge ends."""
     fields = G.matching_doc_fields(docs)
     if anon_map is not None:
-        fields = deanonymise(fields, anon_map, "title", ["id"])
+        fields = deanonymise(fields, anon_map, "title")
     texts = fields.select("id", clean_text(channel_text(F.col("title"), F.col("about"))).alias("text"))
     language = detect_language(texts, profiles, languages, ["id"])
     spam = G.looks_like_spam(F.col("pts"), F.col("participants_count"), F.col("date"), now)

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from chanlake.operators.observe import (
     MESSAGE,
+    SAMPLE_CAP,
     append_pull,
     observation_arrays,
     sample_cap,
 )
 from chanlake.schemas import OBSERVATIONS
+from chanlake.session import materialised
+from chanlake.sources.paths import list_exists
 from chanlake.sources.tables import (
     DEFAULT_BUCKETS,
     latest_version,
@@ -29,16 +32,22 @@ def track(
     table: str,
     version: str,
     mark_deleted: bool = False,
+    cap: int = SAMPLE_CAP,
 ) -> str:
     """One hour's round: extend what is followed by the pull, admit new messages.
 
     ``pull`` re-observes followed messages, ``new_messages`` are first observations with
-    their ``date``. Gives the path of the new version of the observation log.
+    their ``date``. Every admission is remembered, so that messages that vanished still count
+    against the cap. Gives the path of the new version of the observation log. A round
+    lost on the way can be repeated under its version.
     """
     current = latest_version(spark, table)
     saved = scan_table(spark, current, OBSERVATIONS) if current else None
-    counted = new_messages if saved is None else _not_followed(new_messages, saved)
-    admitted = to_schema(_below_cap(counted, saved), OBSERVATIONS)
+    before = admissions(spark, table, version)
+    fresh = new_messages if before is None else new_messages.join(before, MESSAGE, "left_anti")
+    followed = None if before is None else before.groupBy("channel_id").agg(F.count("*").alias("followed"))
+    admitted = materialised(to_schema(sample_cap(fresh, cap, followed=followed), OBSERVATIONS), "admitted")
+    write_version(admitted.select(*MESSAGE).distinct(), _admission_path(table), version)
     rows = admitted
     if saved is not None:
         rows = append_pull(saved, to_schema(pull, OBSERVATIONS), mark_deleted).unionByName(
@@ -47,22 +56,17 @@ def track(
     return write_version(rows, table, version)
 
 
-def _not_followed(new_messages: DataFrame, saved: DataFrame) -> DataFrame:
-    return new_messages.join(saved.select(*MESSAGE).distinct(), MESSAGE, "left_anti")
+def _admission_path(table: str) -> str:
+    return table.rstrip("/") + "-admitted"
 
 
-def _below_cap(new_messages: DataFrame, saved: DataFrame | None, cap: int = 100) -> DataFrame:
-    """Channels that already follow enough messages take in no more."""
-    if saved is None:
-        return sample_cap(new_messages, cap)
-    full = (
-        saved.select(*MESSAGE)
-        .distinct()
-        .groupBy("channel_id")
-        .agg(F.count("*").alias("_followed"))
-        .filter(F.col("_followed") >= cap)
-    )
-    return sample_cap(new_messages.join(full, "channel_id", "left_anti"), cap)
+def admissions(spark: SparkSession, table: str, version: str | None = None) -> DataFrame | None:
+    """``channel_id, id`` of all messages that were ever taken in, by rounds other than ``version``."""
+    path = _admission_path(table)
+    if not list_exists(spark, path):
+        return None
+    rounds = spark.read.schema("channel_id string, id bigint, version string").parquet(path)
+    return rounds.filter(F.col("version") != F.lit(version or "")).select(*MESSAGE).distinct()
 
 
 def roll_up(

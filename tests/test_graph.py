@@ -12,43 +12,22 @@ from chanlake.operators import graph as G
 from chanlake.operators.skew import (
     global_rank,
     hash_pages,
-    hot_keys,
     latest_per_key,
-    lookup,
-    time_pages,
 )
 from tests.conftest import rows
 
 
-def test_lookup_equals_a_plain_join_when_a_key_is_hot(spark):
-    facts = spark.range(3000).select(
-        F.col("id").alias("n"),
-        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")).alias("k"),
-    )
-    dim = spark.range(0, 2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    assert rows(hot_keys(facts, ["k"], at_most=100, min_rows=1)) == [(7,)]
-    assert rows(hot_keys(facts, ["k"])) == []
-    for how in ("left", "inner"):
-        assert rows(lookup(facts, dim, ["k"], ["n"], how, 100, 1), "n", "k", "v") == rows(
-            facts.join(dim, "k", how), "n", "k", "v"
-        )
-
-
 def test_pages_keep_all_rows_and_bound_groups(spark):
     df = spark.range(1000).select(
         F.when(F.col("id") < 900, "hot").otherwise(F.col("id").cast("string")).alias("k"),
         F.col("id").alias("v"),
-        F.timestamp_seconds("id").alias("t"),
     )
-    for paged in (hash_pages(df, ["k"], "v", 100), time_pages(df, ["k"], "t", 100)):
-        assert paged.count() == 1000
-        sizes = paged.groupBy("k", "page").count()
-        assert sizes.agg(F.max("count")).first()[0] < 200
-        assert sizes.filter("k='hot'").count() == 9
-        assert sizes.filter("k!='hot' and page!=0").count() == 0
-    last = time_pages(df, ["k"], "t", 100).filter("k='hot'").groupBy("page")
-    bounds = sorted(tuple(r) for r in last.agg(F.min("v"), F.max("v")).collect())
-    assert all(a[2] < b[1] for a, b in zip(bounds, bounds[1:]))
+    paged = hash_pages(df, ["k"], "v", 100)
+    assert paged.count() == 1000
+    sizes = paged.groupBy("k", "page").count()
+    assert sizes.agg(F.max("count")).first()[0] < 200
+    assert sizes.filter("k='hot'").count() == 9
+    assert sizes.filter("k!='hot' and page!=0").count() == 0
 
 
 def test_global_rank(spark):

@@ -10,7 +10,7 @@ from chanlake.functions.text import channel_text
 from chanlake.operators.language import train_profiles
 from chanlake.plans.expansion import expand
 from chanlake.plans.keywords import search_round, write_round
-from chanlake.plans.observations import roll_up, track
+from chanlake.plans.observations import admissions, roll_up, track
 from chanlake.schemas import CHANNEL_DOC, ddl
 from chanlake.sources.tables import latest_version
 from tests.conftest import rows
@@ -76,6 +76,22 @@ def test_tracking(spark, tmp_path):
     assert rows(got, "id", "views") == [(0, [0, 10]), (1, [1, 11]), (9, [9])]
 
 
+def test_admission_goes_on_from_what_was_followed(spark, tmp_path):
+    log = str(tmp_path / "log")
+    fields = "channel_id string, id long, date timestamp, queried_at timestamp, views long"
+
+    def hour(h, n):
+        at = dt.datetime(2024, 1, 1, h)
+        return spark.createDataFrame([("a", h * 1000 + i, at, at, 1) for i in range(n)], fields)
+
+    nothing = hour(0, 1).filter("false")
+    track(spark, nothing, hour(0, 99), log, "0")
+    for h in (1, 2):  # all followed messages vanished: the log is empty, the admissions are not
+        track(spark, nothing, hour(h, 60), log, str(h))
+    assert admissions(spark, log).count() == 159
+    assert spark.read.parquet(latest_version(spark, log)).count() == 0
+
+
 def test_search_round(spark, tmp_path):
     kw = lambda *words: spark.createDataFrame([(w,) for w in words], "keyword string")
     channels = spark.createDataFrame(

@@ -218,7 +218,7 @@ def test_map_checks(spark):
     assert rows(P.verify_pseudonyms(df, KEY), "original") == [("c",), ("d",)]
     assert P.duplicate_hashes(df).first().rows == 2
     data = spark.createDataFrame([(1, digest("a")), (2, "zz"), (3, None)], "n long, v string")
-    got = P.deanonymise(data, df, "v", ["n"])
+    got = P.deanonymise(data, df, "v")
     assert rows(got, "n", "v") == [(1, "a"), (2, "zz"), (3, None)]
     assert rows(P.unmapped(data, df, "v")) == [("zz",)]
 
@@ -227,9 +227,9 @@ def test_safe_anonymise_twice_is_once(spark):
     data = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "n long, v string")
     once = P.with_hashes(data, {"v": "v"}, KEY)
     known = P.pseudonym_map(P.originals(data, [F.col("v")]), KEY)
-    twice = P.safe_anonymise(once, known, "v", ["n"], KEY)
+    twice = P.safe_anonymise(once, known, "v", KEY)
     assert rows(twice, "n", "v") == rows(once, "n", "v")
-    assert rows(P.safe_anonymise(data, known, "v", ["n"], KEY), "n", "v") == rows(once, "n", "v")
+    assert rows(P.safe_anonymise(data, known, "v", KEY), "n", "v") == rows(once, "n", "v")
 
 
 def test_merge_maps(spark):

@@ -133,8 +133,9 @@ def test_observation_arrays(spark):
     first = observe.observation_arrays(saved).filter("id=1").first()
     assert first.views == [None, 5] and first.forwards == [3, None]
     assert first.replies == [2, 0] and first.reactions == [None, {"x": 1}]
-    small = observe.observation_arrays(saved, page_rows=1).filter("id=1").orderBy("page").collect()
-    assert [r.views for r in small] == [[None], [5]]
+    later = saved.filter("views=5").withColumn("queried_at", F.lit(dt.datetime(2024, 2, 1)))
+    months = observe.observation_arrays(saved.unionByName(later)).filter("id=1").orderBy("page").collect()
+    assert [(r.page, r.views) for r in months] == [("2024-01", [None, 5]), ("2024-02", [5])]
     pull = saved.filter("id=1 and views=5").withColumn("queried_at", F.lit(at(3)))
     assert rows(observe.append_pull(saved, pull), "id", "queried_at") == [(1, at(1)), (1, at(2)), (1, at(3))]
     marked = observe.latest_vs_saved(saved, pull, mark_deleted=True)
@@ -145,7 +146,9 @@ def test_search(spark):
     channels = spark.createDataFrame([(i, f"Red-widget no {i}") for i in range(150)] + [(200, "infrared widget")], "id long, text string")
     keywords = spark.createDataFrame([("red WIDGET",), ("infrared",), ("none",)], "keyword string")
     got = search.search_channels(channels, keywords, F.col("text"))
-    assert dict(rows(got.groupBy("keyword").count())) == {"red WIDGET": 100, "infrared": 1}
+    assert dict(rows(got.groupBy("keyword").count())) == {"red WIDGET": 150, "infrared": 1}
+    first = search.search_channels(channels, keywords, F.col("text"), 100)
+    assert dict(rows(first.groupBy("keyword").count())) == {"red WIDGET": 100, "infrared": 1}
     seeds = [spark.createDataFrame([("a", v)], "channel_id string, access_hash long") for v in (1, 3, 2)]
     assert rows(merge_seeds_last_wins(*seeds)) == [("a", 2)]
 
