@@ -12,10 +12,10 @@ DOCUMENT_FILES = "*.json"
 
 
 def scan_channel_texts(
-    spark: SparkSession, path: str, modified_after: str | None = None
+    spark: SparkSession, path: str | list[str], modified_after: str | None = None
 ) -> DataFrame:
-    """Documents as text; an absent path gives no rows."""
-    if not list_exists(spark, path):
+    """Documents as text, of a folder or of the files listed; an absent folder gives no rows."""
+    if not path or (isinstance(path, str) and not list_exists(spark, path)):
         return spark.createDataFrame(
             [], "value string, file_path string, file_modified timestamp"
         )

@@ -216,6 +216,17 @@ def test_channel_tables(spark, tmp_path):
     os.utime(docs / "a.json", (time.time() + 5,) * 2)
     second = build_channel_tables(spark, str(docs), str(table), str(users), "2", 4)
     assert rows(spark.read.parquet(second), "id", "message_count") == [("a", 9), ("b", None)]
+    # a new channel and a stale copy of a known one arrive late with old times, one file is broken
+    write("c")
+    (docs / "more").mkdir()
+    (docs / "more" / "a.json").write_text((docs / "b.json").read_text().replace('"b"', '"a"'))
+    (docs / "bad.json").write_text("{")
+    for name in ("c.json", "more/a.json", "bad.json"):
+        os.utime(docs / name, (1000, 1000))
+    third = build_channel_tables(spark, str(docs), str(table), str(users), "3", 4)
+    assert rows(spark.read.parquet(third), "id", "message_count") == [("a", 9), ("b", None), ("c", None)]
+    assert spark.read.parquet(f"{table}-quarantine").count() == 1
+    assert build_channel_tables(spark, str(docs), str(table), str(users), "4", 4) is None
 
 
 def test_map_files(spark, tmp_path):
