@@ -204,26 +204,14 @@ def write_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON file per channel: a nation's first customer stands for it."""
-    docs = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.min("c_custkey").alias("c_custkey"))
+    """One JSON file per channel, in a folder of its own."""
     path = work_path(spark, "one-doc-files")
-    texts = channel_texts(spark, sf_dir).join(docs, "c_custkey")
-    (
-        texts.select("c_nationkey", "value")
-        .repartition("c_nationkey")
-        .write.partitionBy("c_nationkey")
-        .text(path)
-    )
+    channel_texts(spark, sf_dir).select("c_custkey", "value").write.partitionBy("c_custkey").text(path)
     text = spark.read.option("recursiveFileLookup", True).option("wholetext", True).text(path)
     docs = decode_channels(text.select("value"))
     return shown_channels(flatten.flatten_channels(docs))
 
 
-SCAN_DOCS_SQL = _channels_sql(
-    "customer WHERE c_custkey IN (SELECT min(c_custkey) FROM customer GROUP BY c_nationkey)"
-)
-
-
 def channels_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The channel table written as a version and read back by its canonical schema."""
     flat = flatten.flatten_channels(channel_docs(spark, sf_dir))
@@ -487,9 +475,9 @@ SEEDS_READ_SQL = "SELECT CAST(s_suppkey AS VARCHAR) AS channel_id, s_suppkey * 9
 
 
 def cached_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages by site, the first seen stays; a second write adds only unseen sites."""
+    """Three pages share an id, the first seen stays; a second write adds only unseen ids."""
     pages = table(spark, sf_dir, "pages").select(
-        (F.col("page_id") % 100).alias("media_id"),
+        F.floor(F.col("page_id") / 3).alias("media_id"),
         F.col("url").alias("page"),
         F.col("page_id").alias("seen_at"),
     )
@@ -500,7 +488,7 @@ def cached_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PAGES_SQL = """
-SELECT page_id % 100 AS media_id, arg_min(url, page_id) AS page, min(page_id) AS seen_at FROM pages GROUP BY 1"""
+SELECT CAST(page_id // 3 AS BIGINT) AS media_id, arg_min(url, page_id) AS page, min(page_id) AS seen_at FROM pages GROUP BY 1"""
 
 
 def pruned_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -537,7 +525,7 @@ SELECT page_id, url, CASE WHEN page_id % 2 = 0 THEN '[]' END AS blocks, CASE WHE
 ENTRIES: dict[str, Entry] = {
     "flatten_channels": (flatten_channels, _channels_sql()),
     "write_channel_docs": (write_docs, _channels_sql()),
-    "scan_channels": (scan_docs, SCAN_DOCS_SQL),
+    "scan_channels": (scan_docs, _channels_sql()),
     "write_channels": (channels_version, _channels_sql()),
     "flatten_users": (flatten_users, USERS_SQL),
     "write_users": (users_table, USERS_SQL),

@@ -183,20 +183,21 @@ FROM customer"""
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items name candidates: one edge kind by return flag, priority by quantity."""
+    """Line items name candidates: those flagged N recommend, others forward; priority by quantity."""
     items = table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("channel_id"),
         F.col("l_quantity").cast("bigint").alias("priority"),
         "l_returnflag",
     )
-    pick = lambda flag: items.filter(F.col("l_returnflag") == flag).drop("l_returnflag")
-    return graph.merge_candidates(pick("A"), pick("N"))
+    recommends = F.col("l_returnflag") == "N"
+    pick = lambda kind: items.filter(kind).drop("l_returnflag")
+    return graph.merge_candidates(pick(~recommends), pick(recommends))
 
 
 _CANDIDATES_SQL = """cand AS (
   SELECT l_partkey AS channel_id, coalesce(min(CAST(l_quantity AS BIGINT)) FILTER (WHERE l_returnflag = 'N'),
-    min(CAST(l_quantity AS BIGINT)) FILTER (WHERE l_returnflag = 'A')) AS priority
-  FROM lineitem WHERE l_returnflag IN ('A', 'N') GROUP BY 1)"""
+    min(CAST(l_quantity AS BIGINT)) FILTER (WHERE l_returnflag <> 'N')) AS priority
+  FROM lineitem GROUP BY 1)"""
 
 
 def merge_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,11 +214,11 @@ SELECT * FROM cand WHERE channel_id NOT IN (SELECT p_partkey FROM part WHERE p_s
 
 
 def frontier_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The next hundred channels to explore."""
-    return graph.frontier_order(_candidates(spark, sf_dir), 100)
+    """All channels in the order they would be explored."""
+    return graph.frontier_order(_candidates(spark, sf_dir))
 
 
-FRONTIER_SQL = f"WITH {_CANDIDATES_SQL} SELECT * FROM cand ORDER BY priority, channel_id LIMIT 100"
+FRONTIER_SQL = f"WITH {_CANDIDATES_SQL} SELECT * FROM cand ORDER BY priority, channel_id"
 
 
 def run_progress(spark: SparkSession, sf_dir: str) -> DataFrame:

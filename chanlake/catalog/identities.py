@@ -171,8 +171,8 @@ _EMAIL = "[A-Za-z0-9._-]+@[A-Za-z0-9.-]+[A-Za-z0-9]"
 
 
 def redact_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents whose e-mail addresses are entities, with the spans found by pattern."""
-    documents = table(spark, sf_dir, "documents", spread=True).filter(F.col("text").rlike(_EMAIL))
+    """All documents; e-mail addresses are entities, with the spans found by pattern."""
+    documents = table(spark, sf_dir, "documents", spread=True)
     # Alternating pieces: text, address, text, ... The offsets are running lengths.
     found = F.regexp_extract_all("text", F.lit(f"({_EMAIL})"), F.lit(1))
     rest = F.split("text", _EMAIL, -1)
@@ -209,11 +209,12 @@ def redact_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
 REDACT_EMAILS_SQL = f"""
 WITH hit AS (SELECT doc_id, text, regexp_extract_all(text, '{_EMAIL}') AS found,
     regexp_split_to_array(text, '{_EMAIL}') AS rest
-  FROM documents WHERE regexp_matches(text, '{_EMAIL}')),
+  FROM documents),
 piece AS (SELECT doc_id, i, rest[i] AS text, found[i] AS mail FROM hit, LATERAL unnest(range(1, len(rest) + 1)) t(i)),
 coded AS (SELECT doc_id, i, text || coalesce({hmac_sql("split_part(mail, '@', 1)")} || '@' ||
     {hmac_sql("split_part(mail, '@', 2)")}, '') AS part FROM piece)
-SELECT doc_id, string_agg(part, '' ORDER BY i) AS redacted FROM coded GROUP BY doc_id"""
+SELECT doc_id, redacted FROM documents LEFT JOIN
+  (SELECT doc_id, string_agg(part, '' ORDER BY i) AS redacted FROM coded GROUP BY doc_id) USING (doc_id)"""
 
 
 def _entity(kind: str, offset: Column, length: Column, url: Column | None = None) -> Column:

@@ -170,16 +170,21 @@ SELECT channel_id, reaction, CAST(sum(n) AS BIGINT) AS total FROM pairs GROUP BY
 
 def reactions_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = upsert.reactions_wide(flat(spark, sf_dir).select("channel_id", "id", "reactions"))
+    counts = [F.col(f"`{c}`") for c in wide.columns if c.startswith("reactions.")]
     return wide.select(
         "channel_id",
         "id",
         F.col("`reactions.A`").alias("a"),
         F.col("`reactions.7`").alias("seven"),
+        F.size(F.array_compact(F.array(*counts))).cast("bigint").alias("kinds"),
+        F.aggregate(F.array_compact(F.array(*counts)), F.lit(0).cast("bigint"), lambda t, n: t + n).alias("total"),
     )
 
 
 REACTIONS_WIDE_SQL = f"""WITH {MESSAGES_SQL}
-SELECT channel_id, id, count_a AS a, CAST(CASE WHEN k = 7 THEN count_doc END AS BIGINT) AS seven FROM content"""
+SELECT channel_id, id, count_a AS a, CAST(CASE WHEN k = 7 THEN count_doc END AS BIGINT) AS seven,
+  CAST((count_a IS NOT NULL)::INT + (count_doc IS NOT NULL)::INT AS BIGINT) AS kinds,
+  CAST(coalesce(count_a, 0) + coalesce(count_doc, 0) AS BIGINT) AS total FROM content"""
 
 
 def _written_lines(spark: SparkSession, sf_dir: str) -> str:

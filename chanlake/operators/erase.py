@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chanlake.session import materialised
-from chanlake.sources.tables import BUCKET, DEFAULT_BUCKETS, bucket_of
+from chanlake.session import discard, stages
+from chanlake.sources.tables import BUCKET, DEFAULT_BUCKETS, MONTH, bucket_of, folder_name
 
 
 def erase_channels(df: DataFrame, tombstones: DataFrame, key: str = "channel_id") -> DataFrame:
@@ -31,7 +31,8 @@ def erase_from_table(
 ) -> None:
     """Rewrite the buckets of a stored table that hold erased channels.
 
-    Only those buckets are read and replaced. A bucket left without rows is removed.
+    Only those buckets are read and replaced. A folder left without rows is removed, and so
+    is the stage of what is kept.
     """
     spark = table.sparkSession
     touched = tombstones.select(bucket_of("channel_id", buckets).alias(BUCKET)).distinct()
@@ -39,19 +40,22 @@ def erase_from_table(
     if not numbers:
         return
     saved = spark.read.parquet(path)
-    kept = materialised(
-        erase_channels(saved.filter(F.col(BUCKET).isin(numbers)), tombstones), "kept"
-    )
-    (
-        kept.hint("rebalance", BUCKET)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(path)
-    )
-    filled = {row[0] for row in kept.select(BUCKET).distinct().collect()}
-    jvm = spark.sparkContext._jvm
-    for number in set(numbers) - filled:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{BUCKET}={number}")
-        fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        fs.delete(folder, True)
+    folders = [c for c in (BUCKET, MONTH) if c in saved.columns]
+    hit = saved.filter(F.col(BUCKET).isin(numbers))
+    with stages(spark) as stage:
+        kept = stage(erase_channels(hit, tombstones), "kept")
+        emptied = stage(
+            hit.select(folder_name(folders).alias("name"))
+            .distinct()
+            .join(kept.select(folder_name(folders).alias("name")), "name", "left_anti"),
+            "emptied",
+        )
+        (
+            kept.hint("rebalance", *folders)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*folders)
+            .parquet(path)
+        )
+        for row in emptied.collect():  # at most one short name for each bucket and month
+            discard(spark, f"{path.rstrip('/')}/{row.name}")

@@ -10,6 +10,7 @@ from chanlake.session import materialised
 from chanlake.sources.paths import list_exists, missing_columns
 
 BUCKET = "channel_bucket"
+MONTH = "date_month"
 DEFAULT_BUCKETS = 512
 
 
@@ -31,11 +32,12 @@ def scan_table(
 ) -> DataFrame | None:
     """A saved table cast to ``schema``; None when it is absent or lacks a column.
 
-    None means the table must be rebuilt from its sources.
+    None means the table must be rebuilt from its sources. One file's footer tells the
+    columns: every write gives all of them.
     """
     if not list_exists(spark, path):
         return None
-    saved = spark.read.option("mergeSchema", True).parquet(path)
+    saved = spark.read.parquet(path)
     if missing_columns(saved.schema, schema):
         return None
     return to_schema(saved, schema, keep)
@@ -48,37 +50,62 @@ def bucket_of(channel_id: str | Column, buckets: int = DEFAULT_BUCKETS) -> Colum
     return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
 
 
+def month_of(date: str | Column) -> Column:
+    """The month of a date as a number such as 202401; 0 where there is none."""
+    date = F.col(date) if isinstance(date, str) else date
+    return F.coalesce(F.year(date) * 100 + F.month(date), F.lit(0)).cast("int")
+
+
+def folders_of(df: DataFrame) -> list[str]:
+    """The folder levels of a table of such rows: channel buckets, then months if rows have a time."""
+    has_time = dict(df.dtypes).get("date", "").startswith(("timestamp", "date"))
+    return [BUCKET, MONTH] if has_time else [BUCKET]
+
+
+def with_folders(df: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Add the columns that name a row's folder."""
+    named = df.withColumn(BUCKET, bucket_of("channel_id", buckets))
+    return named.withColumn(MONTH, month_of("date")) if MONTH in folders_of(df) else named
+
+
+def folder_name(folders: list[str]) -> Column:
+    """A row's folder as text. As these are partition columns, a filter on it prunes folders."""
+    return F.concat_ws("/", *(F.concat(F.lit(f"{f}="), F.col(f).cast("string")) for f in folders))
+
+
 def write_bucketed(
     df: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS, dynamic: bool = True
 ) -> None:
-    """Write a table in channel buckets, replacing only the buckets present in ``df``
-    (all of them if not ``dynamic``).
+    """Write a table in channel buckets, and in months of ``date`` where there is one,
+    replacing only the folders present in ``df`` (all of them if not ``dynamic``).
 
-    The rows are rebalanced by bucket at run time: small buckets share a task, and one
+    The rows are rebalanced by folder at run time: small folders share a task, and one
     that a hot channel fills is split over as many tasks as its size asks for. Row order
     inside a file is by date where there is one, which keeps row-group statistics narrow.
     """
-    bucketed = df.withColumn(BUCKET, bucket_of("channel_id", buckets))
-    order = [BUCKET] + [c for c in ("date",) if c in df.columns]
+    folders = folders_of(df)
+    order = folders + [c for c in ("date",) if c in df.columns]
     (
-        bucketed.hint("rebalance", BUCKET)
+        with_folders(df, buckets)
+        .hint("rebalance", *folders)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-        .partitionBy(BUCKET)
+        .partitionBy(*folders)
         .parquet(path)
     )
 
 
 def create_empty(like: DataFrame, path: str) -> None:
     """A bucketed table without rows: one empty file that holds the columns."""
-    empty = like.sparkSession.createDataFrame([], like.drop(BUCKET).schema)
-    empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BUCKET}=0")
+    folders = folders_of(like)
+    empty = like.sparkSession.createDataFrame([], like.drop(*folders).schema)
+    empty.write.mode("overwrite").parquet("/".join([path.rstrip("/"), *(f"{f}=0" for f in folders)]))
 
 
 def write_messages(df: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -> None:
     """The message table, columns in sorted order."""
-    write_bucketed(df.select(*sorted(c for c in df.columns if c != BUCKET)), path, buckets)
+    write_bucketed(df.select(*sorted(c for c in df.columns if c not in (BUCKET, MONTH))), path, buckets)
 
 
 def write_users(df: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from chanlake.operators.search import merge_seeds_last_wins
 from chanlake.plans.anon_map import merge_map_files
 from chanlake.plans.channel_tables import build_channel_tables
 from chanlake.plans.message_tables import MessageTables
+from chanlake.session import shared_dir
 from chanlake.sources.paths import with_path_params
 from chanlake.sources.tables import scan_table, write_bucketed
 from chanlake.streaming.messages import stream_messages
@@ -60,6 +62,37 @@ def test_upsert_table_touches_only_its_buckets(spark, tmp_path):
     assert scan_table(spark, path, {**schema, "added": "string"}) is None
 
 
+def test_upsert_table_touches_only_its_months(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = {"channel_id": "string", "id": "bigint", "date": "timestamp", "text": "string"}
+    at = [dt.datetime(2024, m, 3) for m in (1, 2, 3)] + [None]
+    start = spark.createDataFrame(
+        [(f"c{c}", i, day, "old") for c in range(3) for i, day in enumerate(at)], "channel_id string, id long, date timestamp, text string"
+    )
+    stages_before = set(Path(shared_dir(spark)).iterdir())
+    assert upsert.upsert_table(start, path, schema, buckets=2)
+    times = {f: f.stat().st_mtime_ns for f in Path(path).rglob("*.parquet")}
+    new = spark.createDataFrame(
+        [("c1", 1, at[1], "new", 7), ("c1", 9, at[1], "new", 7)],
+        "channel_id string, id long, date timestamp, text string, extra long",
+    )
+    assert upsert.upsert_table(new, path, schema, buckets=2)
+    left = {f: f.stat().st_mtime_ns for f in Path(path).rglob("*.parquet")}
+    gone, came = times.keys() - left.keys(), left.keys() - times.keys()
+    assert all("date_month=202402" in str(f) for f in gone | came) and gone and came
+    assert all(left[f] == t for f, t in times.items() if f in left)
+    saved = spark.read.parquet(path)
+    assert saved.count() == 13 and rows(saved.filter("text='new'"), "channel_id", "id") == [("c1", 1), ("c1", 9)]
+    undated = spark.createDataFrame([("c1", 3, None, "newer", None)], new.schema)
+    assert upsert.upsert_table(undated, path, schema, buckets=2)
+    assert rows(spark.read.parquet(path).filter("date is null and text='newer'"), "channel_id", "id") == [("c1", 3)]
+    erase_from_table(spark.read.parquet(path), path, new.select("channel_id"), 2)
+    assert {r.channel_id for r in spark.read.parquet(path).collect()} == {"c0", "c2"}
+    assert spark.read.parquet(path).count() == 8
+    assert set(Path(shared_dir(spark)).iterdir()) == stages_before  # no stage is left
+    assert upsert.needs_rebuild(spark, path, {**schema, "more": "string"}) and not upsert.needs_rebuild(spark, path, schema)
+
+
 def test_erase(spark, tmp_path):
     path = str(tmp_path / "t")
     write_bucketed(messages(spark, *((f"c{i}", 1, "x", 0) for i in range(20))), path, 8)
