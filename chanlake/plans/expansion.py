@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,10 @@ from chanlake.operators.language import detect_language
 from chanlake.operators.periods import expected_periods, missing_periods, resume_offsets
 from chanlake.operators.pseudonyms import deanonymise
 from chanlake.session import materialised
+from chanlake.sources.paths import list_exists
+
+# From ``id, text`` to ``id, language``, null where the language is in doubt.
+Detector = Callable[[DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -22,14 +27,18 @@ class Expansion:
     frontier: DataFrame
     issues: DataFrame
     fetch: DataFrame
+    unknown: DataFrame  # channels that cannot be scored: a counter or their date is missing
+
+
+def trigram_detector(profiles: DataFrame, languages: list[str]) -> Detector:
+    return lambda texts: detect_language(texts, profiles, languages, ["id"])
 
 
 def score_nodes(
     docs: DataFrame,
     edges: DataFrame,
     anon_map: DataFrame | None,
-    profiles: DataFrame,
-    languages: list[str],
+    detector: Detector,
     now: Column,
 ) -> DataFrame:
     """``channel_id, has_doc, spam, language`` of all documents and all edge ends."""
@@ -37,7 +46,7 @@ def score_nodes(
     if anon_map is not None:
         fields = deanonymise(fields, anon_map, "title")
     texts = fields.select("id", clean_text(channel_text(F.col("title"), F.col("about"))).alias("text"))
-    language = detect_language(texts, profiles, languages, ["id"])
+    language = detector(texts)
     spam = G.looks_like_spam(F.col("pts"), F.col("participants_count"), F.col("date"), now)
     known = fields.join(language, "id").select(
         F.col("id").alias("channel_id"), F.lit(True).alias("has_doc"), spam.alias("spam"), "language"
@@ -52,18 +61,23 @@ def expand(
     messages: DataFrame,
     seeds: DataFrame,
     processed: DataFrame,
-    profiles: DataFrame,
-    languages: list[str],
+    profiles: DataFrame | None,
+    languages: list[str] | None,
     now: Column,
     anon_map: DataFrame | None = None,
+    detector: Detector | None = None,
 ) -> Expansion:
-    """From documents and flat messages (with ``channel_id, period``) to the next step."""
+    """From documents and flat messages (with ``channel_id, period``) to the next step.
+
+    ``detector`` takes the place of the trigram profiles.
+    """
+    detector = detector or trigram_detector(profiles, languages)
     forwards = G.forward_pairs(messages).select(
         F.col("channel_id").alias("src"), F.col("source_id").alias("dst"), F.lit(G.FORWARD).alias("kind")
     )
     edges = materialised(G.channel_edges(docs).unionByName(forwards).distinct(), "edges")
     nodes = materialised(
-        score_nodes(docs, edges, anon_map, profiles, languages, now), "nodes"
+        score_nodes(docs, edges, anon_map, detector, now), "nodes"
     )
     visited = G.snowball(edges, nodes, seeds)
     channels = G.matching_doc_fields(docs).select(F.col("id").alias("channel_id"), "date")
@@ -77,4 +91,15 @@ def expand(
         frontier=G.minus_processed(visited, processed),
         issues=G.issue_table(pairs, channels.withColumnRenamed("channel_id", "id")),
         fetch=resume_offsets(fetch, messages),
+        unknown=nodes.filter("has_doc AND spam IS NULL").select("channel_id"),
     )
+
+
+def record_issues(issues: DataFrame, path: str) -> None:
+    """Add the issues that the stored table lacks; a repeated step adds nothing."""
+    pair = ["channel_id", "source_id"]
+    rows = issues.dropDuplicates(pair)
+    if list_exists(issues.sparkSession, path):
+        rows = rows.join(issues.sparkSession.read.parquet(path).select(*pair), pair, "left_anti")
+        rows = materialised(rows, "issues")
+    rows.write.mode("append").parquet(path)

@@ -133,20 +133,25 @@ def write_version(df: DataFrame, root: str, version: str) -> str:
     return path
 
 
-def latest_version(spark: SparkSession, root: str) -> str | None:
-    """Path of the newest complete version of a table, None if there is none."""
+def versions(spark: SparkSession, root: str) -> list[str]:
+    """Names of all complete versions of a table, in order; no data is read."""
     if not list_exists(spark, root):
-        return None
+        return []
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(root)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = [
-        status.getPath().toString()
+    return sorted(
+        status.getPath().getName().removeprefix("version=")
         for status in fs.listStatus(folder)
         if status.getPath().getName().startswith("version=")
         and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-    ]
-    return max(done, default=None)
+    )
+
+
+def latest_version(spark: SparkSession, root: str) -> str | None:
+    """Path of the newest complete version of a table, None if there is none."""
+    done = versions(spark, root)
+    return f"{root.rstrip('/')}/version={done[-1]}" if done else None
 
 
 def write_channel_docs(docs: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -> None:

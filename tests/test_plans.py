@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from chanlake.functions.text import channel_text
 from chanlake.operators.language import train_profiles
-from chanlake.plans.expansion import expand
+from chanlake.plans.expansion import expand, record_issues
 from chanlake.plans.keywords import search_round, write_round
-from chanlake.plans.observations import admissions, roll_up, track
+from chanlake.plans.observations import admissions, observation_log, roll_up, track
 from chanlake.schemas import CHANNEL_DOC, ddl
 from chanlake.sources.tables import latest_version
 from tests.conftest import rows
@@ -19,7 +19,7 @@ ENGLISH = "the quick brown fox jumps over the lazy dog and then the other thing
 FRENCH = "le renard brun saute par dessus le chien paresseux et puis les autres choses qui étaient là"
 
 
-def test_expansion(spark):
+def test_expansion(spark, tmp_path):
     import json
 
     def doc(name, about, pts=1, linked=(), **lists):
@@ -35,6 +35,7 @@ def test_expansion(spark):
         doc("c", FRENCH),
         doc("s", ENGLISH, pts=10**9),
         doc("far", ENGLISH),
+        doc("blank", ENGLISH, pts=None),
     ]
     parsed = spark.createDataFrame([(d,) for d in docs], "v string").select(
         F.from_json("v", ddl(CHANNEL_DOC)).alias("d")
@@ -53,6 +54,16 @@ def test_expansion(spark):
     assert dict(rows(step.visited)) == {"a": 2, "b": 3, "c": 4, "s": 9_999_999}
     assert rows(step.frontier, "channel_id") == [("b",), ("c",), ("s",)]
     assert rows(step.issues, "channel_id", "source_id") == [("a", "gone")]
+    assert rows(step.unknown) == [("blank",)]
+    issues = str(tmp_path / "issues")
+    for _ in range(2):
+        record_issues(step.issues, issues)
+    more = spark.createDataFrame([("a", "gone"), ("b", "gone")], "channel_id string, source_id string")
+    record_issues(more, issues)
+    assert rows(spark.read.parquet(issues), "channel_id", "source_id") == [("a", "gone"), ("b", "gone")]
+    every = lambda texts: texts.select("id", F.lit("FR").alias("language"))
+    hooked = expand(parsed, messages, seeds, done, None, None, now, detector=every)
+    assert dict(rows(hooked.visited)) == {"a": 1, "b": 2, "c": 3, "s": 9_999_999}
     fetch = step.fetch.filter("channel_id='a'")
     assert rows(fetch, "period", "offset_id") == [
         ("2024-01-01_to_2024-02-01", 5),
@@ -90,6 +101,30 @@ def test_admission_goes_on_from_what_was_followed(spark, tmp_path):
         track(spark, nothing, hour(h, 60), log, str(h))
     assert admissions(spark, log).count() == 159
     assert spark.read.parquet(latest_version(spark, log)).count() == 0
+    assert observation_log(spark, log).count() == 0
+
+
+def test_rounds_are_appended(spark, tmp_path):
+    """An almost full channel, a message that vanishes and comes back, a pull over several
+    hours, and a round that is repeated."""
+    log = str(tmp_path / "log")
+    at = lambda h: dt.datetime(2024, 1, 1, h)
+    fields = "channel_id string, id long, date timestamp, queried_at timestamp, views long"
+    frame = lambda data: spark.createDataFrame(data, fields)
+    track(spark, frame([]), frame([("a", i, at(0), at(1), i) for i in range(99)]), log, "1")
+    first = {f: f.stat().st_mtime_ns for f in (tmp_path / "log").rglob("*.parquet")}
+    seen = [("a", i, None, at(h), 100 + h) for i in range(98) for h in (2, 3)]  # 98 is gone
+    for _ in range(2):
+        track(spark, frame(seen), frame([("a", 200 + i, at(2), at(3), 1) for i in range(3)]), log, "2")
+    late = [("a", i, None, at(4), 7) for i in (*range(1, 99), 200, 999)]  # 0, 201, 202 are gone, 98 is back
+    track(spark, frame(late), frame([("a", 300, at(4), at(4), 1)]), log, "3")
+    assert all(f.stat().st_mtime_ns == t for f, t in first.items())
+    assert admissions(spark, log).count() == 102
+    kept = dict(rows(observation_log(spark, log).groupBy("id").agg(F.array_sort(F.collect_list("queried_at")))))
+    assert kept == {**{i: [at(1), at(3), at(4)] for i in range(1, 98)}, 200: [at(3), at(4)]}
+    marked = observation_log(spark, log, mark_deleted=True)
+    assert rows(marked.filter("deleted").select("id").distinct()) == [(0,), (201,), (202,)]
+    assert marked.select("id").distinct().count() == 102
 
 
 def test_search_round(spark, tmp_path):
