@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ from chanlake.functions.pseudonym import hashed, keyed, unkeyed
 from chanlake.functions.redact import redact_entities, rewrite
 from chanlake.operators import anonymise as A
 from chanlake.operators import pseudonyms as P
+from chanlake.plans.message_tables import MessageTables, build_message_tables
+from chanlake.plans.private_logs import STORED_FILES, STORED_TEMPLATE, StoredLogs, store_private_logs
 from chanlake.schemas import CHANNEL_DOC, PRIVATE_MESSAGE, ddl
 from chanlake.session import work_path
 from chanlake.sources.lists import scan_anon_maps
@@ -261,8 +265,8 @@ SELECT o_orderkey, '😀 hi @' || {hmac_sql(_NAME)} || ', see https://x.example/
 FROM orders"""
 
 
-def private_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as messages before pseudonymisation, decoded from JSON."""
+def private_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON lines of messages before pseudonymisation, with ``channel_id, period, k``."""
     rows = message_structs(spark, sf_dir)
     user = F.regexp_extract("channel_id", r"(\d+)", 1)
     peer = F.struct(F.lit("PeerChannel").alias("_"), user.cast("bigint").alias("channel_id"))
@@ -295,6 +299,17 @@ def private_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     name.alias("from_name"),
                 ),
             ).alias("fwd_from"),
+            F.when(
+                (F.col("_") == "Message") & (F.col("k") % 6 == 0),
+                F.struct(
+                    F.lit("MessageMediaWebPage").alias("_"),
+                    F.struct(
+                        F.col("k").alias("id"),
+                        F.concat(F.lit("https://x.example/"), "k").alias("url"),
+                        F.struct(F.array("id").alias("blocks"), F.lit(True).alias("part")).alias("cached_page"),
+                    ).alias("webpage"),
+                ),
+            ).alias("media"),
             F.when(
                 F.col("_") == "Message",
                 F.array(_entity("Mention", F.lit(3), F.length(name) + 1)),
@@ -304,10 +319,12 @@ def private_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_action = F.concat(
         F.substring(record, F.lit(1), F.length(record) - 1), F.lit(',"action":'), "action", F.lit("}")
     )
-    lines = rows.select(
-        "channel_id", "k", F.coalesce(with_action, record).alias("value")
-    )
-    return valid(decode(lines, PRIVATE_MESSAGE))
+    return rows.select("channel_id", "period", "k", F.coalesce(with_action, record).alias("value"))
+
+
+def private_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as messages before pseudonymisation, decoded from JSON."""
+    return valid(decode(private_lines(spark, sf_dir).drop("period"), PRIVATE_MESSAGE))
 
 
 _MSG_SQL = f"""{EVENTS_SQL},
@@ -370,6 +387,64 @@ ORIGINS_SQL = f"""WITH {_MSG_SQL}
 SELECT DISTINCT channel_id, 'c' || k AS forwarded_id FROM pm WHERE k % 14 = 0"""
 
 
+_LOG = "channel_id={channel_id}/period={period}/{file}"
+
+
+def private_logs_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job, run twice: private logs on disk to stored logs, and those to tables.
+
+    All that it leaves: maps and forwards of channels, cached pages, pruned pages in stored
+    messages, the message table and the service messages' kinds.
+    """
+    private, root = work_path(spark, "private-logs"), work_path(spark, "stored")
+    lines = private_lines(spark, sf_dir).select("channel_id", "period", "value")
+    lines.hint("rebalance", "channel_id", "period").write.partitionBy("channel_id", "period").text(private)
+    names = ("messages", "maps", "forwards", "pages", "quarantine")
+    stored = StoredLogs(*(f"{root}/{name}" for name in names))
+    for _ in range(2):
+        store_private_logs(spark, private, stored, KEY, _LOG, "*.txt", 16)
+    tables = MessageTables(f"{root}/message-table", f"{root}/service-table", f"{root}/bad")
+    build_message_tables(spark, stored.messages, tables, 16, STORED_TEMPLATE, STORED_FILES)
+    read = spark.read.parquet
+    page = F.get_json_object("page", "$.url")
+    text = spark.read.schema("value string, channel_id string, period string").text(stored.messages)
+    blocks = F.get_json_object("value", "$.media.webpage.cached_page.blocks")
+    parts = [
+        ("map", read(stored.channel_maps), "channel_id", "original", "hash"),
+        ("forward", read(stored.forwards), "channel_id", "forwarded_id", F.lit(None)),
+        ("page", read(stored.cached_pages), F.lit(None), "media_id", page),
+        ("pruned", text.filter(blocks.isNotNull()), "channel_id", F.get_json_object("value", "$.id"), blocks),
+        ("message", read(tables.messages), "channel_id", "id", "message"),
+        ("service", read(tables.service), "channel_id", "id", "action_type"),
+    ]
+    shown = [
+        rows.select(F.lit(kind).alias("kind"), *(
+            (F.col(c) if isinstance(c, str) else c).cast("string").alias(name)
+            for c, name in zip(columns, ("channel_id", "item", "value"), strict=True)
+        ))
+        for kind, rows, *columns in parts
+    ]
+    return reduce(DataFrame.unionByName, shown)
+
+
+STORED_SQL = f"""WITH {_MSG_SQL},
+ids AS (
+  SELECT channel_id, CAST(user_id AS VARCHAR) AS original FROM pm
+  UNION SELECT channel_id, CASE k % 4 WHEN 0 THEN 'u' || user_id WHEN 1 THEN 'c' || user_id WHEN 2 THEN 'g' || k END FROM pm
+  UNION SELECT channel_id, name FROM pm WHERE content
+  UNION SELECT channel_id, CAST(k AS VARCHAR) FROM pm WHERE content AND k % 2 = 1
+  UNION SELECT channel_id, CASE WHEN k % 14 = 0 THEN 'c' || k ELSE 'u' || k END FROM pm WHERE content AND k % 7 = 0
+  UNION SELECT channel_id, 't' || k FROM pm WHERE NOT content AND k % 2 = 0
+  UNION SELECT channel_id, CAST(k AS VARCHAR) FROM pm WHERE NOT content AND k % 2 = 1)
+SELECT 'map' AS kind, channel_id, original AS item, {hmac_sql('original')} AS value FROM ids WHERE original IS NOT NULL
+UNION ALL SELECT DISTINCT 'forward', channel_id, 'c' || k, NULL FROM pm WHERE k % 14 = 0
+UNION ALL SELECT DISTINCT 'page', NULL, CAST(k AS VARCHAR), 'https://x.example/' || k FROM pm WHERE content AND k % 6 = 0
+UNION ALL SELECT 'pruned', channel_id, CAST(id AS VARCHAR), '[]' FROM pm WHERE content AND k % 6 = 0
+UNION ALL SELECT 'message', channel_id, CAST(id AS VARCHAR), 'hi @' || {hmac_sql('name')} || ' ok' FROM pm WHERE content
+UNION ALL SELECT 'service', channel_id, CAST(id AS VARCHAR),
+  CASE WHEN k % 2 = 0 THEN 'MessageActionChatEditTitle' ELSE 'MessageActionChatAddUser' END FROM pm WHERE NOT content"""
+
+
 def anonymise_service(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = private_messages(spark, sf_dir).filter(F.col("_") == "MessageService")
     return keyed(rows, KEY).select("channel_id", "id", anonymise_action(F.col("action")).alias("action"))
@@ -455,6 +530,7 @@ ENTRIES: dict[str, Entry] = {
     "redact_emails": (redact_emails, REDACT_EMAILS_SQL),
     "redact_mentions": (redact_mentions, REDACT_MENTIONS_SQL),
     "preprocess_messages": (preprocess_messages, PREPROCESS_SQL),
+    "store_private_logs": (private_logs_stored, STORED_SQL),
     "collect_pseudonym_map": (collect_pseudonym_map, COLLECT_SQL),
     "forward_origins": (forward_origins, ORIGINS_SQL),
     "anonymise_service": (anonymise_service, SERVICE_SQL),

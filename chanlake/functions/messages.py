@@ -107,23 +107,27 @@ def action_body(action: Column) -> Column:
     return F.to_json(F.map_filter(fields, lambda k, _: k != "_"))
 
 
+def emptied_page(cached: Column) -> Column:
+    """A cached page, as JSON text, with its bulky lists emptied; null stays null.
+
+    Absent lists are added empty too: setting them does not depend on their presence.
+    """
+    fields = F.from_json(cached, "map<string,variant>")
+    bulky = ("blocks", "photos", "documents")
+    empty = F.create_map(*(c for name in bulky for c in (F.lit(name), F.parse_json(F.lit("[]")))))
+    kept = F.map_filter(fields, lambda k, _: ~k.isin(*bulky))
+    return F.when(fields.isNotNull(), F.to_json(F.map_concat(kept, empty)))
+
+
 def prune_cached_page(page: Column) -> Column:
     """A web page whose cached page has its bulky lists emptied; others unchanged.
 
     ``page`` is JSON text. Null or absent cached pages are left alone.
     """
     fields = F.from_json(page, "map<string,variant>")
-    cached = F.from_json(F.get_json_object(page, "$.cached_page"), "map<string,variant>")
-    bulky = ("blocks", "photos", "documents")
-    # Absent lists are added empty too: setting them does not depend on their presence.
-    emptied = F.map_concat(
-        F.map_filter(cached, lambda k, _: ~k.isin(*bulky)),
-        F.create_map(
-            *(c for name in bulky for c in (F.lit(name), F.parse_json(F.lit("[]"))))
-        ),
-    )
+    emptied = emptied_page(F.get_json_object(page, "$.cached_page"))
     rebuilt = F.map_concat(
         F.map_filter(fields, lambda k, _: k != "cached_page"),
-        F.create_map(F.lit("cached_page"), F.parse_json(F.to_json(emptied))),
+        F.create_map(F.lit("cached_page"), F.parse_json(emptied)),
     )
-    return F.when(cached.isNull(), page).otherwise(F.to_json(rebuilt))
+    return F.when(emptied.isNull(), page).otherwise(F.to_json(rebuilt))

@@ -32,6 +32,8 @@ MEDIA = (
     "voice:boolean,webpage:struct<id:bigint,url:string,type:string,site_name:string,"
     "title:string,description:string>>"
 )
+# Before pseudonymisation a web page may hold its cached page, as JSON text.
+PRIVATE_MEDIA = MEDIA.replace("description:string", "description:string,cached_page:string")
 FORWARD = f"struct<date:timestamp,from_id:{PEER},channel_post:bigint>"
 REPLY = f"struct<reply_to_msg_id:bigint,reply_to_peer_id:{PEER},forum_topic:boolean>"
 REACTIONS = (
@@ -90,7 +92,7 @@ PRIVATE_MESSAGE: Schema = {
     "peer_id": PEER,
     "from_id": PEER,
     "post_author": "string",
-    "media": MEDIA,
+    "media": PRIVATE_MEDIA,
     "fwd_from": (
         f"struct<date:timestamp,from_id:{PEER},channel_post:bigint,saved_from_peer:{PEER},"
         "from_name:string,post_author:string>"

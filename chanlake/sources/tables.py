@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chanlake.schemas import Schema
-from chanlake.session import materialised
+from chanlake.session import stages
 from chanlake.sources.paths import list_exists, missing_columns
 
 BUCKET = "channel_bucket"
 MONTH = "date_month"
 DEFAULT_BUCKETS = 512
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def to_schema(df: DataFrame, schema: Schema, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -162,8 +163,9 @@ def write_channel_docs(docs: DataFrame, path: str, buckets: int = DEFAULT_BUCKET
 
 
 def write_monthly_jsonl(messages: DataFrame, path: str, period: Column) -> None:
-    """Messages in one folder per channel and period; columns keep their nesting.
+    """Messages in one folder per channel and period; columns keep their nesting, nulls are written.
 
+    Only the folders of channels and periods in ``messages`` are replaced.
     Rebalanced at run time, so that a month which holds much of the data is written by
     several tasks and small ones share one.
     """
@@ -171,13 +173,16 @@ def write_monthly_jsonl(messages: DataFrame, path: str, period: Column) -> None:
     (
         rows.hint("rebalance", "channel_id", "period")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("timestampFormat", MICROS)
+        .option("ignoreNullFields", False)
         .partitionBy("channel_id", "period")
         .json(path)
     )
 
 
-def add_first_written(new: DataFrame, path: str, key: str, order: Column) -> DataFrame:
-    """Append the rows whose key is not stored yet, one per key, and give them back."""
+def add_first_written(new: DataFrame, path: str, key: str, order: Column) -> None:
+    """Append the rows whose key is not stored yet, one per key: the first by ``order``."""
     spark = new.sparkSession
     fresh = new
     if list_exists(spark, path):
@@ -186,12 +191,11 @@ def add_first_written(new: DataFrame, path: str, key: str, order: Column) -> Dat
     fresh = fresh.groupBy(key).agg(
         F.min_by(F.struct(*(c for c in new.columns if c != key)), order).alias("_first")
     )
-    fresh = materialised(fresh.select(key, "_first.*"), "fresh")
-    fresh.write.mode("append").parquet(path)
-    return fresh
+    with stages(spark) as stage:
+        stage(fresh.select(key, "_first.*"), "fresh").write.mode("append").parquet(path)
 
 
-def write_cached_pages(pages: DataFrame, path: str) -> DataFrame:
+def write_cached_pages(pages: DataFrame, path: str) -> None:
     """Full web pages by ``media_id``; the first one written stays."""
     order = F.col("seen_at") if "seen_at" in pages.columns else F.xxhash64("page")
-    return add_first_written(pages, path, "media_id", order)
+    add_first_written(pages, path, "media_id", order)
