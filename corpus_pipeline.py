@@ -1,7 +1,9 @@
 """From raw documents to training shards: five stages, each written as Parquet and reread.
 
 A stage takes ``(spark, docs, sf_dir)`` and works on all rows that its predecessor kept. All
-but the last return the columns of ``documents``. An empty input gives an empty result.
+but the last return the columns of ``documents`` with their values, extra ones included,
+whatever their names; the last replaces ``size``, ``shard`` and ``slot``. Rows without an id
+are kept unless their text is rejected. An empty input gives an empty result.
 """
 
 from __future__ import annotations
@@ -15,6 +17,17 @@ from chanlake.llm.ship import ship
 from chanlake.session import configure, materialised
 
 
+def _carried(docs: DataFrame, *needed: str) -> DataFrame:
+    """The needed columns and all others in ``_others``: no name clashes with an operator's own."""
+    others = [c for c in docs.columns if c not in needed]
+    return docs.select(*needed, F.struct(*others).alias("_others")) if others else docs.select(*needed)
+
+
+def _restored(rows: DataFrame, docs: DataFrame, *needed: str) -> DataFrame:
+    """The columns of ``docs`` with their own values."""
+    return rows.select(*(F.col(c) if c in needed else F.col("_others").getField(c).alias(c) for c in docs.columns))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts in a language that was learned; those the identifier rejects go.
 
@@ -22,7 +35,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     configure(ship(spark))
     model = langid.train(docs.filter(fold("doc_id", 5) != 0).select("doc_id", "text", "lang"))
-    return langid.identify(docs, model).filter(~F.col("rejected")).select(*docs.columns)
+    found = langid.identify(_carried(docs, "doc_id", "text"), model)
+    return _restored(found.filter(~F.col("rejected")), docs, "doc_id", "text")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +55,9 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training mix in the order of its positions; a document has a row for each copy."""
     configure(spark)
-    return mixing.training_order(mixing.curriculum(docs)).select(*docs.columns)
+    needed = ("doc_id", "source", "text")
+    mixed = mixing.curriculum(_carried(docs, *needed))
+    return _restored(mixing.training_order(mixed), docs, *needed)
 
 
 def shard_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
