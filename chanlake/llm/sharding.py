@@ -58,7 +58,25 @@ def best_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
 
 
 def pack_evenly(sizes: list[int], bins: int) -> list[int]:
-    """Best fit decreasing with the least capacity that needs no more than ``bins`` bins."""
+    """Bins of near equal totals: an item above the mean of what is left gets a bin of its own,
+    until there is none; best fit decreasing packs the rest into the remaining bins."""
+    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
+    left, own = sum(sizes), 0
+    while own < min(bins - 1, len(order)) and sizes[order[own]] * (bins - own) > left:
+        left -= sizes[order[own]]
+        own += 1
+    placed = [0] * len(sizes)
+    for b, i in enumerate(order[:own]):
+        placed[i] = b
+    rest = order[own:]
+    for i, b in zip(rest, _least_capacity([sizes[i] for i in rest], bins - own), strict=True):
+        placed[i] = own + b
+    return placed
+
+
+def _least_capacity(sizes: list[int], bins: int) -> list[int]:
+    """Best fit decreasing with the least capacity that needs no more than ``bins`` bins; bins
+    it leaves empty take half of the fullest."""
     low, high = -(-sum(sizes) // bins), 2 * -(-sum(sizes) // bins) + max(sizes, default=0)
     low = max(low, max(sizes, default=0))
     best = best_fit_decreasing(sizes, high)
@@ -69,7 +87,25 @@ def pack_evenly(sizes: list[int], bins: int) -> list[int]:
             best, high = trial, middle
         else:
             low = middle + 1
-    return best
+    return _fill_empty(sizes, best, bins)
+
+
+def _fill_empty(sizes: list[int], placed: list[int], bins: int) -> list[int]:
+    placed = list(placed)
+    for empty in range(max(placed, default=-1) + 1, bins):
+        items: list[list[int]] = [[] for _ in range(empty)]
+        for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+            items[placed[i]].append(i)
+        several = [own for own in items if len(own) > 1]
+        if not several:
+            break
+        halves = [0, 0]
+        for i in max(several, key=lambda own: sum(sizes[i] for i in own)):
+            half = halves.index(min(halves))
+            halves[half] += sizes[i]
+            if half:
+                placed[i] = empty
+    return placed
 
 
 def text_bytes(text: str) -> Column:
@@ -85,8 +121,8 @@ def shard(docs: DataFrame, shards: int = 16, units: int = UNITS) -> DataFrame:
     of a mean shard is packed alone: there are fewer than ``shards * units`` of those. All
     others go by a hash of the text into as many bundles, which are packed in their stead;
     so at most twice ``shards * units`` sizes reach the driver, however large the input. A
-    group above a mean shard fills a shard alone and the rest shares what is left. Texts with
-    equal 64-bit hashes count as one group. Empty in, empty out; existing columns of the
+    group above the mean of what is left fills a shard alone and the rest shares the other
+    shards evenly. Texts with equal 64-bit hashes count as one group. Empty in, empty out; existing columns of the
     names added are replaced.
     """
     spark = docs.sparkSession
