@@ -2,8 +2,8 @@
 
 Texts are normalised TF-IDF vectors of hashed letter n-grams. Every language has several
 centroids, found by spherical k-means, and a text gets the language of the centroid with
-the highest cosine. A text too far from its centroid, compared with the learned texts of
-that centroid's language, is rejected.
+the highest cosine. A text is rejected if its cosine is below a floor between those of
+texts of the language that the centroids were not fitted on and those of random letters.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ GRAMS = (1, 2, 3)
 CENTROIDS = 4
 SAMPLE = 400  # texts of a language that the centroids are fitted on, about
 ROUNDS = 8
-MARGIN = 0.25  # a text is rejected below this part of its language's lowest usual cosine
+TAIL = 0.01  # of a language's texts that are not looked at for its floor, and of random ones
 _PIECE = 64  # rows turned into vectors at once
 _LETTER_BYTES = 1 << 22
 
@@ -132,14 +132,37 @@ def cluster(vectors: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return centers
 
 
+def random_letters(texts: list[str], seed: int = 7) -> list[str]:
+    """The texts with every letter replaced by any of their letters, all equally likely."""
+    letters = sorted({c for text in texts for c in set(text.lower()) if c.isalpha()})
+    codes = np.array([ord(c) for c in letters], np.uint32)
+    rng, out = np.random.default_rng(seed), []
+    for text in texts:
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+        at = np.flatnonzero([c.isalpha() for c in text])
+        points[at] = codes[rng.integers(0, len(codes), len(at))]
+        out.append(points.tobytes().decode("utf-32-le", "surrogatepass"))
+    return out
+
+
+def unseen_cosines(vectors: np.ndarray, k: int) -> np.ndarray:
+    """Cosines of each half of the rows with centroids fitted on the other half."""
+    halves = vectors[::2], vectors[1::2]
+    if not len(halves[1]):
+        return np.empty(0)
+    return np.concatenate([(a @ cluster(b, k).T).max(axis=1) for a, b in (halves, halves[::-1])])
+
+
 def train(
     docs: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE, dimensions: int = DIMENSIONS
 ) -> LanguageModel:
     """Learn from ``doc_id, text, lang``; rows without a language or letters are not used.
 
     Document frequencies come from all rows, the centroids of each language from about
-    ``sample`` of its rows, picked by a hash of the id. Without rows there are no languages
-    and every text is unknown.
+    ``sample`` of its rows, picked by a hash of the id. A language's floor is the geometric
+    mean of two cosines: what all but the lowest of its texts reach with centroids they were
+    not fitted on, and what all but the highest of them reach with random letters. Without
+    rows there are no languages and every text is unknown.
     """
     docs = docs.filter(F.col("lang").isNotNull() & has_letters("text"))
     seen, rows = document_frequencies(docs, dimensions)
@@ -152,9 +175,16 @@ def train(
         grams = Grams(dimensions)
         texts = table["text"].to_pylist()
         order = np.argsort(np.asarray(table["doc_id"].fill_null(0)), kind="stable")  # reruns agree
-        values = np.concatenate([grams.vectors([texts[i] for i in order[at : at + _PIECE]], idf) for at in range(0, len(order), _PIECE)])
+        texts = [texts[i] for i in order]
+
+        def vectors(rows):
+            return np.concatenate([grams.vectors(rows[at : at + _PIECE], idf) for at in range(0, len(rows), _PIECE)])
+
+        values = vectors(texts)
         centers = cluster(values, centroids).astype(np.float32)
-        floor = float(np.quantile((values @ centers.T).max(axis=1), 0.01))
+        floor = random = max(float(np.quantile((vectors(random_letters(texts)) @ centers.T).max(axis=1), 1 - TAIL)), 0.0)
+        if len(unseen := unseen_cosines(values, centroids)):
+            floor = float(np.sqrt(random * max(np.quantile(unseen, TAIL), 0.0)))
         return pa.table(
             {
                 "lang": pa.array([table["lang"][0].as_py()] * len(centers), pa.string()),
@@ -172,7 +202,7 @@ def train(
     fitted.sort(key=lambda r: (r.lang, r.center))
     centers = np.array([np.frombuffer(r.center, np.float32) for r in fitted], np.float32)
     return LanguageModel(
-        [r.lang for r in fitted], centers.reshape(-1, dimensions), idf, {r.lang: r.floor * MARGIN for r in fitted}
+        [r.lang for r in fitted], centers.reshape(-1, dimensions), idf, {r.lang: r.floor for r in fitted}
     )
 
 
