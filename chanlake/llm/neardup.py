@@ -5,7 +5,8 @@ symbols that differ. Signatures are cut into CHUNKS; by the pigeonhole principle
 signatures within DISTANCE agree, in some chunk, but for at most DISTANCE // CHUNKS symbols.
 Every way to leave that many symbols out of every chunk is a key, so all pairs within
 DISTANCE share a key. At a similarity of 0.85 a symbol differs with probability 0.15; that
-more than 28 of 64 do has probability 1e-8. Pairs of one key are compared by signature, and
+more than 28 of 64 do has probability 1e-8. At 0.8 more than 29 do with probability 1e-6,
+and 15 chunks still allow one error each, so the keys are the same. Pairs of one key are compared by signature, and
 what is within DISTANCE is confirmed on the full shingle sets.
 """
 
@@ -25,6 +26,7 @@ from chanlake.session import materialised
 SHINGLE = 5
 THRESHOLD = (85, 100)  # links: 100 * intersection >= 85 * union
 SYMBOLS, CHUNKS, DISTANCE = 64, 15, 28
+LOWEST = {28: (85, 100), 29: (80, 100)}  # the least similarity that a distance is made for
 BLOCK = 128  # documents of a block of a large candidate group
 _SEED = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _ODD = mix(_SEED) | np.uint64(1)
@@ -125,8 +127,8 @@ def index_keys(sets: DataFrame) -> DataFrame:
     return sets.select("doc", "sig").mapInArrow(work, "key long, doc long")
 
 
-def _close(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``a, b`` whose signatures are within DISTANCE."""
+def _close(pairs: DataFrame, sets: DataFrame, distance: int) -> DataFrame:
+    """Those of ``a, b`` whose signatures are within ``distance``."""
     sigs = sets.select("doc", "sig")
     both = pairs.join(sigs.select(F.col("doc").alias("a"), F.col("sig").alias("sig_a")), "a").join(
         sigs.select(F.col("doc").alias("b"), F.col("sig").alias("sig_b")), "b"
@@ -137,14 +139,14 @@ def _close(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             if batch.num_rows:
                 far = (_symbols(batch.column(2)) != _symbols(batch.column(3))).sum(axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [c.filter(pa.array(far <= DISTANCE)) for c in batch.columns[:2]], names=["a", "b"]
+                    [c.filter(pa.array(far <= distance)) for c in batch.columns[:2]], names=["a", "b"]
                 )
 
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(work, "a long, b long")
 
 
-def candidate_groups(sets: DataFrame) -> DataFrame:
-    """``node, component`` of the graph of all signatures within DISTANCE of each other.
+def candidate_groups(sets: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``node, component`` of the graph of all signatures within ``distance`` of each other.
 
     Keys with the same members are compared once. Members of a key are first compared with
     the least of them; only keys whose members are not all connected by then, by whatever
@@ -163,7 +165,7 @@ def candidate_groups(sets: DataFrame) -> DataFrame:
     )
     stars = members.filter("doc <> low").select(F.col("doc").alias("a"), F.col("low").alias("b"))
     twos = groups.filter("n = 2").select(F.col("high").alias("a"), F.col("low").alias("b"))
-    close = materialised(_close(stars.unionByName(twos).distinct(), sets), "close")
+    close = materialised(_close(stars.unionByName(twos).distinct(), sets, distance), "close")
     joined = connected(close)
     placed = members.join(joined, F.col("doc") == F.col("node"), "left").select(
         "key", "doc", F.coalesce("component", "doc").alias("component")
@@ -172,7 +174,7 @@ def candidate_groups(sets: DataFrame) -> DataFrame:
     open_keys = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).filter("x <> y")
     rest = placed.join(open_keys.select("key", "n"), "key").join(sets.select("doc", "sig"), "doc")
     more = _block_groups(rest, "key", "n", 8 * BLOCK).groupBy("part", "i", "j").applyInArrow(
-        _close_in_group, "a long, b long"
+        _close_in_group(distance), "a long, b long"
     )
     return connected(close.unionByName(more))
 
@@ -202,13 +204,16 @@ def _block_groups(rows: DataFrame, group: str, n: str, block: int) -> DataFrame:
     )
 
 
-def _close_in_group(table: pa.Table) -> pa.Table:
-    """Links that connect what is within DISTANCE in a group, searched from each row to all
-    rows not reached yet."""
-    table = table.combine_chunks()
-    docs = np.asarray(table["doc"])
-    symbols = _symbols(table["sig"])
-    return _forest(docs, lambda i, rest: (symbols[rest] != symbols[i]).sum(axis=1) <= DISTANCE)
+def _close_in_group(distance: int):
+    def work(table: pa.Table) -> pa.Table:
+        """Links that connect what is within ``distance`` in a group, searched from each row to
+        all rows not reached yet."""
+        table = table.combine_chunks()
+        docs = np.asarray(table["doc"])
+        symbols = _symbols(table["sig"])
+        return _forest(docs, lambda i, rest: (symbols[rest] != symbols[i]).sum(axis=1) <= distance)
+
+    return work
 
 
 def _forest(docs: np.ndarray, near) -> pa.Table:
@@ -285,7 +290,10 @@ def _similar(sets: list[np.ndarray], over: int, under: int):
 
 
 def near_duplicates(
-    docs: DataFrame, id_column: str = "doc_id", threshold: tuple[int, int] = THRESHOLD
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    threshold: tuple[int, int] = THRESHOLD,
+    distance: int = DISTANCE,
 ) -> DataFrame:
     """``id, n_shingles, component_id, kept`` of every row of ``docs``.
 
@@ -293,12 +301,16 @@ def near_duplicates(
     smallest reachable id and ``kept`` says that it is the row's own. Null, empty and blank
     texts have no shingles and link with nothing. Equal sets are one class, represented by
     its smallest id. Ids have to be unique whole numbers: rows that share an id are treated
-    as one document, and rows without an id are kept and linked with nothing. The keys find
-    similarities from 0.85 on; a lower threshold is refused.
+    as one document, and rows without an id are kept and linked with nothing. A distance of
+    28 finds similarities from 0.85 on, one of 29 those from 0.8 on; a lower threshold, or
+    another distance, is refused.
     """
     over, under = threshold
-    if 100 * over < 85 * under:
-        raise ValueError("the signatures are dimensioned for similarities of 0.85 and more")
+    if distance not in LOWEST:
+        raise ValueError("the keys are dimensioned for distances of 28 and 29")
+    least, of = LOWEST[distance]
+    if of * over < least * under:
+        raise ValueError(f"a distance of {distance} is dimensioned for similarities of {least / of} and more")
     texts = docs.select(F.col(id_column).cast("bigint").alias("doc"), "text")
     signed = materialised(signatures(texts), "signatures")
     sets = materialised(
@@ -307,7 +319,7 @@ def near_duplicates(
         .agg(F.min("doc").alias("doc"), F.first("sig").alias("sig")),
         "sets",
     )
-    groups = candidate_groups(sets)
+    groups = candidate_groups(sets, distance)
     sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
     members = materialised(groups.join(sizes, "component").withColumnRenamed("node", "doc"), "groups")
     full = _full_sets(texts.join(members, "doc"))

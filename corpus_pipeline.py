@@ -16,6 +16,9 @@ from chanlake.llm.catalog import fold, table
 from chanlake.llm.ship import ship
 from chanlake.session import configure, materialised
 
+NEAR = (80, 100)  # similarity of word shingles from which documents are near-duplicates
+NEAR_DISTANCE = 29  # of their signatures
+
 
 def _carried(docs: DataFrame, *needed: str) -> DataFrame:
     """The needed columns and all others in ``_others``: no name clashes with an operator's own."""
@@ -42,7 +45,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
     configure(ship(spark))
-    found = neardup.near_duplicates(docs)
+    found = neardup.near_duplicates(docs, threshold=NEAR, distance=NEAR_DISTANCE)
     return docs.join(found.filter(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
