@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chanlake.llm import decontaminate, langid, lm, mixing, neardup, quality, secrets, sharding, tokencount, topk
+from chanlake.llm import (
+    decontaminate, fim, langid, lm, mixing, neardup, quality, secrets, sharding, suffixes, tokencount, topk, trie,
+)
 from chanlake.llm.ship import ship
 from chanlake.session import configure, work_path
 
@@ -175,6 +177,95 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digests = {f"{name}_sha256": F.sha2(text.cast("binary"), 256) for name, text in (
+        ("output", F.col("output")), ("restored", fim.restore(F.col("output"), F.col("form"))))}
+    return made.withColumns(digests).select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''),
+    '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s FROM documents),
+h AS (SELECT *, CAST(len(w) AS BIGINT) AS n, ('0x' || s[1:8])::BIGINT AS h1, ('0x' || s[9:16])::BIGINT AS h2,
+    ('0x' || s[17:24])::BIGINT AS h3, ('0x' || s[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50
+      THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, array_to_string(w[1:a], '') AS pre, array_to_string(w[a + 1:b], '') AS mid, array_to_string(w[b + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+def op12_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint")
+    return left.select(
+        "doc_id", size.alias("n_bytes"), (size - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+OP12_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+c AS (SELECT doc_id, o, substring(x, 2 * o + 1, 1098) AS x
+  FROM (SELECT doc_id, x, unnest(range(0, greatest(len(x) // 2 - 49, 0), 500)) AS o FROM d)),
+w AS (SELECT doc_id, o + k AS i, substring(x, 2 * k + 1, 100) AS win
+  FROM (SELECT doc_id, o, x, unnest(range(0, len(x) // 2 - 49)) AS k FROM c)),
+m AS (SELECT win, min(doc_id) AS least FROM w GROUP BY win HAVING min(doc_id) <> max(doc_id)),
+r AS (SELECT doc_id, i FROM w JOIN m USING (win) WHERE doc_id > least),
+g AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS fresh FROM r),
+k AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS no FROM g),
+s AS (SELECT doc_id, no, min(i) AS a, max(i) + 50 AS b FROM k GROUP BY doc_id, no),
+e AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since, a, b FROM s),
+t AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS n, max(b) AS last FROM s GROUP BY doc_id),
+p AS (SELECT doc_id, string_agg(x[2 * since + 1 : 2 * a], '' ORDER BY a) AS kept FROM e JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, '') || x[2 * coalesce(last, 0) + 1 :])) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id) LEFT JOIN p USING (doc_id)
+"""
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.turns_of(table(spark, sf_dir, "conversations"))
+    return trie.prefix_trie(trie.with_borrowed_openings(turns))
+
+
+_CRC32_SQL = (  # of a whole number as text, bit by bit
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda d: "
+    "ascii(d)::BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, _: "
+    "xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"
+)
+OP13_SQL = rf"""
+WITH o AS (SELECT conv_id, md5(coalesce(role, '') || chr(31) || coalesce(text, '')) AS t,
+    CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS words,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base, {_CRC32_SQL.format('conv_id')} % 4 AS h FROM o),
+r AS (SELECT c.conv_id, 0 AS part, pos, t, words FROM c JOIN o ON o.conv_id = base AND pos <= h
+  UNION ALL SELECT conv_id, 1, pos, t, words FROM c JOIN o USING (conv_id) WHERE pos > h),
+q AS (SELECT conv_id, row_number() OVER k AS depth, string_agg(t, '') OVER k AS path, words FROM r
+  WINDOW k AS (PARTITION BY conv_id ORDER BY part, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+a AS (SELECT conv_id, depth, path, words FROM q UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+l AS (SELECT conv_id, max(depth) AS last FROM a GROUP BY conv_id),
+n AS (SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    coalesce(string_agg(CASE WHEN depth = last THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '') AS ends
+  FROM a JOIN l USING (conv_id) GROUP BY depth, path),
+p AS (SELECT n.*, left(path, len(path) - 32) AS up FROM n),
+k AS (SELECT depth - 1 AS depth, up AS path, count(*) AS n_children FROM p WHERE depth > 0 GROUP BY 1, 2),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (depth, path)),
+s AS (SELECT x.depth, x.path, sum(CASE WHEN y.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((y.n_convs - 1) * y.words) AS saved_tokens
+  FROM f x JOIN f y ON y.depth >= x.depth AND left(y.path, len(x.path)) = x.path GROUP BY x.depth, x.path)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, f.n_convs, CAST(f.n_children AS BIGINT) AS n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM f JOIN s USING (depth, path) LEFT JOIN n u ON u.depth = f.depth - 1 AND u.path = left(f.path, greatest(len(f.path) - 32, 0))
+"""
+
+
 ENTRIES = {
     "op2_language": (op2_language, None),
     "op3_quality": (op3_quality, None),
@@ -186,4 +277,7 @@ ENTRIES = {
     "op9_decontamination": (op9_decontamination, OP9_SQL),
     "op10_sharding": (op10_sharding, None),
     "op1_lm_score": (op1_lm_score, None),
+    "op11_fill_in_middle": (op11_fill_in_middle, OP11_SQL),
+    "op12_repeated_substrings": (op12_repeated_substrings, OP12_SQL),
+    "op13_conversation_trie": (op13_conversation_trie, OP13_SQL),
 }

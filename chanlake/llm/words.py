@@ -114,3 +114,12 @@ def row_of(counts: np.ndarray) -> np.ndarray:
 def row_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Sums over the items of each row; 0 for a row without items."""
     return np.bincount(row_of(counts), weights=values, minlength=len(counts))
+
+
+def groups(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where stretches of equal neighbours (rows, if there are columns) begin and end."""
+    new = np.ones(len(labels), bool)
+    changed = labels[1:] != labels[:-1]
+    new[1:] = changed.any(1) if changed.ndim > 1 else changed
+    first = np.flatnonzero(new)
+    return first, np.append(first[1:], len(labels))[: len(first)]
