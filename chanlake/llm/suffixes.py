@@ -35,10 +35,12 @@ from chanlake.session import materialised
 
 LENGTH = 50  # bytes of a window
 GRAM = 16  # bytes of the first digit
-BLOCK = 1 << 21  # bytes of text ordered into runs at once; longer texts take several blocks
+WIDEST = 2 * LENGTH - GRAM  # bytes of the longest run
+BLOCK = 1 << 20  # bytes of text ordered into runs at once; longer texts take several blocks
 FLUSH = 1 << 23  # bytes of text whose runs leave a task together
-BUCKET_BYTES = 12 << 20  # mean bytes of text of a bucket
+BUCKET_BYTES = 4 << 20  # mean bytes of text of a bucket
 LAST_ID = np.iinfo(np.int64).max  # a null id comes after all others
+_CODEC = pa.Codec("zstd", 3)
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -64,37 +66,38 @@ class Runs:
         counts = np.diff(np.append(np.flatnonzero(new), len(new)))
         used = self.doc[new]
         order = np.argsort(self.ids[used], kind="stable")  # documents by id: small steps
-        rank = np.empty(len(order), np.uint32)
-        rank[order] = np.arange(len(order), dtype=np.uint32)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
         ids = self.ids[used][order]
         parts = [
-            np.array([len(self.doc), len(used)], np.int64),
-            self.lengths.astype(np.uint16), self.gram.astype(np.uint16), step.astype(np.int64).astype(np.uint32),
-            counts.astype(np.uint32), rank, np.diff(ids.view(np.uint64), prepend=np.uint64(0)), self.keys[used][order],
+            self.lengths.astype(np.uint8), self.gram.astype(np.uint8), step.astype(np.uint32), counts.astype(np.uint32),
+            (rank - np.arange(len(rank))).astype(np.int32), np.diff(ids.view(np.uint64), prepend=np.uint64(0)), self.keys[used][order],
         ]
-        raw = b"".join(np.ascontiguousarray(p).tobytes() for p in parts) + self.content.tobytes()
-        return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+        # the first bytes of all numbers, then the second ones: high bytes are mostly zeros
+        planes = [np.ascontiguousarray(p.view(np.uint8).reshape(len(p), -1).T).tobytes() for p in parts]
+        raw = b"".join([np.array([len(self.doc), len(used)], np.int64).tobytes(), *planes, self.content.tobytes()])
+        return len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True)
 
     @classmethod
     def unpacked(cls, block: bytes) -> Runs:
-        raw = pa.decompress(memoryview(block)[8:], int.from_bytes(block[:8], "little"), "zstd")
-        at = 0
+        raw = np.frombuffer(_CODEC.decompress(memoryview(block)[8:], int.from_bytes(block[:8], "little")), np.uint8)
+        runs, docs = (int(n) for n in raw[:16].view(np.int64))
+        at = 16
 
-        def take(kind, count):
+        def take(kind, count: int) -> np.ndarray:
             nonlocal at
-            out = np.frombuffer(raw, kind, count, at)
-            at += out.nbytes
-            return out
+            size = np.dtype(kind).itemsize
+            planes = raw[at : at + size * count].reshape(size, count)
+            at += size * count
+            return np.ascontiguousarray(planes.T).view(kind).reshape(count)
 
-        runs, docs = (int(n) for n in take(np.int64, 2))
-        lengths, gram, step = take(np.uint16, runs), take(np.uint16, runs), take(np.uint32, runs)
-        counts, rank = take(np.uint32, docs), take(np.uint32, docs)
+        lengths, gram, step = take(np.uint8, runs), take(np.uint8, runs), take(np.uint32, runs)
+        counts, rank = take(np.uint32, docs), take(np.int32, docs) + np.arange(docs)
         ids, keys = np.cumsum(take(np.uint64, docs), dtype=np.uint64).view(np.int64), take(np.int64, docs)
-        first = np.cumsum(counts) - counts
-        total = np.cumsum(step.astype(np.int64))
+        first = np.cumsum(counts, dtype=np.int64) - counts
+        total = np.cumsum(step, dtype=np.int64)
         base = np.repeat(total[first] - step[first], counts) if docs else np.zeros(0, np.int64)
-        content = np.frombuffer(raw, np.uint8, offset=at)
-        return cls(content, lengths, gram, total - base, np.repeat(rank, counts), ids, keys)
+        return cls(raw[at:], lengths.astype(np.int64), gram.astype(np.int64), total - base, np.repeat(rank, counts), ids, keys)
 
 
 def digits(content: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -114,70 +117,97 @@ def _first_digits(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     low *= np.uint64(0xBF58476D1CE4E5B9)
     low ^= low >> np.uint64(32)
     low *= np.uint64(0x94D049BB133111EB)
-    least = (low & np.uint64(0xFFFFFFFF00000000)) | np.arange(count, dtype=np.uint64)
+    least = low & np.uint64(0xFFFFFFFF00000000)
+    least |= np.arange(count, dtype=np.uint64)
     step = 1
     while step * 2 <= width:
         least = np.minimum(least[:-step], least[step:])
         step *= 2
     if step < width:
         least = np.minimum(least[: len(least) - (width - step)], least[width - step :])
-    return (least & np.uint64(0xFFFFFFFF)).astype(np.int64), low
+    return least.astype(np.uint32), low  # the lower half is the place
 
 
-def runs_of(data: np.ndarray, offsets: np.ndarray, doc: np.ndarray, origin: np.ndarray, ids, keys) -> tuple[Runs, np.ndarray]:
-    """Runs of texts that lie one after the other, and the hash of each run's first digit.
+@dataclass
+class Found:
+    """Runs that still lie in the block of text they were found in."""
+
+    data: np.ndarray
+    begin: np.ndarray  # of each run in the block
+    lengths: np.ndarray
+    gram: np.ndarray
+    start: np.ndarray
+    doc: np.ndarray
+    hashes: np.ndarray  # of each run's first digit
+    ids: np.ndarray
+    keys: np.ndarray
+
+    @classmethod
+    def joined(cls, parts: list[Found]) -> Found:
+        data = np.cumsum([0, *(len(p.data) for p in parts)])
+        docs = np.cumsum([0, *(len(p.ids) for p in parts)])
+        own = {f: np.concatenate([getattr(p, f) for p in parts]) for f in cls.__dataclass_fields__}
+        own["begin"] = np.concatenate([p.begin + n for p, n in zip(parts, data, strict=False)])
+        own["doc"] = np.concatenate([p.doc + n for p, n in zip(parts, docs, strict=False)])
+        own["data"] = np.append(own["data"], np.zeros(WIDEST, np.uint8))  # so that any run can be read at full width
+        return cls(**own)
+
+    def taken(self, chosen: np.ndarray) -> Runs:
+        """Runs with these numbers, with their stretches; of blocks that were joined."""
+        lengths = self.lengths[chosen]
+        wide = np.ndarray((len(self.data) - WIDEST + 1,), f"V{WIDEST}", self.data, 0, (1,))
+        stretches = wide[self.begin[chosen]].view(np.uint8).reshape(-1, WIDEST)
+        content = stretches[np.arange(WIDEST, dtype=np.uint8) < lengths.astype(np.uint8)[:, None]]
+        return Runs(content, lengths, self.gram[chosen], self.start[chosen], self.doc[chosen], self.ids, self.keys)
+
+    def known_here(self) -> np.ndarray:
+        """Runs whose whole stretch also stands in a document with a smaller id among these."""
+        ids = self.ids[self.doc]
+        known = np.zeros(len(ids), bool)
+        if not len(ids):
+            return known
+        ends = self.begin + self.lengths - 8
+        shape = (self.lengths * 256 + self.gram).astype(np.uint64)
+        tag = mix(self.hashes + digits(self.data, self.begin))
+        tag = mix(tag + digits(self.data, ends) * np.uint64(3) + shape)
+        order = np.argsort(tag, kind="stable")
+        first, last = groups(tag[order])
+        several = np.repeat(last - first > 1, last - first)  # only these have to be ordered by id
+        where = np.flatnonzero(several)
+        order[where] = order[where][np.lexsort((ids[order[where]], tag[order[where]]))]
+        head = np.repeat(order[first], last - first)
+        copies = ids[order] > ids[head]
+        copy, of = order[copies], head[copies]
+        same = self.lengths[copy] == self.lengths[of]  # equal tags are a hint; the bytes decide
+        for place in range(0, WIDEST, 8):
+            mine, other = (np.minimum(self.begin[r] + place, ends[r]) for r in (copy, of))
+            same &= digits(self.data, mine) == digits(self.data, other)
+        known[copy[same]] = True
+        return known
+
+
+def runs_of(data: np.ndarray, offsets: np.ndarray, doc: np.ndarray, origin: np.ndarray, ids, keys) -> Found:
+    """Runs of texts that lie one after the other.
 
     ``doc`` and ``origin``: the row of the table of each text, and where in it the text begins.
     """
-    empty = np.zeros(0, np.int64)
+    none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
-        return Runs(np.zeros(0, np.uint8), empty, empty, empty, empty, ids, keys), empty.astype(np.uint64)
+        return Found(data, none, none, none, none, none, none.astype(np.uint64), ids, keys)
     place, hashes = _first_digits(data)
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(place)]
-    valid = np.arange(LENGTH, len(place) + LENGTH) <= offsets[text + 1]
     change = np.ones(len(place) + 1, bool)
-    change[1:-1] = (place[1:] != place[:-1]) | (text[1:] != text[:-1]) | (valid[1:] != valid[:-1])
+    np.not_equal(place[1:], place[:-1], out=change[1:-1])
+    for bounds in (offsets, offsets - (LENGTH - 1)):  # where a text and where its windows end
+        change[bounds[(bounds > 0) & (bounds < len(place))]] = True
     bounds = np.flatnonzero(change)
     begin, count = bounds[:-1], np.diff(bounds)
-    begin, count = begin[valid[begin]], count[valid[begin]]
-    lengths = count + (LENGTH - 1)
-    at = np.repeat(begin - (np.cumsum(lengths) - lengths), lengths)
-    at += np.arange(len(at))
-    own = text[begin]
-    runs = Runs(data[at], lengths, place[begin] - begin, begin - offsets[own] + origin[own], doc[own], ids, keys)
-    return runs, hashes[place[begin]]
-
-
-def _known_here(runs: Runs, hashes: np.ndarray) -> np.ndarray:
-    """Runs whose whole stretch also stands in a document with a smaller id among ``runs``."""
-    ids = runs.ids[runs.doc]
-    known = np.zeros(len(ids), bool)
-    if not len(ids):
-        return known
-    content = np.append(runs.content, np.zeros(8, np.uint8))
-    first = np.cumsum(runs.lengths) - runs.lengths
-    tag = mix(hashes + digits(content, first))
-    tag = mix(tag + digits(content, first + runs.lengths - 8) * np.uint64(3) + runs.lengths.astype(np.uint64) * np.uint64(256) + runs.gram.astype(np.uint64))
-    order = np.lexsort((ids, tag))
-    new = np.ones(len(order), bool)
-    new[1:] = tag[order[1:]] != tag[order[:-1]]
-    head = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    copies = ids[order] > ids[head]
-    copy, of = order[copies], head[copies]
-    same = runs.lengths[copy] == runs.lengths[of]  # equal tags are a hint; the bytes decide
-    for place in range(0, 2 * LENGTH, 8):
-        inside = np.minimum(place, runs.lengths[copy].astype(np.int64) - 8)
-        same &= digits(content, first[copy] + inside) == digits(content, first[of] + np.minimum(inside, runs.lengths[of].astype(np.int64) - 8))
-    known[copy[same]] = True
-    return known
-
-
-def _chosen(runs: Runs, chosen: np.ndarray) -> Runs:
-    """The runs with these numbers."""
-    lengths = runs.lengths[chosen].astype(np.int64)
-    first = (np.cumsum(runs.lengths, dtype=np.int64) - runs.lengths)[chosen]
-    at = np.repeat(first - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-    return Runs(runs.content[at], runs.lengths[chosen], runs.gram[chosen], runs.start[chosen], runs.doc[chosen], runs.ids, runs.keys)
+    own = np.searchsorted(offsets, begin, "right") - 1
+    valid = begin + LENGTH <= offsets[own + 1]
+    begin, count, own = begin[valid], count[valid], own[valid]
+    grams = place[begin].astype(np.int64)
+    return Found(
+        data, begin, count + (LENGTH - 1), grams - begin, begin - offsets[own] + origin[own], doc[own], hashes[grams], ids, keys
+    )
 
 
 def _spans(starts: np.ndarray, ends: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -217,23 +247,12 @@ def _found_columns(rows: list[tuple], ids: np.ndarray, keys: np.ndarray) -> list
 def _sender(buckets: int, rounds: int, turn: int):
     """Texts to runs, dealt to buckets by the first digit, and to what is known without them."""
 
-    def flush(held: list[tuple[Runs, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        parts = [r for r, _ in held]
-        hashes = np.concatenate([h for _, h in held])
-        docs = np.cumsum([0, *(len(r.ids) for r in parts)])
-        runs = Runs(
-            *(np.concatenate([getattr(r, f) for r in parts]) for f in ("content", "lengths", "gram", "start")),
-            np.concatenate([r.doc + n for r, n in zip(parts, docs, strict=False)]),
-            *(np.concatenate([getattr(r, f) for r in parts]) for f in ("ids", "keys")),
-        )
-        deal = mix(hashes ^ np.uint64(0x632BE59BD9B4E019)) % np.uint64(buckets * rounds)
-        here = np.flatnonzero(deal // np.uint64(buckets) == turn)
-        if not len(here):
-            return
-        if rounds > 1:
-            runs, hashes, deal = _chosen(runs, here), hashes[here], deal[here]
+    def flush(held: list[Found]) -> Iterator[pa.RecordBatch]:
+        runs = Found.joined(held)
+        deal = mix(runs.hashes ^ np.uint64(0x632BE59BD9B4E019)) % np.uint64(buckets * rounds)
+        here = deal // np.uint64(buckets) == turn
         bucket = (deal % np.uint64(buckets)).astype(np.int32)
-        known = _known_here(runs, hashes)
+        known = runs.known_here() & here
         rows = list(_spans(runs.start[known], runs.start[known] + runs.lengths[known], runs.doc[known]))
         if rows:
             done = _found_columns(rows, runs.ids, runs.keys)
@@ -241,10 +260,10 @@ def _sender(buckets: int, rounds: int, turn: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array((key % np.uint64(buckets)).astype(np.int32)), pa.nulls(len(rows), pa.binary()), *done], schema=_SENT
             )
-        order = np.flatnonzero(~known)
+        order = np.flatnonzero(here & ~known)
         order = order[np.argsort(bucket[order], kind="stable")]
         for low, high in zip(*groups(bucket[order]), strict=True):
-            block = pa.array([_chosen(runs, order[low:high]).packed()], pa.binary())
+            block = pa.array([runs.taken(order[low:high]).packed()], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([bucket[order[low]]], pa.int32()), block, *(pa.nulls(1, f.type) for f in _FOUND)], schema=_SENT)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -382,7 +401,7 @@ def remove_repeats(docs: DataFrame, rounds: int = 1) -> DataFrame:
     rows with equal ids, or without, take nothing from each other, so rows that are equal throughout
     are treated alike. Existing columns ``kept`` and ``spans`` are replaced.
 
-    The runs of the texts are dealt to buckets of about 12 MB of text and their copies, in ``rounds``
+    The runs of the texts are dealt to buckets of about 4 MB of text and their copies, in ``rounds``
     that follow each other, so that disk is needed for the runs of one round only. A run that a task
     has already seen whole in a document with a smaller id is not dealt.
     """

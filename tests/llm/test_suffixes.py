@@ -75,7 +75,7 @@ def test_blocks_do_not_matter(spark, monkeypatch):
         found = set()
         for low, high, doc, origin in suffixes._blocks(offsets):
             bounds = np.clip(offsets[doc[0] : doc[-1] + 2], low, high) - low
-            runs, _ = suffixes.runs_of(text[low:high], bounds, doc, origin, np.arange(len(rows)), np.arange(len(rows)))
+            runs = suffixes.runs_of(text[low:high], bounds, doc, origin, np.arange(len(rows)), np.arange(len(rows)))
             for d, s, n in zip(runs.doc, runs.start, runs.lengths, strict=True):
                 found |= {(int(d), int(s) + i) for i in range(int(n) - 49)}
         return found
