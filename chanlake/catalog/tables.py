@@ -195,6 +195,34 @@ SELECT o_custkey AS channel_id, o_orderkey AS id,
 FROM orders WHERE o_orderstatus <> 'O' OR o_orderkey % 3 > 0"""
 
 
+def moved_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A message table whose second reading moves a third of the dates to later months, and whose
+    third, older one would move some of them back; then messages by channel and month."""
+    path = work_path(spark, "moved")
+    schema = {"channel_id": "string", "id": "bigint", "date": "timestamp", "views": "bigint", "seen": "int"}
+    start = flat(spark, sf_dir).select("channel_id", "id", "date", "views", F.lit(1).alias("seen"))
+
+    def read(rows: DataFrame, days: int, seen: int) -> None:
+        moved = {"date": F.col("date") + F.make_interval(days=F.lit(days)), "views": F.col("views") + seen, "seen": F.lit(seen)}
+        upsert.upsert_table(rows.withColumns(moved), path, schema, order_by=("seen",), buckets=BUCKETS)
+
+    read(start, 0, 1)
+    read(start.filter("id % 3 = 0"), 40, 2)
+    read(start.filter("id % 5 = 0"), -40, 0)
+    saved = spark.read.parquet(path)
+    return saved.groupBy("channel_id", F.date_format("date", "yyyy-MM").alias("month")).agg(
+        F.count("*").alias("messages"), F.sum("views").alias("views"), F.max("id").alias("last_id"),
+        F.count_if(F.col("date_month") == F.year("date") * 100 + F.month("date")).alias("in_their_month"),
+    )
+
+
+MOVED_SQL = f"""WITH {MESSAGES_SQL},
+m AS (SELECT channel_id, id, CASE WHEN id % 3 = 0 THEN ts + INTERVAL 40 DAY ELSE ts END AS d,
+  views + CASE WHEN id % 3 = 0 THEN 2 ELSE 1 END AS views FROM content)
+SELECT channel_id, strftime(d, '%Y-%m') AS month, count(*) AS messages, CAST(sum(views) AS BIGINT) AS views,
+  max(id) AS last_id, count(*) AS in_their_month FROM m GROUP BY 1, 2"""
+
+
 def diagonal_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = _halves(spark, sf_dir)
     return upsert.diagonal_union(old.drop("pulled"), new.drop("pulled"))
@@ -449,6 +477,7 @@ ENTRIES: dict[str, Entry] = {
     "nth_to_last": (nth_to_last, NTH_SQL),
     "hour_bins": (hours, HOURS_SQL),
     "upsert_latest": (upsert_latest, UPSERT_SQL),
+    "upsert_moved_dates": (moved_dates, MOVED_SQL),
     "diagonal_union": (diagonal_union, DIAGONAL_SQL),
     "vertical_union": (vertical_union, VERTICAL_SQL),
     "not_in": (not_in, NOT_IN_SQL),

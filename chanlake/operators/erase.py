@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chanlake.operators.locations import KEY_BLOCK, index_path
 from chanlake.session import discard, stages
-from chanlake.sources.tables import BUCKET, DEFAULT_BUCKETS, MONTH, bucket_of, folder_name
+from chanlake.sources.paths import list_exists
+from chanlake.sources.tables import BUCKET, DEFAULT_BUCKETS, MONTH, bucket_of, create_empty, folder_name
 
 
 def erase_channels(df: DataFrame, tombstones: DataFrame, key: str = "channel_id") -> DataFrame:
@@ -32,15 +34,20 @@ def erase_from_table(
     """Rewrite the buckets of a stored table that hold erased channels.
 
     Only those buckets are read and replaced. A folder left without rows is removed, and so
-    is the stage of what is kept.
+    is the stage of what is kept. The side table of places is treated alike, after the table.
     """
-    spark = table.sparkSession
+    _erase_folders(table.sparkSession, path, tombstones, buckets)
+    if list_exists(table.sparkSession, index_path(path)):
+        _erase_folders(table.sparkSession, index_path(path), tombstones, buckets)
+
+
+def _erase_folders(spark: SparkSession, path: str, tombstones: DataFrame, buckets: int) -> None:
     touched = tombstones.select(bucket_of("channel_id", buckets).alias(BUCKET)).distinct()
     numbers = [row[0] for row in touched.collect()]  # at most ``buckets`` integers
     if not numbers:
         return
     saved = spark.read.parquet(path)
-    folders = [c for c in (BUCKET, MONTH) if c in saved.columns]
+    folders = [c for c in (BUCKET, MONTH, KEY_BLOCK) if c in saved.columns]
     hit = saved.filter(F.col(BUCKET).isin(numbers))
     with stages(spark) as stage:
         kept = stage(erase_channels(hit, tombstones), "kept")
@@ -59,3 +66,5 @@ def erase_from_table(
         )
         for row in emptied.collect():  # at most one short name for each bucket and month
             discard(spark, f"{path.rstrip('/')}/{row.name}")
+    if spark.read.schema(saved.schema).parquet(path).isEmpty():
+        create_empty(saved, path, folders)

@@ -97,9 +97,9 @@ def write_bucketed(
     )
 
 
-def create_empty(like: DataFrame, path: str) -> None:
+def create_empty(like: DataFrame, path: str, folders: list[str] | None = None) -> None:
     """A bucketed table without rows: one empty file that holds the columns."""
-    folders = folders_of(like)
+    folders = folders_of(like) if folders is None else folders
     empty = like.sparkSession.createDataFrame([], like.drop(*folders).schema)
     empty.write.mode("overwrite").parquet("/".join([path.rstrip("/"), *(f"{f}=0" for f in folders)]))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from chanlake.functions.dates import days_since, hour_bins, month_bins
 from chanlake.functions.text import clean_text, extract_usernames
-from chanlake.operators import observe, periods, search, upsert
+from chanlake.operators import locations, observe, periods, search, upsert
 from chanlake.operators.erase import erase_from_map, erase_from_table
 from chanlake.operators.language import detect_language, train_profiles
 from chanlake.operators.search import merge_seeds_last_wins
@@ -31,6 +31,55 @@ def messages(spark, *values):
     return spark.createDataFrame(list(values), "channel_id string, id long, text string, seen long")
 
 
+def dated(spark, *values):
+    stamped = [(c, i, d and dt.datetime.fromisoformat(d), text, seen) for c, i, d, text, seen in values]
+    return spark.createDataFrame(stamped, "channel_id string, id long, date timestamp, text string, seen long")
+
+
+DATED = {"channel_id": "string", "id": "bigint", "date": "timestamp", "text": "string", "seen": "bigint"}
+
+
+def test_a_message_whose_date_moves_leaves_its_old_month(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def put(*values):
+        return upsert.upsert_table(dated(spark, *values), path, DATED, order_by=("seen",), buckets=2)
+
+    def stored():
+        columns = ("channel_id", "id", F.col("date_month"), "text")
+        return sorted(tuple(r) for r in spark.read.parquet(path).select(*columns).collect())
+
+    def placed():
+        return sorted(tuple(r) for r in spark.read.parquet(path + "-keys").select("channel_id", "id", "month").collect())
+
+    put(("c", 1, "2024-01-31", "a", 1), ("c", 2, "2024-01-05", "b", 1), ("d", 1, "2024-03-01", "c", 1))
+    untouched = {f for f in spark.read.parquet(path).inputFiles() if "date_month=202403" in f}
+    put(("c", 1, "2024-02-01", "moved", 2))
+    assert stored() == [("c", 1, 202402, "moved"), ("c", 2, 202401, "b"), ("d", 1, 202403, "c")]
+    assert untouched <= set(spark.read.parquet(path).inputFiles())
+    put(("c", 1, "2024-01-30", "stale", 1), ("c", 2, None, "undated", 2), ("c", 100_000, "2024-02-02", "far", 1))
+    assert stored() == [("c", 1, 202402, "moved"), ("c", 2, 0, "undated"), ("c", 100_000, 202402, "far"), ("d", 1, 202403, "c")]
+    assert placed() == [row[:3] for row in stored()]
+    assert not [f for f in spark.read.parquet(path).inputFiles() if "date_month=202401" in f]  # emptied
+    # a job that was lost after it had entered a place and moved the row, but not emptied the old folder
+    locations.Located(dated(spark, ("c", 1, None, "", 0)), path, 2).replace(
+        spark.createDataFrame([("c", 1, 202402), ("c", 1, 202405)], "channel_id string, id long, month int"))
+    write_bucketed(dated(spark, ("c", 1, "2024-05-01", "left behind", 0)), path, 2)
+    put(("c", 1, "2024-06-01", "again", 3))
+    assert [row for row in stored() if row[:2] == ("c", 1)] == [("c", 1, 202406, "again")]
+    assert placed() == [row[:3] for row in stored()]
+    # without the side table it is made from the keys of the table
+    locations.drop_index(spark, path)
+    put(("d", 1, "2024-04-01", "moved", 2))
+    assert placed() == [row[:3] for row in stored()] and len(stored()) == 4
+    erase_from_table(spark.read.parquet(path), path, spark.createDataFrame([("c",)], "channel_id string"), 2)
+    assert placed() == [("d", 1, 202404)] == [row[:3] for row in stored()]
+    erase_from_table(spark.read.parquet(path), path, spark.createDataFrame([("d",)], "channel_id string"), 2)
+    assert placed() == [] == stored()
+    put(("e", 7, "2024-04-01", "first again", 1))
+    assert placed() == [("e", 7, 202404)] == [row[:3] for row in stored()]
+
+
 def test_upsert_is_idempotent_and_independent_of_order(spark):
     old = messages(spark, ("a", 1, "old", 1), ("a", 2, "old", 1), ("b", 1, "old", 9))
     new = messages(spark, ("a", 1, "new", 2), ("a", 1, "newer", 3), ("c", 1, "x", 1), ("c", 1, "y", 1))
