@@ -25,18 +25,29 @@ def _segments(template: str, fixed: dict) -> tuple[str, list[str]]:
     return pattern, [key for key in keys if key not in fixed]
 
 
+def _ending(path: str | Column, template: str) -> Column:
+    column = F.col(path) if isinstance(path, str) else path
+    return F.substring_index(column, "/", -(template.count("/") + 1))
+
+
+def fits(path: str | Column, template: str, **fixed) -> Column:
+    """Whether the path's last parts match ``template``."""
+    return _ending(path, template).rlike(_segments(template, fixed)[0])
+
+
 def with_path_params(
-    df: DataFrame, template: str, path: str | Column = "file_path", **fixed
+    df: DataFrame, template: str, path: str | Column = "file_path", keep_others: bool = False, **fixed
 ) -> DataFrame:
     """Add one column for each free key of ``template``, matched in the path's last parts.
 
     ``template`` may span folders, as in ``{channel_id}/{start}_to_{end}.jsonl``. Rows
-    whose path does not match are dropped.
+    whose path does not match are dropped, or get null keys with ``keep_others``.
     """
     pattern, keys = _segments(template, fixed)
-    column = F.col(path) if isinstance(path, str) else path
-    ending = F.substring_index(column, "/", -(template.count("/") + 1))
+    ending = _ending(path, template)
     values = {key: F.regexp_extract(ending, pattern, n) for n, key in enumerate(keys, 1)}
+    if keep_others:
+        return df.withColumns({key: F.when(ending.rlike(pattern), value) for key, value in values.items()})
     return df.filter(ending.rlike(pattern)).withColumns(values)
 
 
