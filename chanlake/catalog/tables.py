@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,14 +21,20 @@ from chanlake.catalog.messages import flat
 from chanlake.functions.dates import hour_bins
 from chanlake.operators import filters, flatten, periods, upsert
 from chanlake.operators.erase import erase_from_table
+from chanlake.plans.erasing import Holding, erase_job, message_holdings, pending, stored_holdings
 from chanlake.plans.message_tables import MessageTables, build_message_tables
+from chanlake.plans.private_logs import StoredLogs
 from chanlake.schemas import MESSAGES
 from chanlake.session import work_path
+from chanlake.sources.segments import append_segment
 from chanlake.sources.tables import (
     scan_table,
+    write_bucketed,
     write_messages,
     write_monthly_jsonl,
+    write_observations,
     write_service_messages,
+    write_version,
 )
 from chanlake.streaming.messages import dedup_stream, read_message_stream, stream_messages
 
@@ -297,6 +305,72 @@ def table_erased(spark: SparkSession, sf_dir: str) -> DataFrame:
 ERASED_SQL = f"WITH {MESSAGES_SQL} {_SUMMARY_SQL} HAVING count(*) >= 50"
 
 
+_PLACE = "channel_id={channel_id}/period={period}/{file}"
+
+
+def erased_everywhere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole archive of which a third of the channels is erased by one job: what is left in each
+    place, and the traces of what is gone."""
+    root = work_path(spark, "archive")
+    at = {name: f"{root}/{name}" for name in (
+        "messages", "service", "quarantine", "stored", "maps", "forwards", "pages", "private", "merged", "rounds", "rolled", "log")}
+    tables = MessageTables(at["messages"], at["service"], at["quarantine"])
+    stored = StoredLogs(at["stored"], at["maps"], at["forwards"], at["pages"], at["private"])
+    content = flat(spark, sf_dir).withColumn("file_modified", F.lit(0).cast("timestamp"))
+    upsert.upsert_table(content, at["messages"], MESSAGES, buckets=BUCKETS)
+    write_service_messages(flatten.flatten_service(filters.service_side(raw_messages(spark, sf_dir))), at["service"], BUCKETS)
+    slim = content.select("channel_id", "id", "message", "views", "date", "media_id", "fwd_from_id")
+    append_segment(slim, at["stored"], F.date_format("date", "yyyy-MM"))
+    write_bucketed(slim.select("channel_id", F.col("views").cast("string").alias("original")).distinct(), at["maps"], BUCKETS)
+    write_version(spark.read.parquet(at["maps"]).select("original").distinct(), at["merged"], "1")
+    write_version(spark.read.parquet(at["maps"]).select("original").distinct(), at["merged"], "2")
+    write_bucketed(slim.filter("fwd_from_id is not null").select("channel_id", "fwd_from_id").distinct(), at["forwards"], BUCKETS)
+    slim.filter("media_id is not null").select("media_id").distinct().write.parquet(at["pages"])
+    path = F.concat(F.lit("/raw/channel_id="), "channel_id", F.lit("/period=1/x.txt"))
+    bad = slim.filter("id % 10 = 0").select(path.alias("file_path"), F.col("message").alias("value"))
+    for folder in (at["quarantine"], at["private"]):
+        bad.write.parquet(folder)
+    for folder in (tables.files, stored.files):
+        slim.select(path.alias("path")).distinct().write.parquet(folder)
+    for k in range(3):
+        write_version(slim.filter(F.col("id") % 3 == k).select("channel_id", "id"), at["rounds"], str(k))
+    write_observations(slim.select("channel_id", "id"), at["rolled"], BUCKETS)
+    holdings = [
+        *message_holdings(tables, _PLACE), *stored_holdings(stored, tables, _PLACE, _PLACE),
+        Holding("merged map", "values", at["merged"], by=(at["maps"], "original", "original")),
+        Holding("rounds", "rounds", at["rounds"]), Holding("rolled up", "json", at["rolled"]),
+    ]
+    gone = slim.select("channel_id").distinct().filter(_GONE)
+    left = erase_job(gone, holdings, at["log"], BUCKETS)
+    read = spark.read.parquet
+    stored_lines = spark.read.schema("value string, channel_id string, period string").text(at["stored"])
+    places = {
+        "messages": read(at["messages"]), "places": read(at["messages"] + "-keys"), "service": read(at["service"]),
+        "stored": stored_lines, "maps": read(at["maps"]), "merged": read(f"{at['merged']}/version=2"), "forwards": read(at["forwards"]),
+        "pages": read(at["pages"]), "quarantine": read(at["quarantine"]), "private": read(at["private"]),
+        "manifest": read(tables.files), "rounds": read(at["rounds"]), "rolled": spark.read.schema("channel_id string, id bigint").json(at["rolled"]),
+    }
+    shown = [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("place"), "rows") for name, df in places.items()]
+    shown.append(spark.createDataFrame([("traces", left), ("pending", pending(spark, at["log"]).count())], "place string, rows bigint"))
+    return reduce(DataFrame.unionByName, shown)
+
+
+_GONE = "pmod(CAST(substring(channel_id, 2) AS INT), 3) = 0"
+ERASE_JOB_SQL = f"""WITH {MESSAGES_SQL},
+g AS (SELECT *, CAST(substring(channel_id, 2) AS INT) % 3 <> 0 AS kept FROM content),
+s AS (SELECT *, CAST(substring(channel_id, 2) AS INT) % 3 <> 0 AS kept FROM msg WHERE tag = 'MessageService' OR comments_msg_id IS NOT NULL)
+SELECT 'messages' AS place, count(*) AS rows FROM g WHERE kept UNION ALL SELECT 'places', count(*) FROM g WHERE kept
+UNION ALL SELECT 'stored', count(*) FROM g WHERE kept UNION ALL SELECT 'service', count(*) FROM s WHERE kept
+UNION ALL SELECT 'maps', count(*) FROM (SELECT DISTINCT channel_id, views FROM g WHERE kept)
+UNION ALL SELECT 'merged', count(*) FROM (SELECT DISTINCT CAST(views AS VARCHAR) FROM g WHERE kept)
+UNION ALL SELECT 'forwards', count(*) FROM (SELECT DISTINCT channel_id, fwd_from_id FROM g WHERE kept AND fwd_from_id IS NOT NULL)
+UNION ALL SELECT 'pages', count(DISTINCT media_id) FROM g WHERE kept
+UNION ALL SELECT unnest(['quarantine', 'private']), count(*) FROM g WHERE kept AND id % 10 = 0
+UNION ALL SELECT 'manifest', count(DISTINCT channel_id) FROM g WHERE kept
+UNION ALL SELECT unnest(['rounds', 'rolled']), count(*) FROM g WHERE kept
+UNION ALL SELECT unnest(['traces', 'pending']), 0"""
+
+
 def service_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "service")
     write_service_messages(
@@ -483,6 +557,7 @@ ENTRIES: dict[str, Entry] = {
     "not_in": (not_in, NOT_IN_SQL),
     "write_messages": (messages_written, WRITTEN_SQL),
     "erase_from_table": (table_erased, ERASED_SQL),
+    "erase_job": (erased_everywhere, ERASE_JOB_SQL),
     "write_service_messages": (service_written, SERVICE_WRITTEN_SQL),
     "write_monthly_jsonl": (monthly_files, MONTHLY_SQL),
     "build_message_tables": (tables_built, WRITTEN_SQL),

@@ -155,6 +155,43 @@ def latest_version(spark: SparkSession, root: str) -> str | None:
     return f"{root.rstrip('/')}/version={done[-1]}" if done else None
 
 
+def replace_folder(df: DataFrame, path: str, kind: str = "parquet") -> None:
+    """Put ``df``, which may read ``path``, in the place of the folder ``path``.
+
+    It is written beside it, under a name that readers of the parent pass over, and takes its place
+    when it is complete. A job lost in between leaves the one or the other, and ``df`` written anew
+    gives the same.
+    """
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    beside = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_new-{target.getName()}")
+    df.write.mode("overwrite").format(kind).save(str(beside.toString()))
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(target, True)
+    if not fs.rename(beside, target):
+        raise OSError(f"{beside.toString()} could not take the place of {path}")
+
+
+def finish_replacements(spark: SparkSession, path: str) -> None:
+    """End what a lost ``replace_folder`` of ``path``, or of a folder in it, has begun."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    begun = [jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_new-{target.getName()}")]
+    if fs.exists(target) and fs.getFileStatus(target).isDirectory():
+        begun += [s.getPath() for s in fs.listStatus(target) if s.getPath().getName().startswith("_new-")]
+    for beside in begun:
+        if not fs.exists(beside):
+            continue
+        place = jvm.org.apache.hadoop.fs.Path(beside.getParent(), beside.getName().removeprefix("_new-"))
+        complete = fs.exists(jvm.org.apache.hadoop.fs.Path(beside, "_SUCCESS"))
+        if complete and not fs.exists(place):
+            fs.rename(beside, place)
+        else:
+            fs.delete(beside, True)
+
+
 def write_channel_docs(docs: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -> None:
     """Channel documents as JSON, in channel buckets."""
     columns = [c for c in docs.columns if c not in ("full_keys", "file_path", "file_modified")]
