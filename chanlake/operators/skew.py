@@ -55,10 +55,10 @@ def global_rank(df: DataFrame, order: list[str], name: str = "rank", parts: int
     )
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key, the first in ``order``.
+def latest_per_key(df: DataFrame, keys: list[str], order: list[Column], rows: int = 1) -> DataFrame:
+    """One row per key, the first in ``order``, or the first ``rows``.
 
-    ``row_number() = 1`` is cut to one row per key on the map side before the shuffle,
+    ``row_number() <= rows`` is cut to so many per key on the map side before the shuffle,
     so many copies of one key do not meet in one task.
     """
     from pyspark.sql import Window
@@ -66,4 +66,4 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
     ranked = df.withColumn(
         "_row", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     )
-    return ranked.filter(F.col("_row") == 1).drop("_row")
+    return ranked.filter(F.col("_row") <= rows).drop("_row")
