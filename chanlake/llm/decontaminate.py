@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chanlake.llm.rows import row_digest
 from chanlake.session import materialised
 
 WINDOW = 10
@@ -149,11 +150,12 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, id_col
     """``id, n_words, n_hit, n_items, items_sha256, contaminated`` of every document.
 
     ``n_hit``: words inside any occurrence of a window, each once. Null and wordless texts
-    have no words and no hits; without items nothing is hit. Rows with the same id count as
-    one document whose places are shared, so ids have to be unique; a null id is kept as it
-    is and never hit. The digest is of the sorted ids as strings, comma-joined.
+    have no words and no hits; without items nothing is hit. Rows are told apart by a digest of
+    id and text, so ids may be absent or come twice, and equal rows get equal results. The
+    digest of items is of the sorted ids as strings, comma-joined.
     """
-    index = build_index(docs, items, id_column)
+    docs = docs.select(F.col(id_column).alias("_id"), "text").withColumn("_doc", row_digest("_id", "text"))
+    index = build_index(docs, items, "_doc")
     windows, of_items = windows_of(items, width)
     matches = materialised(phrase_matches(index, windows), "matches")
     before = Window.partitionBy("doc").orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
@@ -175,10 +177,10 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, id_col
     )
     none = F.array().cast("array<string>")
     found = hits.join(found_items, "doc", "left")
-    words = docs.select(F.col(id_column).alias("doc"), F.size(words_of("text")).cast("bigint").alias("n_words"))
+    words = docs.select("_id", F.col("_doc").alias("doc"), F.size(words_of("text")).cast("bigint").alias("n_words"))
     items_found = F.coalesce("_items", none)
     return words.join(found, "doc", "left").select(
-        F.col("doc").alias(id_column),
+        F.col("_id").alias(id_column),
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.size(items_found).cast("bigint").alias("n_items"),

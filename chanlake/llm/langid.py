@@ -15,7 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chanlake.llm.rows import row_digest
 from chanlake.llm.ship import extended
+from chanlake.operators.skew import latest_per_key
 
 UNKNOWN = "und"
 DIMENSIONS = 1 << 13
@@ -158,8 +160,8 @@ def train(
 ) -> LanguageModel:
     """Learn from ``doc_id, text, lang``; rows without a language or letters are not used.
 
-    Document frequencies come from all rows, the centroids of each language from about
-    ``sample`` of its rows, picked by a hash of the id. A language's floor is the geometric
+    Document frequencies come from all rows, the centroids of each language from ``sample`` of its
+    rows (all, if fewer), those with the least hashes of id and text. A language's floor is the geometric
     mean of two cosines: what all but the lowest of its texts reach with centroids they were
     not fitted on, and what all but the highest of them reach with random letters. Without
     rows there are no languages and every text is unknown.
@@ -167,15 +169,15 @@ def train(
     docs = docs.filter(F.col("lang").isNotNull() & has_letters("text"))
     seen, rows = document_frequencies(docs, dimensions)
     idf = (np.log((1 + rows) / (1 + seen)) + 1).astype(np.float32)
-    sizes = docs.groupBy("lang").agg(F.count("*").alias("_n"))
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    picked = docs.join(F.broadcast(sizes), "lang").filter(draw * F.col("_n") < sample)
+    drawn = docs.withColumn("_draw", F.pmod(F.xxhash64(F.lit("sample"), row_digest("doc_id", "text")), F.lit(1 << 30)))
+    sizes = drawn.groupBy("lang").agg(F.count("*").alias("_n"), F.min("_draw").alias("_least"))  # a row a language
+    # few rows are ordered; the rank, not the draw, is what bounds a language's sample
+    likely = (F.col("_draw") / float(1 << 30) * F.col("_n") < 4 * sample) | (F.col("_draw") == F.col("_least"))
+    picked = latest_per_key(drawn.join(sizes, "lang").filter(likely), ["lang"], [F.col("_draw")], sample)
 
     def fit(table: pa.Table) -> pa.Table:
         grams = Grams(dimensions)
-        texts = table["text"].to_pylist()
-        order = np.argsort(np.asarray(table["doc_id"].fill_null(0)), kind="stable")  # reruns agree
-        texts = [texts[i] for i in order]
+        texts = sorted(table["text"].to_pylist())  # reruns agree
 
         def vectors(rows):
             return np.concatenate([grams.vectors(rows[at : at + _PIECE], idf) for at in range(0, len(rows), _PIECE)])
@@ -194,7 +196,7 @@ def train(
         )
 
     fitted = (
-        picked.select("doc_id", "text", "lang")
+        picked.select("text", "lang")
         .groupBy("lang")
         .applyInArrow(fit, "lang string, center binary, floor double")
         .collect()  # a few rows of fixed size for each language

@@ -111,7 +111,7 @@ def _spread(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def _blocks(columns, adjusted, raw, level: Level) -> Iterator[dict]:
-    """One row for each bucket; contexts as runs, counts as 32-bit numbers."""
+    """One row for each bucket; contexts as runs, counts in 32 bits, or 64 where one needs them."""
     bucket = _bucket_of(columns, level)
     order = np.argsort(bucket, kind="stable")
     bounds = np.searchsorted(bucket[order], np.arange(level.buckets + 1))
@@ -131,11 +131,16 @@ def _blocks(columns, adjusted, raw, level: Level) -> Iterator[dict]:
             "n": len(pick),
             "columns": b"".join(c.tobytes() for c in own),
             "runs": runs.tobytes(),
-            "counts": adjusted[pick].astype("<u4").tobytes() + raw[pick].astype("<u4").tobytes(),
+            "counts": _narrow(np.concatenate([adjusted[pick], raw[pick]])).tobytes(),
             "stats": b"",
         }
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts as 32-bit numbers, or 64-bit ones if any is too large."""
+    return counts.astype("<u4" if not len(counts) or counts.max() < 1 << 32 else "<u8")
+
+
 def _read_blocks(table: pa.Table, width: int):
     parts: list[list[np.ndarray]] = []
     for n, columns, runs, counts in zip(
@@ -149,7 +154,8 @@ def _read_blocks(table: pa.Table, width: int):
         for _ in range(width - 1):
             own.append(np.repeat(flat[at : at + len(runs)], runs))
             at += len(runs)
-        values = np.frombuffer(counts.as_py(), "<u4").astype(np.int64)
+        counts = counts.as_py()
+        values = np.frombuffer(counts, f"<u{len(counts) // (2 * n)}").astype(np.int64)
         parts.append([*own, flat[at:], values[:n], values[n:]])
     if not parts:
         empty = np.zeros(0, np.int64)
@@ -257,6 +263,10 @@ def train(texts: DataFrame, order: int = ORDER, bucket_tokens: int = BUCKET_TOKE
     types = {m: np.zeros(4, np.int64) for m in levels}
     vocabulary = 0
     blocks = texts.select("text").mapInArrow(count, _BLOCK_SCHEMA)
+    # every bucket gets its files, also one without n-grams: a file that is missing is lost
+    nothing = {f.name: F.lit(0).cast(f.dataType) if f.name == "n" else F.lit(b"") for f in blocks.schema if f.name != "bucket"}
+    stubs = spark.range(buckets).select(F.col("id").cast("int").alias("bucket"), *(c.alias(n) for n, c in nothing.items()))
+    blocks = blocks.unionByName(stubs)
     for m in range(order, 0, -1):
         blocks = blocks.groupBy("bucket").applyInArrow(
             _reducer(folder, m, order, levels[m], levels.get(m - 1)), _BLOCK_SCHEMA
@@ -304,7 +314,7 @@ def _reducer(folder: str, m: int, order: int, level: Level, below: Level | None)
             ).astype(np.float64)
             hashes = combine(context, columns[-1])
             by_hash = np.argsort(hashes)
-            _save(folder, m, bucket, contexts=context[at], totals=totals, **_directory(hashes[by_hash]), counts=adjusted[by_hash].astype(np.uint32))
+            _save(folder, m, bucket, contexts=context[at], totals=totals, **_directory(hashes[by_hash]), counts=_narrow(adjusted[by_hash]))
             for i in np.flatnonzero(np.isin(context[at], np.array(sorted(level.hot), np.uint64))):
                 found.append([m, 2, context[at][i].astype(np.int64).item(), *totals[i].astype(np.int64).tolist()])
             # each distinct n-gram counts once for the one without its first word
@@ -383,10 +393,10 @@ class _Files:
     def get(self, m: int, bucket: int, *names: str) -> list[np.ndarray] | None:
         if (m, bucket) not in self.open:
             stem = f"{self.folder}/{m}/{bucket % 1000:03d}/{bucket}-"
-            there = os.path.exists(f"{stem}{names[-1]}.npy")
-            self.open[m, bucket] = (
-                [np.load(f"{stem}{n}.npy", mmap_mode="r") for n in names] if there else None
-            )
+            if not os.path.exists(f"{stem}{names[-1]}.npy"):
+                raise FileNotFoundError(f"the model has lost {stem}{names[-1]}.npy: train it again")
+            arrays = [np.load(f"{stem}{n}.npy", mmap_mode="r") for n in names]
+            self.open[m, bucket] = arrays if len(arrays[-1]) else None  # no n-grams
         return self.open[m, bucket]
 
 

@@ -88,7 +88,8 @@ def time_of(share: Column, start: Column, end: Column) -> Column:
 def curriculum(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
     """Every document with ``size, source_size, target, taken, steps``.
 
-    Documents of a source stand in the order of a digest of ``doc_id``. A document is taken
+    Documents of a source stand in the order of a digest of ``doc_id`` (of the text without one), then
+    of a digest of the text. A document is taken
     once for each time that the source is gone through, if its middle comes before the
     source's target, so the words taken differ from the target by half a document at most.
     ``steps``: the training positions of its copies, 0 to 999999; empty if it is not taken.
@@ -98,10 +99,11 @@ def curriculum(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
     """
     added = ["size", "source_size", "target", "taken", "steps"]
     docs = docs.drop(*added).withColumn("size", word_count("text"))
-    docs = docs.withColumn("_order", digest("doc_id"))
+    own = F.when(F.col("doc_id").isNotNull(), digest("doc_id")).otherwise(digest("text"))
+    docs = docs.withColumns({"_order": own, "_of_text": F.xxhash64("text")})
     targets = source_targets(docs.select("source", "size"), recipe).withColumnRenamed("source", "_source")
     ranges = range_count(docs.count())
-    order = ["_order", "doc_id"]
+    order = ["_order", "doc_id", "_of_text"]
     placed = running_total(docs, ["source"], order, F.col("size"), "_words_before", ranges)
     rows = placed.join(targets, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     middles = [
@@ -119,10 +121,11 @@ def curriculum(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
     wanted = F.array(*(F.when(m <= F.col("target"), step(m)) for m in middles))
     rows = rows.withColumn("steps", F.array_compact(wanted))
     taken = F.col("size") * F.size("steps")
-    return rows.withColumn("taken", taken.cast("bigint")).drop("_order", "_words_before", "weight_no")
+    return rows.withColumn("taken", taken.cast("bigint")).drop("_order", "_of_text", "_words_before", "weight_no")
 
 
 def training_order(mixed: DataFrame) -> DataFrame:
     """A row for each copy of a taken document, range-sorted by its training position."""
     copies = mixed.withColumn("step", F.explode("steps")).drop("steps")
-    return copies.repartitionByRange("step", digest("doc_id")).sortWithinPartitions("step", digest("doc_id"))
+    order = ["step", digest("doc_id"), F.xxhash64("text")]
+    return copies.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -120,15 +120,26 @@ def resample(
     rows (rounded down) with the highest keys are sampled.
 
     The k-th highest key is found exactly by narrowing its range with counts, so no task
-    sees more than its own rows. Rows whose key equals it are sampled together (they are
-    repeated rows: the noise depends on the id).
+    sees more than its own rows. The noise depends on id and text, so rows with one key are equal
+    rows; of those that tie with the k-th, as many are sampled as are wanted.
     """
-    weighed = weigh(docs.select("doc_id", "text"), ratio).drop("text")
-    key = F.col("log_weight") + F.lit(float(temperature)) * gumbel(seed, "doc_id")
-    keyed = materialised(weighed.withColumn("key", key), "keys")
+    noise = gumbel(seed, "doc_id", "text")
+    weighed = weigh(docs.select("doc_id", "text", noise.alias("_noise")), ratio).drop("text")
+    key = F.col("log_weight") + F.lit(float(temperature)) * F.col("_noise")
+    keyed = materialised(weighed.withColumn("key", key).drop("_noise"), "keys")
     wanted = int(keyed.count() * fraction)
-    bound = _kth_highest(keyed, wanted) if wanted else None
-    return keyed.withColumn("sampled", F.lit(False) if bound is None else F.col("key") >= bound)
+    if not wanted:
+        return keyed.withColumn("sampled", F.lit(False))
+    bound = _kth_highest(keyed, wanted)
+    above, tied = keyed.agg(F.count_if(F.col("key") > bound), F.count_if(F.col("key") == bound)).first()
+    if above + tied == wanted:
+        return keyed.withColumn("sampled", F.col("key") >= bound)
+    # which of equal rows is taken makes no difference: they go by their place in the stage
+    file = F.regexp_extract(F.col("_metadata.file_path"), r"part-(\d+)", 1).cast("double")
+    placed = keyed.withColumn("_place", -(file * float(1 << 33) + F.col("_metadata.row_index")))
+    last = _kth_highest(placed.filter(F.col("key") == bound).select(F.col("_place").alias("key")), wanted - above)
+    taken = (F.col("key") > bound) | ((F.col("key") == bound) & (F.col("_place") >= last))
+    return placed.withColumn("sampled", taken).drop("_place")
 
 
 def _kth_highest(keyed: DataFrame, k: int, cells: int = 4096) -> float:

@@ -45,7 +45,7 @@ def near_texts():
     return texts + texts[:20]
 
 
-def brute_near(texts):
+def brute_near(texts, over=85):
     sets = []
     for t in texts:
         w = (t or "").lower().split()
@@ -56,7 +56,7 @@ def brute_near(texts):
         for i, x in enumerate(sets):
             for j in range(i):
                 y = sets[j]
-                if x and y and 100 * len(x & y) >= 85 * len(x | y):
+                if x and y and 100 * len(x & y) >= over * len(x | y):
                     found[i] = found[j] = min(found[i], found[j])
         if before == found:
             break

@@ -30,7 +30,7 @@ def test_stages(spark):
     assert len(known) > 0.98 * len(raw)
     known.sort(key=lambda r: r.doc_id)
     ids = [r.doc_id for r in known]
-    assert sorted(r.doc_id for r in single) == [ids[i] for i, _, _, own in brute_near([r.text for r in known]) if own]
+    assert sorted(r.doc_id for r in single) == [ids[i] for i, _, _, own in brute_near([r.text for r in known], 80) if own]
     grams = set()
     for r in table(spark, SF, "benchmark").collect():
         w = words(r.text)
