@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from chanlake.llm import decontaminate, langid, mixing, neardup, sharding
 from chanlake.llm.catalog import fold, table
+from chanlake.llm.rows import numbered, row_digest
 from chanlake.llm.ship import ship
 from chanlake.session import configure, materialised
 
 NEAR = (80, 100)  # similarity of word shingles from which documents are near-duplicates
 NEAR_DISTANCE = 29  # of their signatures
+ROW = "_row_of_pipeline"
 
 
 def _carried(docs: DataFrame, *needed: str) -> DataFrame:
@@ -43,16 +45,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
+    """One row of each group of near-duplicates: one with the smallest id (null last), whether ids are
+    absent, come twice, or not."""
     configure(ship(spark))
-    found = neardup.near_duplicates(docs, threshold=NEAR, distance=NEAR_DISTANCE)
-    return docs.join(found.filter(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    rows = numbered(docs, ROW)
+    found = neardup.near_duplicates(rows.select(ROW, "text"), ROW, threshold=NEAR, distance=NEAR_DISTANCE)
+    return rows.join(found.filter(~F.col("kept")).select(ROW), ROW, "left_anti").select(*docs.columns)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.filter("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    rows = docs.withColumn(ROW, row_digest("doc_id", "text"))
+    found = decontaminate.contamination(rows.select(ROW, "text"), table(spark, sf_dir, "benchmark"), id_column=ROW)
+    return rows.join(found.filter("contaminated").select(ROW).distinct(), ROW, "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
