@@ -14,6 +14,8 @@ from chanlake.catalog.channels import channel_docs
 from chanlake.operators import filters, graph
 from chanlake.operators import pseudonyms as P
 from chanlake.operators.flatten import flatten_channels
+from chanlake.operators.neighbours import NeighbourSets
+from chanlake.session import materialised, work_path
 
 NOW = "2024-06-01 12:00:00"
 
@@ -51,6 +53,36 @@ SELECT channel_id, CAST(0 AS INTEGER) AS page, string_agg(source_id, '|' ORDER B
 FROM both_sets GROUP BY 1"""
 
 
+def stored_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts that suppliers ship as stored sets that grow in three rounds and are split as they do."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("s"), (F.col("l_suppkey") % 9).cast("string")).alias("channel_id"),
+        F.col("l_partkey").cast("string").alias("member"), "l_linenumber",
+    )
+    sets = NeighbourSets(spark, work_path(spark, "neighbours"), 50, 16)
+    sets.add(lines.filter("l_linenumber = 1"))
+    first = materialised(sets.pages(), "first-pages")
+    sets.add(lines.filter("l_linenumber <= 3"))
+    sets.add(lines)
+    once = sets.pairs().groupBy("channel_id").agg(
+        F.count("*").alias("members"), F.min("member").alias("first"), F.max("member").alias("last")
+    )
+    pages = sets.pages().groupBy("channel_id").agg(
+        (F.max(F.size("members")) <= 100).alias("bounded"), (F.count_distinct("depth") == 1).alias("one_depth")
+    )
+    grown = sets.pages().groupBy("channel_id").agg(F.max("depth").alias("now")).join(
+        first.groupBy("channel_id").agg(F.max("depth").alias("was")), "channel_id"
+    )
+    deeper = grown.select("channel_id", (F.col("now") >= F.col("was")).alias("deeper"))
+    return once.join(pages, "channel_id").join(deeper, "channel_id").join(sets.sizes(), "channel_id")
+
+
+STORED_NEIGHBOURS_SQL = """
+SELECT 's' || l_suppkey % 9 AS channel_id, count(DISTINCT l_partkey) AS members, min(CAST(l_partkey AS VARCHAR)) AS first,
+  max(CAST(l_partkey AS VARCHAR)) AS last, TRUE AS bounded, TRUE AS one_depth, TRUE AS deeper, count(DISTINCT l_partkey) AS n
+FROM lineitem GROUP BY 1"""
+
+
 def recommended_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts recommend their suppliers: hundreds of recommenders each."""
     edges = part_messages(spark, sf_dir).select(
@@ -352,6 +384,7 @@ SELECT CAST(id AS VARCHAR) AS channel_id, priority,
 ENTRIES: dict[str, Entry] = {
     "forwards_from": (forwards_from, FORWARDS_SQL),
     "recommended_by": (recommended_by, RECOMMENDED_SQL),
+    "neighbour_sets": (stored_neighbours, STORED_NEIGHBOURS_SQL),
     "last_forward_per_source": (last_forward_per_source, LAST_FORWARD_SQL),
     "channel_edges": (channel_edges, EDGES_SQL),
     "edge_channel_lookup": (edge_channel_lookup, LOOKUP_SQL),

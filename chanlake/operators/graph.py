@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from chanlake.functions.dates import days_since
 from chanlake.functions.nested import matching_chat, other_chats
-from chanlake.operators.skew import PAGE_ROWS, global_rank, hash_pages
+from chanlake.operators.neighbours import PAGE_ROWS, depth_for, in_pages
+from chanlake.operators.skew import global_rank
 from chanlake.session import discard, materialised, write_stage
 
 # Scoring constants (fixed values).
@@ -63,14 +64,16 @@ def forward_pairs(messages: DataFrame) -> DataFrame:
 def adjacency(
     pairs: DataFrame, key: str, value: str, out: str, page_rows: int = PAGE_ROWS
 ) -> DataFrame:
-    """``key, page, out``: the sorted set of neighbours of each key.
+    """``key, depth, page, out``: the sorted sets of neighbours, in pages.
 
-    A key with more than ``page_rows`` neighbours gets several rows, numbered by
-    ``page``; all others have the single page 0.
+    ``page`` is a range of hashes, the one that starts with these ``depth`` bits, so a row says what
+    it holds whatever the size of the set; a set of up to ``page_rows`` members is the one page of
+    depth 0. Stored sets that grow: ``chanlake.operators.neighbours``.
     """
     distinct = pairs.select(key, value).distinct()
-    paged = hash_pages(distinct, [key], value, page_rows)
-    return paged.groupBy(key, "page").agg(F.array_sort(F.collect_list(value)).alias(out))
+    sizes = distinct.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > page_rows)
+    depths = sizes.select(key, depth_for(F.col("_n"), page_rows).alias("depth"))
+    return in_pages(distinct, depths, key, value).withColumnRenamed("members", out).withColumn("page", F.col("page").cast("int"))
 
 
 def forwards_from(messages: DataFrame, saved: DataFrame | None = None) -> DataFrame:

@@ -9,21 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PAGE_ROWS = 10_000
-
-
-def hash_pages(df: DataFrame, keys: list[str], value: str, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Add ``page``: 0 for ordinary groups, hash pages for groups above ``page_rows``.
-
-    Collecting a group per page keeps every array bounded and loses nothing.
-    """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    large = sizes.filter(F.col("_rows") > page_rows)
-    pages = F.ceil(F.col("_rows") / page_rows).cast("int")
-    page = F.when(F.col("_rows").isNotNull(), F.pmod(F.xxhash64(value), pages)).otherwise(0)
-    return df.join(large, keys, "left").withColumn("page", page.cast("int")).drop("_rows")
-
-
 def global_rank(df: DataFrame, order: list[str], name: str = "rank", parts: int = 0) -> DataFrame:
     """Number all rows 1, 2, ... in the given order without gathering them in one task.
 

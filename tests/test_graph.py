@@ -9,9 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from chanlake.operators import graph as G
+from chanlake.operators.neighbours import NeighbourSets
 from chanlake.operators.skew import (
     global_rank,
-    hash_pages,
     latest_per_key,
 )
 from tests.conftest import rows
@@ -22,12 +22,33 @@ def test_pages_keep_all_rows_and_bound_groups(spark):
         F.when(F.col("id") < 900, "hot").otherwise(F.col("id").cast("string")).alias("k"),
         F.col("id").alias("v"),
     )
-    paged = hash_pages(df, ["k"], "v", 100)
-    assert paged.count() == 1000
-    sizes = paged.groupBy("k", "page").count()
+    paged = G.adjacency(df.withColumn("v", F.col("v").cast("string")), "k", "v", "members", 100)
+    assert paged.agg(F.sum(F.size("members"))).first()[0] == 1000
+    sizes = paged.select("k", "depth", "page", F.size("members").alias("count"))
     assert sizes.agg(F.max("count")).first()[0] < 200
-    assert sizes.filter("k='hot'").count() == 9
-    assert sizes.filter("k!='hot' and page!=0").count() == 0
+    assert sizes.filter("k='hot'").count() == 16 and sizes.filter("k='hot' and depth!=4").count() == 0
+    assert sizes.filter("k!='hot' and (page!=0 or depth!=0)").count() == 0
+
+
+def test_neighbour_sets_of_any_size_are_one_set(spark, tmp_path):
+    sets = NeighbourSets(spark, str(tmp_path / "sets"), buckets=4)
+    many = spark.range(1_000_000).select(F.lit("hub").alias("channel_id"), F.concat(F.lit("n"), "id").alias("member"))
+    few = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x"), (None, "z"), ("c", None)], "channel_id string, member string")
+    sets.add(many.limit(9_000).unionByName(few))
+    assert sets.pages().filter("depth > 0").count() == 0
+    before = {f for f in sets.pages().inputFiles()}
+    sets.add(many.unionByName(few))
+    assert sorted(tuple(r) for r in sets.sizes().collect()) == [("a", 2), ("b", 1), ("hub", 1_000_000)]
+    pages = sets.pages().filter("channel_id = 'hub'")
+    assert pages.select("depth").distinct().count() == 1 and pages.agg(F.max(F.size("members"))).first()[0] < 12_000
+    hub = sets.members_of(many.limit(1))
+    assert hub.count() == hub.distinct().count() == 1_000_000 and hub.join(many, ["channel_id", "member"], "left_anti").count() == 0
+    asked = spark.createDataFrame([("hub", "n5"), ("hub", "n-5"), ("a", "x"), ("d", "x")], "channel_id string, member string")
+    assert sorted(tuple(r) for r in sets.absent(asked).collect()) == [("d", "x"), ("hub", "n-5")]
+    assert before & set(sets.pages().inputFiles()) or len(before) == 1  # other buckets stay
+    files = set(sets.pages().inputFiles())
+    sets.add(few)  # nothing new: nothing is written
+    assert set(sets.pages().inputFiles()) == files
 
 
 def test_global_rank(spark):
