@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +42,26 @@ def create_session(app_name: str = "chanlake", master: str | None = None, **conf
     return configure(builder.getOrCreate())
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Give Python tasks this package: its source as a zip among the session's Python files, once
+    for a session."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="chanlake-code-")  # Spark serves the file from here
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        path = os.path.join(folder, f"{package.name}.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+            for source in sorted(package.rglob("*.py")):
+                archive.write(source, source.relative_to(package.parent))
+        context.addPyFile(path)
+        _SHIPPED.add(context.applicationId)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 

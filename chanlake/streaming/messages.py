@@ -20,6 +20,7 @@ from chanlake.sources.messages import (
     with_source,
 )
 from chanlake.sources.tables import DEFAULT_BUCKETS
+from chanlake.streaming.intervals import first_readings
 
 
 MAX_FILE_AGE = "36500d"
@@ -75,9 +76,9 @@ def dedup_stream(messages: DataFrame, arrival: str | None = None, delay: str = "
     """The first reading of each message.
 
     An archive is back-filled, so message dates do not follow arrival and are no watermark:
-    by default keys are remembered for good. With an ``arrival`` column (a file's time) they
-    are forgotten after ``delay``, and a later copy passes again.
+    by default keys are remembered for good, as intervals of ids. With an ``arrival`` column (a
+    file's time) they are forgotten after ``delay``, and a later copy passes again.
     """
     if arrival is None:
-        return messages.dropDuplicates(MESSAGE_KEY)
+        return first_readings(messages) if messages.isStreaming else messages.dropDuplicates(MESSAGE_KEY)
     return messages.withWatermark(arrival, delay).dropDuplicatesWithinWatermark(MESSAGE_KEY)
