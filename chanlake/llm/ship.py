@@ -2,37 +2,19 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from chanlake.session import ship_package
+
 BATCH_ROWS = 1000
-_DONE: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Add the package's source as a zip to the session's Python files, once for a session,
-    and set the rows of a batch for Python tasks."""
+    """Give Python tasks this package and set the rows of their batches."""
     # whole texts: smaller batches, as memory goes with the bytes of a batch
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    context = spark.sparkContext
-    if context.applicationId not in _DONE:
-        package = Path(__file__).resolve().parent.parent
-        folder = tempfile.mkdtemp(prefix="chanlake-code-")  # Spark serves the file from here
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        path = os.path.join(folder, f"{package.name}.zip")
-        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
-            for source in sorted(package.rglob("*.py")):
-                archive.write(source, source.relative_to(package.parent))
-        context.addPyFile(path)
-        _DONE.add(context.applicationId)
-    return spark
+    return ship_package(spark)
 
 
 def extended(df: DataFrame, **fields: str) -> StructType:
