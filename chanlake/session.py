@@ -10,6 +10,7 @@ import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,20 +82,52 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# Shuffle files of a job leave the executors' disks when the job ends, not when the driver happens
+# to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def write_stage(df: DataFrame, name: str = "stage") -> str:
-    """Write ``df`` as Parquet in the shared folder; gives the path."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    """Write ``df`` as Parquet in the shared folder; gives the path. Its shuffles are done with."""
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return path
 
 
-def materialised(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialised(df: DataFrame, name: str = "stage", keep: bool = False) -> DataFrame:
     """Write ``df`` in the shared folder and read it back.
 
     Cheaper than a checkpoint when the result is scanned several times: later plans get
-    column pruning, pushed filters and real size statistics.
+    column pruning, pushed filters and real size statistics. Inside ``scratch`` it is deleted with
+    the block, unless it is to be kept: then with the block around that, if there is one.
     """
-    return df.sparkSession.read.schema(df.schema).parquet(write_stage(df, name))
+    path = write_stage(df, name)
+    scopes = _SCRATCH.get()
+    if len(scopes) > keep:
+        scopes[-1 - keep].append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SCRATCH: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete in the end what ``materialised`` has written in this block."""
+    paths: list[str] = []
+    token = _SCRATCH.set((*_SCRATCH.get(), paths))
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in paths:
+            discard(spark, path)
 
 
 @contextmanager
