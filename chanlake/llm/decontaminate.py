@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chanlake.llm.rows import row_digest
-from chanlake.session import materialised
+from chanlake.session import materialised, scratch
 
 WINDOW = 10
 RAREST = 2  # lists intersected before the rest of a window is confirmed
@@ -154,36 +154,38 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, id_col
     id and text, so ids may be absent or come twice, and equal rows get equal results. The
     digest of items is of the sorted ids as strings, comma-joined.
     """
-    docs = docs.select(F.col(id_column).alias("_id"), "text").withColumn("_doc", row_digest("_id", "text"))
-    index = build_index(docs, items, "_doc")
-    windows, of_items = windows_of(items, width)
-    matches = materialised(phrase_matches(index, windows), "matches")
-    before = Window.partitionBy("doc").orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
-    end = F.col("start") + F.col("length")
-    fresh = end - F.greatest("start", F.coalesce("_reached", F.col("start")))
-    hits = (
-        matches.select("doc", "start", "length")
-        .distinct()
-        .withColumn("_reached", F.max(end).over(before))
-        .groupBy("doc")
-        .agg(F.sum(F.greatest(fresh, F.lit(0))).cast("bigint").alias("n_hit"))
-    )
-    found_items = (
-        matches.select("doc", "window_id")
-        .distinct()
-        .join(of_items, "window_id")
-        .groupBy("doc")
-        .agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("_items"))
-    )
-    none = F.array().cast("array<string>")
-    found = hits.join(found_items, "doc", "left")
-    words = docs.select("_id", F.col("_doc").alias("doc"), F.size(words_of("text")).cast("bigint").alias("n_words"))
-    items_found = F.coalesce("_items", none)
-    return words.join(found, "doc", "left").select(
-        F.col("_id").alias(id_column),
-        "n_words",
-        F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
-        F.size(items_found).cast("bigint").alias("n_items"),
-        F.sha2(F.array_join(items_found, ","), 256).alias("items_sha256"),
-        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
-    )
+    with scratch(docs.sparkSession):
+        docs = docs.select(F.col(id_column).alias("_id"), "text").withColumn("_doc", row_digest("_id", "text"))
+        index = build_index(docs, items, "_doc")
+        windows, of_items = windows_of(items, width)
+        matches = materialised(phrase_matches(index, windows), "matches")
+        before = Window.partitionBy("doc").orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
+        end = F.col("start") + F.col("length")
+        fresh = end - F.greatest("start", F.coalesce("_reached", F.col("start")))
+        hits = (
+            matches.select("doc", "start", "length")
+            .distinct()
+            .withColumn("_reached", F.max(end).over(before))
+            .groupBy("doc")
+            .agg(F.sum(F.greatest(fresh, F.lit(0))).cast("bigint").alias("n_hit"))
+        )
+        found_items = (
+            matches.select("doc", "window_id")
+            .distinct()
+            .join(of_items, "window_id")
+            .groupBy("doc")
+            .agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("_items"))
+        )
+        none = F.array().cast("array<string>")
+        found = hits.join(found_items, "doc", "left")
+        words = docs.select("_id", F.col("_doc").alias("doc"), F.size(words_of("text")).cast("bigint").alias("n_words"))
+        items_found = F.coalesce("_items", none)
+        result = words.join(found, "doc", "left").select(
+            F.col("_id").alias(id_column),
+            "n_words",
+            F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
+            F.size(items_found).cast("bigint").alias("n_items"),
+            F.sha2(F.array_join(items_found, ","), 256).alias("items_sha256"),
+            (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        )
+        return materialised(result, "contamination", keep=True)

@@ -173,7 +173,7 @@ def train(
     sizes = drawn.groupBy("lang").agg(F.count("*").alias("_n"), F.min("_draw").alias("_least"))  # a row a language
     # few rows are ordered; the rank, not the draw, is what bounds a language's sample
     likely = (F.col("_draw") / float(1 << 30) * F.col("_n") < 4 * sample) | (F.col("_draw") == F.col("_least"))
-    picked = latest_per_key(drawn.join(sizes, "lang").filter(likely), ["lang"], [F.col("_draw")], sample)
+    picked = latest_per_key(drawn.join(F.broadcast(sizes), "lang").filter(likely), ["lang"], [F.col("_draw")], sample)
 
     def fit(table: pa.Table) -> pa.Table:
         grams = Grams(dimensions)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from chanlake.llm.components import connected
 from chanlake.llm.words import combine, mix, pieces, row_of, word_hashes
-from chanlake.session import materialised
+from chanlake.session import materialised, scratch
 
 SHINGLE = 5
 THRESHOLD = (85, 100)  # links: 100 * intersection >= 85 * union
@@ -311,38 +311,40 @@ def near_duplicates(
     least, of = LOWEST[distance]
     if of * over < least * under:
         raise ValueError(f"a distance of {distance} is dimensioned for similarities of {least / of} and more")
-    texts = docs.select(F.col(id_column).cast("bigint").alias("doc"), "text")
-    signed = materialised(signatures(texts), "signatures")
-    sets = materialised(
-        signed.filter("n_shingles > 0 AND doc IS NOT NULL")
-        .groupBy("set_a", "set_b", "n_shingles")
-        .agg(F.min("doc").alias("doc"), F.first("sig").alias("sig")),
-        "sets",
-    )
-    groups = candidate_groups(sets, distance)
-    sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
-    members = materialised(groups.join(sizes, "component").withColumnRenamed("node", "doc"), "groups")
-    full = _full_sets(texts.join(members, "doc"))
-    parts = F.lit(max(1, members.count() // BLOCK))
-    small = F.pmod(F.xxhash64("component"), parts)
-    blocked = _block_groups(full, "component", "n", BLOCK).withColumn(
-        "part", F.when(F.col("n") > BLOCK, F.col("part")).otherwise(-1 - small)
-    )
-    links = materialised(
-        blocked.select("part", "i", "j", "component", "doc", "set")
-        .groupBy("part", "i", "j")
-        .applyInArrow(_linked_in_group(over, under), "a long, b long"),
-        "linked",
-    )
-    linked = connected(links)
-    classes = sets.join(linked, F.col("doc") == F.col("node"), "left").select(
-        "set_a", "set_b", "n_shingles", F.coalesce("component", "doc").alias("component_id")
-    )
-    found = signed.join(classes, ["set_a", "set_b", "n_shingles"], "left")
-    component = F.when(F.col("doc").isNotNull(), F.coalesce("component_id", "doc"))
-    return found.select(
-        F.col("doc").alias(id_column),
-        "n_shingles",
-        component.alias("component_id"),
-        component.eqNullSafe(F.col("doc")).alias("kept"),
-    )
+    with scratch(docs.sparkSession):
+        texts = docs.select(F.col(id_column).cast("bigint").alias("doc"), "text")
+        signed = materialised(signatures(texts), "signatures")
+        sets = materialised(
+            signed.filter("n_shingles > 0 AND doc IS NOT NULL")
+            .groupBy("set_a", "set_b", "n_shingles")
+            .agg(F.min("doc").alias("doc"), F.first("sig").alias("sig")),
+            "sets",
+        )
+        groups = candidate_groups(sets, distance)
+        sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
+        members = materialised(groups.join(sizes, "component").withColumnRenamed("node", "doc"), "groups")
+        full = _full_sets(texts.join(members, "doc"))
+        parts = F.lit(max(1, members.count() // BLOCK))
+        small = F.pmod(F.xxhash64("component"), parts)
+        blocked = _block_groups(full, "component", "n", BLOCK).withColumn(
+            "part", F.when(F.col("n") > BLOCK, F.col("part")).otherwise(-1 - small)
+        )
+        links = materialised(
+            blocked.select("part", "i", "j", "component", "doc", "set")
+            .groupBy("part", "i", "j")
+            .applyInArrow(_linked_in_group(over, under), "a long, b long"),
+            "linked",
+        )
+        linked = connected(links)
+        classes = sets.join(linked, F.col("doc") == F.col("node"), "left").select(
+            "set_a", "set_b", "n_shingles", F.coalesce("component", "doc").alias("component_id")
+        )
+        found = signed.join(classes, ["set_a", "set_b", "n_shingles"], "left")
+        component = F.when(F.col("doc").isNotNull(), F.coalesce("component_id", "doc"))
+        result = found.select(
+            F.col("doc").alias(id_column),
+            "n_shingles",
+            component.alias("component_id"),
+            component.eqNullSafe(F.col("doc")).alias("kept"),
+        )
+        return materialised(result, "near-duplicates", keep=True)
