@@ -50,14 +50,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     configure(ship(spark))
     rows = numbered(docs, ROW)
     found = neardup.near_duplicates(rows.select(ROW, "text"), ROW, threshold=NEAR, distance=NEAR_DISTANCE)
-    return rows.join(found.filter(~F.col("kept")).select(ROW), ROW, "left_anti").select(*docs.columns)
+    gone = found.filter(~F.col("kept")).select(ROW)  # grows with the corpus: never broadcast
+    return rows.join(gone.hint("merge"), ROW, "left_anti").select(*docs.columns)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
     rows = docs.withColumn(ROW, row_digest("doc_id", "text"))
     found = decontaminate.contamination(rows.select(ROW, "text"), table(spark, sf_dir, "benchmark"), id_column=ROW)
-    return rows.join(found.filter("contaminated").select(ROW).distinct(), ROW, "left_anti").select(*docs.columns)
+    gone = found.filter("contaminated").select(ROW).distinct()
+    return rows.join(gone.hint("merge"), ROW, "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
