@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import ExitStack
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from chanlake.functions.dates import days_since
 from chanlake.functions.nested import matching_chat, other_chats
 from chanlake.operators.neighbours import PAGE_ROWS, depth_for, in_pages
 from chanlake.operators.skew import global_rank
-from chanlake.session import discard, materialised, write_stage
+from chanlake.session import BucketedStage, materialised, scratch, settings
 
 # Scoring constants (fixed values).
 PRIVATE_PRIORITY = 10_000_000
@@ -233,6 +235,9 @@ def run_progress(channels: DataFrame, processed: DataFrame) -> DataFrame:
 
 # --- snowball ------------------------------------------------------------------------
 
+EDGES_PER_BUCKET = 1_000_000
+PAGE_EDGES = 100_000  # edges of one source that may lie in one bucket
+
 
 def scored_targets(edges: DataFrame, nodes: DataFrame, private_priority: int) -> DataFrame:
     """Edges with what their target adds to a parent's priority.
@@ -250,6 +255,60 @@ def scored_targets(edges: DataFrame, nodes: DataFrame, private_priority: int) ->
     return distinct.join(info, "dst")
 
 
+class Adjacency:
+    """Edges written once, in buckets of (source, page): a round moves its frontier, no edge.
+
+    A source has one page for each ``page`` edges, and an edge its page by a digest of its
+    target, so that the edges of a hot source lie in many buckets.
+    """
+
+    def __init__(self, edges: DataFrame, name: str, buckets: int, page: int = PAGE_EDGES):
+        degrees = edges.groupBy("src").agg(F.count("*").alias("n")).filter(F.col("n") > page)
+        self.hot = materialised(degrees.select("src", F.ceil(F.col("n") / page).alias("pages")), f"{name}-hot")
+        own = F.pmod(F.xxhash64("dst"), F.coalesce("pages", F.lit(1))).alias("page")
+        paged = edges.join(self.hot, "src", "left").select(*edges.columns, own)
+        self.stage = BucketedStage(edges.sparkSession, name, buckets, ["src", "page"])
+        self.stage.append(paged.repartition(buckets, "src", "page"))
+
+    def of(self, frontier: DataFrame) -> DataFrame:
+        """The edges of the channels in ``frontier``, with its columns."""
+        pages = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("pages", F.lit(1)) - 1))
+        asked = frontier.withColumnRenamed("channel_id", "src").join(self.hot, "src", "left")
+        return asked.withColumn("page", pages).drop("pages").join(self.stage.read(), ["src", "page"])
+
+    def drop(self) -> None:
+        self.stage.drop()
+
+
+def improved(
+    state: DataFrame, links: Adjacency, targets: Adjacency, number: int, private_priority: int
+) -> DataFrame:
+    """What gets better by round ``number`` of the state: ``channel_id, priority, round``."""
+    changed = state.filter(F.col("round") == number).select("channel_id", "priority")
+    # Priority from which a channel's neighbours count: its own, or that of a channel it is
+    # linked from.
+    through_links = links.of(changed).select(F.col("dst").alias("channel_id"), "priority")
+    best = F.min("priority").alias("priority")
+    sources = changed.unionByName(through_links).groupBy("channel_id").agg(best)
+    reached = (
+        targets.of(sources)
+        .select(
+            F.col("dst").alias("channel_id"),
+            F.coalesce("fixed", F.col("priority") + F.col("step")).alias("priority"),
+        )
+        .filter(F.col("priority") < private_priority)
+        .groupBy("channel_id")
+        .agg(best)
+    )
+    known = state.groupBy("channel_id").agg(F.min("priority").alias("_known"))
+    better = F.col("_known").isNull() | (F.col("priority") < F.col("_known"))
+    return (
+        reached.join(known, "channel_id", "left")
+        .filter(better)
+        .select("channel_id", "priority", F.lit(number + 1).alias("round"))
+    )
+
+
 def snowball(
     edges: DataFrame,
     nodes: DataFrame,
@@ -264,70 +323,45 @@ def snowball(
     their edges and keeps the minimum per target, until nothing improves. A channel's
     linked chats (assumed to be linked both ways) are visited along with it unless they
     are private, and what they point to counts from its priority.
+
+    Edges and state lie in buckets; a round appends what got better to the state and
+    shuffles nothing but its frontier and what that reaches.
     """
+    spark = edges.sparkSession
     fetched = nodes.filter(F.col("has_doc") & F.col("spam").isNotNull())
     links = edges.filter(F.col("kind") == LINKED).select("src", "dst").distinct()
-    links = materialised(
-        links.join(fetched.select(F.col("channel_id").alias("dst")), "dst", "left_semi"), "links"
-    )
-    targets = materialised(
-        scored_targets(edges.filter(F.col("kind") != LINKED), nodes, private_priority), "targets"
-    )
     start = fetched.join(seeds.select("channel_id").distinct(), "channel_id", "left_semi").select(
         "channel_id",
         exploration_priority(
             F.lit(True), F.col("spam"), F.col("language"), F.lit(0), private_priority
-        ).alias("priority"),
+        ).cast("bigint").alias("priority"),
+        F.lit(0).alias("round"),
     )
-    stage = write_stage(start, "snowball")
-    spark, columns = edges.sparkSession, "channel_id string, priority bigint"
-    best = spark.read.schema(columns).parquet(stage)
-    changed = best
-    improved = not best.isEmpty()
-    while improved:
-        # Priority from which a channel's neighbours count: its own, or that of a
-        # channel it is linked from.
-        through_links = changed.join(links, changed["channel_id"] == links["src"]).select(
-            F.col("dst").alias("channel_id"), "priority"
-        )
-        sources = (
-            changed.select("channel_id", "priority")
-            .unionByName(through_links)
-            .groupBy("channel_id")
-            .agg(F.min("priority").alias("priority"))
-        )
-        reached = (
-            targets.join(sources, targets["src"] == sources["channel_id"])
-            .select(
-                F.col("dst").alias("channel_id"),
-                F.coalesce("fixed", F.col("priority") + F.col("step")).alias("priority"),
-            )
-            .filter(F.col("priority") < private_priority)
-            .groupBy("channel_id")
-            .agg(F.min("priority").alias("priority"))
-        )
-        known = best.withColumnRenamed("priority", "_known")
-        better = F.col("_known").isNull() | F.coalesce(
-            F.col("priority") < F.col("_known"), F.lit(False)
+    with ExitStack() as cleaning:
+        cleaning.enter_context(scratch(spark))
+        links = materialised(
+            links.join(fetched.select(F.col("channel_id").alias("dst")), "dst", "left_semi"), "links"
         )
-        # The write itself counts what got better: no further job decides on another round.
-        watch = Observation()
-        merged = (
-            known.join(reached, "channel_id", "full")
-            .select(
-                "channel_id",
-                F.least("priority", "_known").alias("priority"),
-                better.alias("_better"),
-            )
-            .observe(watch, F.count_if("_better").alias("better"))
+        targets = materialised(
+            scored_targets(edges.filter(F.col("kind") != LINKED), nodes, private_priority), "targets"
         )
-        before, stage = stage, write_stage(merged, "snowball")
-        discard(spark, before)
-        improved = watch.get["better"] > 0
-        state = spark.read.schema(f"{columns}, _better boolean").parquet(stage)
-        best = state.drop("_better")
-        changed = state.filter("_better").drop("_better")
-    return best
+        buckets = 1 + targets.count() // EDGES_PER_BUCKET
+        cleaning.enter_context(settings(spark, {"spark.sql.shuffle.partitions": str(buckets)}))
+        state = BucketedStage(spark, "snowball", buckets, ["channel_id"], ("round",))
+        cleaning.callback(state.drop)
+        linked, pointed = (Adjacency(rows, name, buckets) for rows, name in ((links, "links"), (targets, "targets")))
+        cleaning.callback(linked.drop)
+        cleaning.callback(pointed.drop)
+        state.append(start)
+        more, number = not state.read().isEmpty(), 0
+        while more:
+            # The write itself counts what got better: no further job decides on another round.
+            watch = Observation()
+            found = improved(state.read(), linked, pointed, number, private_priority)
+            state.append(found.observe(watch, F.count("*").alias("better")))
+            more, number = watch.get["better"] > 0, number + 1
+        best = state.read().groupBy("channel_id").agg(F.min("priority").alias("priority"))
+        return materialised(best, "visited", keep=True)
 
 
 def crawl_order(visited: DataFrame, name: str = "rank") -> DataFrame:

@@ -146,6 +146,44 @@ def stages(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame
             discard(spark, path)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Runtime settings for the jobs of this block."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+class BucketedStage:
+    """A table in the shared folder, dealt to buckets by ``keys``: joins and groups by these keys
+    do not move it. It may grow; ``parts`` name the column that tells what was appended together.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, buckets: int, keys: list[str], parts: tuple[str, ...] = ()):
+        self.spark, self.buckets, self.keys, self.parts = spark, buckets, keys, parts
+        self.path = work_path(spark, name)
+        self.table = "stage_" + self.path.rsplit("-", 1)[-1]
+
+    def append(self, df: DataFrame) -> None:
+        """The rows become one file for each bucket if ``df`` is dealt by the same keys."""
+        writer = df.write.format("parquet").mode("append").option("path", self.path)
+        if self.parts:
+            writer = writer.partitionBy(*self.parts)
+        writer.bucketBy(self.buckets, *self.keys).sortBy(*self.keys).saveAsTable(self.table)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.table)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        discard(self.spark, self.path)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a stage that nothing reads any more."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -166,3 +166,54 @@ def test_frontier(spark):
     df = spark.createDataFrame([("b", 1), ("a", 1), ("a", 0), ("c", 0)], "channel_id string, priority long")
     assert [tuple(r) for r in G.frontier_order(df).collect()] == [("a", 0), ("c", 0), ("b", 1)]
     assert [r.channel_id for r in G.frontier_order(df, 1).collect()] == ["a"]
+
+
+def _adjacency(spark, edges, page=G.PAGE_EDGES, buckets=3):
+    rows = spark.createDataFrame(edges, "src string, dst string, fixed long, step long")
+    return G.Adjacency(rows, "adjacency", buckets, page)
+
+
+def test_a_hot_source_lies_in_pages(spark):
+    edges = [("hub", f"d{i:04d}", None, 1) for i in range(1000)] + [("a", "b", None, 2)]
+    adjacency = _adjacency(spark, edges, page=100)
+    assert rows(adjacency.hot) == [("hub", 10)]
+    stored = adjacency.stage.read().filter("src = 'hub'").groupBy("page").count().collect()
+    assert len(stored) == 10 and max(r["count"] for r in stored) < 200
+    asked = spark.createDataFrame([("hub", 5), ("a", 7), ("gone", 1)], "channel_id string, priority long")
+    got = rows(adjacency.of(asked), "src", "dst", "priority", "step")
+    assert got == sorted([("hub", f"d{i:04d}", 5, 1) for i in range(1000)] + [("a", "b", 7, 2)], key=repr)
+    adjacency.drop()
+
+
+def test_a_round_moves_its_frontier_only(spark):
+    """Beyond the size of broadcasts, no exchange lies over the edges or the state."""
+    from chanlake.session import BucketedStage, settings
+
+    with settings(spark, {"spark.sql.shuffle.partitions": "3", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        links = _adjacency(spark, [("a", "l", None, None)])
+        targets = _adjacency(spark, [("a", "b", None, 2), ("l", "c", None, 1), ("b", "a", None, 1)])
+        state = BucketedStage(spark, "state", 3, ["channel_id"], ("round",))
+        state.append(spark.createDataFrame([("a", 0, 0)], "channel_id string, priority long, round int"))
+        found = G.improved(state.read(), links, targets, 0, G.PRIVATE_PRIORITY)
+        assert rows(found) == [("b", 2, 1), ("c", 1, 1)]
+        state.append(found)
+        again = G.improved(state.read(), links, targets, 1, G.PRIVATE_PRIORITY)
+        assert again.count() == 0
+        # Each bucketed scan is reported with its buckets; an exchange above it would be by its key.
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        for table in (links.stage.table, targets.stage.table):
+            lines = plan.split("\n")
+            at = next(i for i, line in enumerate(lines) if f".{table}" in line and "Scan" in line)
+            depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+            above = []
+            for line in reversed(lines[:at]):
+                d = len(line) - len(line.lstrip(" :+-"))
+                if d < depth:
+                    above.append(line.strip(" :+-"))
+                    depth = d
+                    if "Join" in line:
+                        break
+            assert "Join" in above[-1] and not any("Exchange" in line for line in above), plan
+            assert "Bucketed: true" in lines[at], plan
+        for stage in (links, targets, state):
+            stage.drop()
