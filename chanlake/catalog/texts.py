@@ -14,8 +14,9 @@ from chanlake.functions.text import (
 )
 from chanlake.operators.language import MARGIN, SCALE, detect_language, train_profiles
 from chanlake.operators.search import pending_keywords, search_channels
+from chanlake.operators.word_index import WordIndex
 from chanlake.plans.keywords import bot_seeds
-from chanlake.session import work_path
+from chanlake.session import discard, materialised, work_path
 from chanlake.sources.lists import scan_keywords
 from chanlake.sources.tables import write_version
 
@@ -181,6 +182,19 @@ hit AS (SELECT keyword, id FROM kw JOIN txt ON contains(t, ' ' || lower(keyword)
 SELECT keyword, id FROM hit"""
 
 
+def index_searched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts that a keyword matches, by a stored word index that took in half of the parts with
+    another text first, and then all of them."""
+    parts = _parts(spark, sf_dir)
+    index = WordIndex(spark, work_path(spark, "word-index"))
+    index.update(parts.filter("id % 2 = 0"), F.concat(F.col("text"), F.lit(" lavender almond")))
+    index.update(parts, F.col("text"))
+    hits = index.search(_keywords(spark, sf_dir)).select("keyword", F.col("id").cast("bigint").alias("id"))
+    found = materialised(hits, "found")
+    discard(spark, index.root)
+    return found
+
+
 def keywords_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyword lists written as text, read back; those of large parts are searched."""
     parts = table(spark, sf_dir, "part")
@@ -213,6 +227,7 @@ ENTRIES: dict[str, Entry] = {
     "detect_language": (languages, LANGUAGES_SQL),
     "language_accuracy": (language_accuracy, ACCURACY_SQL),
     "search_channels": (channels_found, CHANNELS_FOUND_SQL),
+    "search_word_index": (index_searched, CHANNELS_FOUND_SQL),
     "pending_keywords": (keywords_pending, PENDING_SQL),
     "write_searched_keywords": (searched_written, SEARCHED_SQL),
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chanlake.functions.text import extract_usernames
 from chanlake.operators.search import merge_seeds_last_wins, pending_keywords, search_channels
+from chanlake.operators.word_index import WordIndex
 from chanlake.sources.tables import write_version
 
 
@@ -33,12 +34,21 @@ def search_round(
     channels: DataFrame,
     seeds: DataFrame,
     text: Column,
+    index: WordIndex | None = None,
 ) -> SearchRound:
-    """Search the pending keywords; found channels extend the seeds, later sources win."""
+    """Search the pending keywords; found channels extend the seeds, later sources win.
+
+    With an ``index`` the channels that are new to it or changed are taken in, and it is asked
+    instead of all texts.
+    """
     pending = pending_keywords(keywords, searched)
-    found = search_channels(channels, pending, text).select(
-        F.col("id").alias("channel_id"), "access_hash"
-    )
+    if index is None:
+        hits = search_channels(channels, pending, text)
+    else:
+        index.update(channels, text)
+        found_ids = index.search(pending).select("id").distinct()
+        hits = channels.withColumn("id", F.col("id").cast("string")).join(found_ids, "id", "left_semi")
+    found = hits.select(F.col("id").alias("channel_id"), "access_hash")
     return SearchRound(
         seeds=merge_seeds_last_wins(seeds, bot_seeds(replies, channels), found),
         searched=searched.unionByName(pending).distinct(),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from chanlake.functions.text import channel_text
 from chanlake.operators.language import train_profiles
+from chanlake.operators.word_index import WordIndex
 from chanlake.plans.expansion import expand, record_issues
 from chanlake.plans.keywords import search_round, write_round
 from chanlake.plans.observations import admissions, observation_log, roll_up, track
@@ -139,6 +140,10 @@ def test_search_round(spark, tmp_path):
     got = search_round(kw("red", "old"), kw("old"), replies, channels, seeds, text)
     assert rows(got.seeds) == [("x", 1), ("y", 2), ("z", 3)]
     assert rows(got.searched) == [("old",), ("red",)]
+    index = WordIndex(spark, str(tmp_path / "words"))
+    for _ in range(2):  # the second round takes in nothing and finds the same
+        asked = search_round(kw("red", "old"), kw("old"), replies, channels, seeds, text, index)
+        assert rows(asked.seeds) == rows(got.seeds) and rows(asked.searched) == rows(got.searched)
     write_round(got, str(tmp_path), "1")
     assert spark.read.parquet(latest_version(spark, str(tmp_path / "seeds"))).count() == 3
 
