@@ -18,7 +18,7 @@ from chanlake.functions.nested import (
 )
 from chanlake.functions.text import is_numeric_id, numeric_id
 from chanlake.operators import filters, flatten, upsert
-from chanlake.operators.documents import refresh_channel_docs
+from chanlake.operators.documents import refresh_channel_docs, refresh_or_refuse
 from chanlake.operators.erase import erase_channels
 from chanlake.operators.search import merge_seeds_last_wins
 from chanlake.schemas import CHANNELS
@@ -406,6 +406,35 @@ SELECT k AS channel_id, CASE WHEN new THEN 'new' ELSE 'old' END AS stage,
 FROM c WHERE old OR new"""
 
 
+def refresh_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newer documents, some with a list where the stored one has access hashes, some no JSON."""
+    key = F.col("c_custkey")
+    customers = table(spark, sf_dir, "customer")
+
+    def docs(hashes) -> DataFrame:
+        chats = F.array(F.struct(key.alias("id"), hashes.alias("access_hashes")))
+        return customers.select(key.alias("channel_id"), F.to_json(F.struct(F.lit(1).alias("v"), chats.alias("chats"))).alias("doc"))
+
+    good, bad = docs(F.create_map(F.lit("bob"), key + 2)), docs(F.array(key))
+    old = docs(F.create_map(F.lit("ann"), key)).filter("channel_id % 3 > 0")
+    new = good.filter("channel_id % 4 > 1").unionByName(bad.filter("channel_id % 4 = 1"))
+    new = new.unionByName(good.filter("channel_id % 4 = 0").withColumn("doc", F.substring("doc", 1, 9)))
+    got = refresh_or_refuse(old, new)
+    at = lambda path: F.get_json_object("doc", path)
+    found = got.docs.select(
+        "channel_id", at("$.chats[0].access_hashes.ann").cast("bigint").alias("ann"),
+        at("$.chats[0].access_hashes.bob").cast("bigint").alias("bob"),
+    )
+    return found.join(got.refused.select("channel_id", "reason"), "channel_id", "full")
+
+
+REFUSED_SQL = """
+WITH c AS (SELECT c_custkey AS k, c_custkey % 3 > 0 AS old, c_custkey % 4 AS m FROM customer)
+SELECT k AS channel_id, CASE WHEN old THEN k END AS ann, CASE WHEN m > 1 THEN k + 2 END AS bob,
+  CASE WHEN m = 0 THEN 'not a JSON object'
+    WHEN m = 1 AND old THEN 'OBJECT and ARRAY at chats.id:*.access_hashes' END AS reason FROM c"""
+
+
 def erase(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of erased customers go."""
     gone = table(spark, sf_dir, "customer").filter("c_acctbal < 0").select(
@@ -537,6 +566,7 @@ ENTRIES: dict[str, Entry] = {
     "default_last_queried_at": (last_queried, QUERIED_SQL),
     "upsert_channels": (upsert_channels, UPSERT_CHANNELS_SQL),
     "refresh_channel_doc": (refresh_docs, REFRESH_SQL),
+    "refresh_refused": (refresh_refused, REFUSED_SQL),
     "erase_channel": (erase, ERASE_SQL),
     "numeric_ids": (numeric_ids, NUMERIC_SQL),
     "iso_timestamps": (iso_times, ISO_SQL),

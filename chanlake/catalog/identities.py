@@ -496,6 +496,35 @@ SELECT c_custkey, {hmac_sql('c_custkey')} AS chat_id, {hmac_sql('c_name')} AS ti
 FROM customer"""
 
 
+def anonymise_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents hashed before come again: what the map knows stays; a title of every third that
+    only looks like a pseudonym is hashed."""
+    raw = channel_docs(spark, sf_dir)
+    anon_map = P.collect_pseudonym_map(raw, A.channel_identities(), KEY)
+    fake = F.sha2(F.col("c_name"), 256)
+    named = raw.join(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey")
+    once = A.anonymise_channels(named, KEY)
+    titled = F.transform("chats", lambda c: F.when(c["id"] == F.col("full_chat.id"), c.withField("title", fake)).otherwise(c))
+    again = once.withColumn("chats", F.when(F.col("c_custkey") % 3 == 0, titled).otherwise(F.col("chats")))
+    docs = A.anonymise_channels(again, KEY, anon_map=anon_map)
+    chat = matching_chat(F.col("chats"), F.col("full_chat.id"))
+    return docs.select(
+        "c_custkey",
+        chat["id"].alias("chat_id"),
+        chat["title"].alias("title"),
+        chat["username"].alias("username"),
+        F.col("full_chat.linked_chat_id").alias("linked"),
+    )
+
+
+KNOWN_SQL = f"""
+SELECT c_custkey, {hmac_sql('c_custkey')} AS chat_id,
+  CASE WHEN c_custkey % 3 = 0 THEN {hmac_sql('sha256(c_name)')} ELSE {hmac_sql('c_name')} END AS title,
+  CASE WHEN c_custkey % 3 > 0 THEN {hmac_sql("'user' || c_custkey")} END AS username,
+  CASE WHEN c_custkey % 4 = 0 THEN {hmac_sql('c_custkey + 1000000')} END AS linked
+FROM customer"""
+
+
 def anonymise_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"),
@@ -538,6 +567,7 @@ ENTRIES: dict[str, Entry] = {
     "forward_origins": (forward_origins, ORIGINS_SQL),
     "anonymise_service": (anonymise_service, SERVICE_SQL),
     "anonymise_channel": (anonymise_channel, ANON_CHANNEL_SQL),
+    "anonymise_known": (anonymise_known, KNOWN_SQL),
     "anonymise_users": (anonymise_users, ANON_USERS_SQL),
     "write_anon_map": (write_anon_map, WRITE_MAP_SQL),
 }

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chanlake.functions.nested import let
+from chanlake.session import materialised
 
 _OBJECT = "map<string,variant>"
 _LIST = "array<variant>"
@@ -156,6 +159,88 @@ def refresh_document(
     return F.when(old.isNull(), new).when(new.isNull(), old).otherwise(let(body, old, new))
 
 
+def _clash(old: Column, new: Column, paths: list[list[str]], at: str = "") -> Column:
+    """The first path at which both documents hold something, of different types; else null."""
+    if [] in paths:
+        differ = lambda a, b: F.when(a != b, F.concat(a, F.lit(" and "), b, F.lit(f" at {at}")))
+        return let(differ, _kind(old), _kind(new))
+    found = []
+    for step in sorted({path[0] for path in paths}):
+        rest = [path[1:] for path in paths if path[0] == step]
+        place = f"{at}.{step}" if at else step
+        look = _clash_in_items if ":" in step else _clash_in_field
+        found.append(look(old, new, step, rest, place))
+    return F.coalesce(*found)
+
+
+def _clash_in_items(old: Column, new: Column, step: str, rest: list[list[str]], at: str) -> Column:
+    key, wanted = step.split(":", 1)
+
+    def ident(item: Column) -> Column:
+        return F.try_variant_get(item, f"$.{key}", "string")
+
+    def lists(old_items: Column, new_items: Column) -> Column:
+        def one(item: Column) -> Column:
+            twin = F.get(F.filter(old_items, lambda o: ident(o) == ident(item)), 0)
+            meant = F.lit(True) if wanted == ANY else ident(item) == wanted
+            return F.when(meant, let(lambda o, n: _clash(o, n, rest, at), twin, item))
+
+        return F.get(F.array_compact(F.transform(new_items, one)), 0)
+
+    return let(lists, _as_list(old), _as_list(new))
+
+
+def _clash_in_field(old: Column, new: Column, step: str, rest: list[list[str]], at: str) -> Column:
+    def maps(old_map: Column, new_map: Column) -> Column:
+        values = (F.try_element_at(m, F.lit(step)) for m in (old_map, new_map))
+        return let(lambda o, n: _clash(o, n, rest, at), *values)
+
+    return let(maps, _as_object(old), _as_object(new))
+
+
+@dataclass(frozen=True)
+class Refreshed:
+    """``docs`` as ``refresh_channel_docs`` gives them; ``refused`` are newer documents that could
+    not be merged, with a ``reason``: their channels keep the stored document, if there is one."""
+
+    docs: DataFrame
+    refused: DataFrame
+
+
+def refresh_or_refuse(
+    old: DataFrame,
+    new: DataFrame,
+    key: str = "channel_id",
+    doc: str = "doc",
+    paths: tuple[str, ...] = ("chats.id:*.access_hashes",),
+    list_entries_are_unique: bool = False,
+) -> Refreshed:
+    """As ``refresh_channel_docs``, but a document that is no JSON object, or whose type differs
+    from the stored one's at a preserved path, is set aside and does not end the job.
+
+    A stored document that is no JSON object is replaced. The merge runs once: both results are
+    projections of one stage, which lives as long as the block of ``scratch`` around it.
+    """
+    steps = [p.split(".") for p in paths]
+
+    def parsed(df: DataFrame, name: str) -> DataFrame:
+        value = F.try_parse_json(F.col(doc))
+        return df.select(key, F.col(doc).alias(f"{name}_text"), F.when(_kind(value) == "OBJECT", value).alias(name))
+
+    both = parsed(old, "_old").join(parsed(new, "_new"), key, "full")
+    broken = F.col("_new_text").isNotNull() & F.col("_new").isNull()
+    clash = _clash(F.col("_old"), F.col("_new"), steps) if steps else F.lit(None).cast("string")
+    reason = F.when(broken, "not a JSON object").otherwise(clash)
+    marked = both.withColumn("_reason", reason)
+    merged = refresh_document(F.col("_old"), F.col("_new"), list(paths), list_entries_are_unique)
+    kept = F.when(F.col("_reason").isNotNull(), F.col("_old")).otherwise(merged)
+    stage = materialised(
+        marked.select(key, F.to_json(kept).alias("_doc"), "_new_text", F.col("_reason").alias("reason")), "refreshed"
+    )
+    refused = stage.filter("reason IS NOT NULL").select(key, F.col("_new_text").alias(doc), "reason")
+    return Refreshed(stage.filter("_doc IS NOT NULL").select(key, F.col("_doc").alias(doc)), refused)
+
+
 def refresh_channel_docs(
     old: DataFrame,
     new: DataFrame,

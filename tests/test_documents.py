@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from chanlake.functions.nested import navigate_path, navigate_variant
-from chanlake.operators.documents import refresh_channel_docs, refresh_document
+from chanlake.operators.documents import refresh_channel_docs, refresh_document, refresh_or_refuse
+from tests.conftest import rows
 
 
 def merge(spark, old, new, paths=(), unique=False):
@@ -87,3 +88,31 @@ def test_paths(spark):
         assert typed.select(navigate_path(F.col("d"), path)).first()[0] == value
         found = F.try_variant_get(navigate_variant(F.col("d"), path), "$", "string")
         assert free.select(found).first()[0] == value
+
+
+def test_clashing_documents_are_refused(spark):
+    stored = {
+        "same": {"m": {"x": 1}}, "clash": {"m": {"x": 1}, "l": [1]}, "deep": {"c": [{"id": 1, "h": {"a": 1}}]},
+        "broken": {"m": {"x": 2}}, "gone": {"m": 5}, "null": {"m": {"x": 1}}, "scalar": {"m": {"x": 1}},
+    }
+    newer = {
+        "same": {"m": {"y": 2}}, "clash": {"m": {"y": 2}, "l": 7}, "deep": {"c": [{"id": 2, "h": 3}, {"id": 1, "h": [1]}]},
+        "null": {"m": None}, "new": {"m": [1]}, "scalar": 7,
+    }
+    docs = lambda d: [(k, json.dumps(v)) for k, v in d.items()]
+    old = spark.createDataFrame([*docs(stored), ("bad", "{")], "channel_id string, doc string")
+    new = spark.createDataFrame([*docs(newer), ("broken", '{"m":'), ("lost", "x"), ("bad", '{"m":1}')], old.schema)
+    got = refresh_or_refuse(old, new, paths=("m", "l", "c.id:*.h"))
+    kept = {r.channel_id: json.loads(r.doc) for r in got.docs.collect()}
+    assert kept == {
+        **{k: stored[k] for k in ("clash", "deep", "broken", "gone", "scalar", "null")},
+        "same": {"m": {"x": 1, "y": 2}}, "new": {"m": [1]}, "bad": {"m": 1},
+    }
+    assert {r.channel_id: (r.doc, r.reason) for r in got.refused.collect()} == {
+        "clash": (json.dumps(newer["clash"]), "ARRAY and SCALAR at l"),
+        "deep": (json.dumps(newer["deep"]), "OBJECT and ARRAY at c.id:*.h"),
+        "broken": ('{"m":', "not a JSON object"), "lost": ("x", "not a JSON object"),
+        "scalar": ("7", "not a JSON object"),
+    }
+    plain = refresh_or_refuse(old, new, paths=())
+    assert rows(plain.refused.select("channel_id")) == [("broken",), ("lost",), ("scalar",)]

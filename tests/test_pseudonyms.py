@@ -271,6 +271,15 @@ def test_anonymise_channels(spark):
     assert got.participants is None
     again = A.anonymise_channels(once, KEY).first()
     assert again.chats == got.chats and again.full_chat == got.full_chat
+    # With a map, what only looks like a pseudonym is hashed; what the map knows stays.
+    known = P.collect_pseudonym_map(df, A.channel_identities(), KEY).filter("original <> 'T'")
+    third = A.anonymise_channels(once.unionByName(df), KEY, anon_map=known).collect()
+    for row in third:
+        twice = row.chats[0].title == digest(digest("T"))
+        assert row.chats[0].title == digest(digest("T") if twice else "T")
+        assert [c.id for c in row.chats] == [digest(1), digest(2)] and row.full_chat == got.full_chat
+        assert row.chats[0].usernames[0].username == digest("v") and row.chats[1].title == digest("G")
+    assert len({row.chats[0].title for row in third}) == 2 and "_known" not in third[0]
 
 
 def test_message_schema_reads_ids_as_text():
