@@ -19,14 +19,10 @@ def scan_channel_texts(
         return spark.createDataFrame(
             [], "value string, file_path string, file_modified timestamp"
         )
-    reader = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", DOCUMENT_FILES)
-        .option("recursiveFileLookup", True)
-    )
+    reader = spark.read.option("pathGlobFilter", DOCUMENT_FILES).option("recursiveFileLookup", True)
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
-    return reader.text(path).select(
+    return reader.text(path, wholetext=True).select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_modification_time").alias("file_modified"),
