@@ -36,6 +36,31 @@ def missing_periods(expected: DataFrame, saved: DataFrame) -> DataFrame:
     return missing.unionByName(resumed)
 
 
+def periods_to_fetch(channels: DataFrame, cutoff: Column, saved: DataFrame) -> DataFrame:
+    """``resume_offsets`` of the ``missing_periods`` of channels with their ``date``: ``channel_id,
+    period, start, end, resumed, offset_id``.
+
+    What is saved of a channel, its periods' names and the last one's largest id, is joined with the
+    channel; the expected periods are made after that and never moved.
+    """
+    have = saved.groupBy("channel_id").agg(
+        F.collect_set("period").alias("_have"), F.max(F.struct("period", "id")).alias("_last")
+    )
+    named = F.transform(
+        month_bins(F.col("date"), cutoff),
+        lambda b: F.struct(period_name(b).alias("period"), b["start"].alias("start"), b["end"].alias("end")),
+    )
+    expected = channels.join(have, "channel_id", "left").select(
+        "channel_id", "_have", "_last", F.explode(named).alias("bin")
+    )
+    missing = ~F.coalesce(F.array_contains("_have", F.col("bin.period")), F.lit(False))
+    resumed = F.coalesce(F.col("bin.period") == F.col("_last.period"), F.lit(False))
+    offset = F.when(resumed, F.coalesce("_last.id", F.lit(0))).otherwise(0).cast("bigint")
+    return expected.filter(missing | resumed).select(
+        "channel_id", "bin.*", resumed.alias("resumed"), offset.alias("offset_id")
+    )
+
+
 def high_water_mark(messages: DataFrame, keys: tuple[str, ...] = ("channel_id",)) -> DataFrame:
     """The largest saved message id per key."""
     return messages.groupBy(*keys).agg(F.max("id").alias("last_id"))
