@@ -19,6 +19,7 @@ from chanlake.sources.messages import (
     repair_concatenated_json,
     with_source,
 )
+from chanlake.sources.packs import unpacked
 from chanlake.sources.tables import DEFAULT_BUCKETS
 from chanlake.streaming.intervals import first_readings
 
@@ -32,14 +33,17 @@ def read_message_stream(
     files_per_trigger: int | None = None,
     template: str = PATH_TEMPLATE,
     files: str = MESSAGE_FILES,
+    packs: bool = False,
 ) -> DataFrame:
-    """Decoded records of files as they appear below ``raw``, good and bad."""
+    """Decoded records of files as they appear below ``raw``, good and bad. With ``packs`` the
+    files hold many logs each."""
     reader = spark.readStream.option("pathGlobFilter", files).option("recursiveFileLookup", True)
     # by default the source skips files a week older than the newest one: an archive has those
     reader = reader.option("maxFileAge", MAX_FILE_AGE)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     lines = with_source(reader.text(raw))
+    lines = unpacked(lines) if packs else lines
     return with_channel_and_period(decode(repair_concatenated_json(lines)), template)
 
 
@@ -52,6 +56,7 @@ def stream_messages(
     files_per_trigger: int | None = None,
     template: str = PATH_TEMPLATE,
     files: str = MESSAGE_FILES,
+    packs: bool = False,
 ) -> StreamingQuery:
     """Upsert new files into the tables, batch by batch, until all present ones are in.
 
@@ -64,7 +69,7 @@ def stream_messages(
             merge_decoded(stage(batch, "stream-batch"), tables, buckets)
 
     return (
-        read_message_stream(spark, raw, files_per_trigger, template, files)
+        read_message_stream(spark, raw, files_per_trigger, template, files, packs)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
