@@ -13,7 +13,9 @@ share it with none of another document, are done:
 3. The runs that are left become suffixes, which are ordered by the place of the first digit and
    then by seven digits of 8 bytes; the last overlaps the one before.
 
-The groups of equal suffixes that remain are exactly the repeated windows.
+The groups of equal suffixes that remain are exactly the repeated windows. A bucket sends the spans
+they cover to parts of the documents, a block for each part: a row for each document and bucket would
+be many more, as a document has runs in the more buckets the more there are.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ WIDEST = 2 * LENGTH - GRAM  # bytes of the longest run
 BLOCK = 1 << 20  # bytes of text ordered into runs at once; longer texts take several blocks
 FLUSH = 1 << 23  # bytes of text whose runs leave a task together
 BUCKET_BYTES = 4 << 20  # mean bytes of text of a bucket
+PARTS, PART_BYTES = 64, 256 << 20  # least parts that spans are dealt to, and mean bytes of text of a part
 LAST_ID = np.iinfo(np.int64).max  # a null id comes after all others
 _CODEC = pa.Codec("zstd", 3)
 
@@ -237,6 +240,9 @@ _FOUND = pa.schema([("_id", pa.int64()), ("_key", pa.int64()), ("_from", pa.list
 _SENT = pa.schema([("bucket", pa.int32()), ("runs", pa.binary()), *_FOUND])
 
 
+_DEALT = pa.schema([("part", pa.int32()), ("spans", pa.binary())])
+
+
 def _found_columns(rows: list[tuple], ids: np.ndarray, keys: np.ndarray) -> list[pa.Array]:
     docs = np.array([doc for doc, _, _ in rows], np.int64)
     spans = [_lists([row[k] for row in rows]) for k in (1, 2)]
@@ -352,6 +358,55 @@ def repeated(runs: Runs) -> tuple[np.ndarray, np.ndarray]:
     return runs.doc[run[later]], runs.start[run[later]] + inside[later]
 
 
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers of ranges, one range after the other."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
+def _dealt(found: pa.Table, parts: int) -> pa.Table:
+    """Spans of documents as a block for each part that they are dealt to by document."""
+    found = found.combine_chunks()
+    ids, keys = (found.column(c).to_numpy().astype(np.int64) for c in ("_id", "_key"))
+    counts = pc.list_value_length(found.column("_from")).to_numpy().astype(np.int64)
+    low, high = (pc.list_flatten(found.column(c)).to_numpy().astype(np.int32) for c in ("_from", "_to"))
+    starts = np.cumsum(counts) - counts
+    part = (mix(ids.view(np.uint64) + mix(keys.view(np.uint64))) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    numbers, blocks = [], []
+    for first, last in zip(*groups(part[order]), strict=True) if len(order) else ():
+        own = order[first:last]
+        spans = _ranges(starts[own], counts[own])
+        arrays = [np.array([len(own), len(spans)]), ids[own], keys[own], counts[own], low[spans], high[spans]]
+        raw = b"".join(a.tobytes() for a in arrays)
+        numbers.append(part[own[0]])
+        blocks.append(len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True))
+    return pa.Table.from_arrays([pa.array(numbers, pa.int32()), pa.array(blocks, pa.binary())], schema=_DEALT)
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """The spans of each document of a part, from the blocks of all buckets."""
+    held = []
+    for block in (block.as_buffer() for chunk in table.column("spans").chunks for block in chunk):
+        raw = np.frombuffer(_CODEC.decompress(memoryview(block)[8:], int.from_bytes(block[:8], "little")), np.uint8)
+        docs, spans = (int(n) for n in raw[:16].view(np.int64))
+        bounds = np.cumsum([16, 8 * docs, 8 * docs, 8 * docs, 4 * spans, 4 * spans])
+        kinds = (np.int64, np.int64, np.int64, np.int32, np.int32)
+        held.append([raw[a:b].view(kind) for a, b, kind in zip(bounds, bounds[1:], kinds, strict=False)])
+    ids, keys, counts, low, high = (np.concatenate(arrays) for arrays in zip(*held, strict=True))
+    starts = np.cumsum(counts) - counts
+    order = np.lexsort((keys, ids))
+    ids, keys, spans, counts = ids[order], keys[order], _ranges(starts[order], counts[order]), counts[order]
+    first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])))
+    offsets = pa.array(np.append((np.cumsum(counts) - counts)[first], len(spans)), pa.int32())
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(v[spans])) for v in (low, high)]
+    return pa.Table.from_arrays([pa.array(ids[first]), pa.array(keys[first]), *lists], schema=_FOUND)
+
+
+def _receiver(parts: int):
+    """Buckets to blocks of spans for each part."""
+    return lambda table: _dealt(_receive(table), parts)
+
+
 def _receive(table: pa.Table) -> pa.Table:
     """All runs of a bucket to the spans of its repeated windows; spans known before pass through."""
     blocks = [block for chunk in table.column("runs").chunks for block in chunk]
@@ -412,14 +467,13 @@ def remove_repeats(docs: DataFrame, rounds: int = 1) -> DataFrame:
     keyed = carried(docs, *needed).withColumns({"_id": order, "_key": F.xxhash64(text, F.octet_length(text))})
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, int(size) // BUCKET_BYTES // rounds)
+    parts = max(PARTS, int(size) // PART_BYTES)
     found = []
     for turn in range(rounds):
         sent = keyed.select("_id", "_key", "text").mapInArrow(_sender(buckets, rounds, turn), _ddl(_SENT))
-        found.append(materialised(sent.groupBy("bucket").applyInArrow(_receive, _ddl(_FOUND)), "repeats"))
-    spans = reduce(DataFrame.unionAll, found).groupBy("_id", "_key").agg(
-        *(F.flatten(F.collect_list(c)).alias(c) for c in ("_from", "_to"))
-    )
-    rows = keyed.join(spans, ["_id", "_key"], "left").drop("_id", "_key")
+        found.append(materialised(sent.groupBy("bucket").applyInArrow(_receiver(parts), _ddl(_DEALT)), "repeats"))
+    spans = reduce(DataFrame.unionAll, found).groupBy("part").applyInArrow(_gathered, _ddl(_FOUND))
+    rows = keyed.join(spans.hint("merge"), ["_id", "_key"], "left").drop("_id", "_key")
     cut = rows.mapInArrow(_cut, extended(rows.drop("_from", "_to"), kept="binary", spans="array<struct<start: int, end: int>>"))
     return restored(cut, docs, *needed, added=("kept", "spans"))
 
