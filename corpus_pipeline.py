@@ -8,18 +8,18 @@ are kept unless their text is rejected. An empty input gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chanlake.llm import decontaminate, langid, mixing, neardup, sharding
 from chanlake.llm.catalog import fold, table
 from chanlake.llm.rows import numbered, row_digest
 from chanlake.llm.ship import ship
-from chanlake.session import configure, materialised
+from chanlake.session import configure, materialised, scratch
 
 NEAR = (80, 100)  # similarity of word shingles from which documents are near-duplicates
 NEAR_DISTANCE = 29  # of their signatures
-ROW = "_row_of_pipeline"
+ROW, DIGEST, LEFT = "_row_of_pipeline", "_digest_of_pipeline", "_left_of_pipeline"
 
 
 def _carried(docs: DataFrame, *needed: str) -> DataFrame:
@@ -46,12 +46,23 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates: one with the smallest id (null last), whether ids are
-    absent, come twice, or not."""
+    absent, come twice, or not.
+
+    Rows are numbered in a copy of their ids and texts that is deleted here. What goes is told by the
+    digest of id and text, with the number of rows that stay: equal rows are alike, and at most one stays.
+    """
     configure(ship(spark))
-    rows = numbered(docs, ROW)
-    found = neardup.near_duplicates(rows.select(ROW, "text"), ROW, threshold=NEAR, distance=NEAR_DISTANCE)
-    gone = found.filter(~F.col("kept")).select(ROW)  # grows with the corpus: never broadcast
-    return rows.join(gone.hint("merge"), ROW, "left_anti").select(*docs.columns)
+    digest = row_digest("doc_id", "text")
+    with scratch(spark):
+        rows = numbered(docs.select("doc_id", "text"), ROW).withColumn(DIGEST, digest)
+        found = neardup.near_duplicates(rows.select(ROW, "text"), ROW, threshold=NEAR, distance=NEAR_DISTANCE)
+        stay = rows.select(ROW, DIGEST).join(found.select(ROW, "kept").hint("merge"), ROW)
+        left = stay.groupBy(DIGEST).agg(F.count_if("kept").alias(LEFT), F.count_if(~F.col("kept")).alias("_gone"))
+        left = materialised(left.filter("_gone > 0").select(DIGEST, LEFT), "near-left", keep=True)
+    marked = docs.withColumn(DIGEST, digest).join(left.hint("merge"), DIGEST, "left")  # grows with the corpus: never broadcast
+    place = F.row_number().over(Window.partitionBy(DIGEST).orderBy(DIGEST))
+    staying = marked.withColumn("_place", place).filter(F.col(LEFT).isNull() | (F.col("_place") <= F.col(LEFT)))
+    return staying.select(*docs.columns)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
