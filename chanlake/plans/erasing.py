@@ -19,7 +19,7 @@ from chanlake.operators.locations import index_path
 from chanlake.session import discard, shared_dir, stages
 from chanlake.sources.manifest import list_files
 from chanlake.sources.paths import list_exists, with_path_params
-from chanlake.sources.segments import PLACE, marks_path
+from chanlake.sources.segments import PLACE, erase_from_packs, marks_path, segment_lines
 from chanlake.sources.tables import (
     BUCKET,
     DEFAULT_BUCKETS,
@@ -59,6 +59,8 @@ def _read(spark: SparkSession, holding: Holding, path: str | None = None) -> Dat
         rows = spark.read.json(path)
     elif holding.kind == "files":
         rows = list_files(spark, path, "*")
+    elif holding.kind == "packs":
+        rows = segment_lines(spark, path, packs=True)
     else:
         rows = spark.read.option("recursiveFileLookup", False).parquet(path)
     if not holding.template:
@@ -150,8 +152,14 @@ def _files(spark: SparkSession, holding: Holding, tombstones: DataFrame, buckets
         discard(spark, row.path)
 
 
+def _packs(spark: SparkSession, holding: Holding, tombstones: DataFrame, buckets: int) -> None:
+    """Packs of logs in channel buckets: those that hold erased channels are rewritten."""
+    erase_from_packs(spark, holding.path, tombstones, buckets)
+
+
 KINDS: dict[str, Callable[[SparkSession, Holding, DataFrame, int], None]] = {
     "values": _values, "buckets": _buckets, "rows": _rows, "rounds": _rounds, "versions": _versions, "json": _json, "files": _files,
+    "packs": _packs,
 }
 
 
@@ -165,11 +173,12 @@ def message_holdings(tables, template: str) -> list[Holding]:
     ]
 
 
-def stored_holdings(stored, tables, template: str, stored_template: str) -> list[Holding]:
+def stored_holdings(stored, tables, template: str, stored_template: str, packs: bool = False) -> list[Holding]:
     """What :class:`StoredLogs` names. The message table of ``tables`` tells who uses a page."""
+    logs = Holding("stored logs", "files", stored.messages, "path", stored_template)
     return [
         Holding("pages", "values", stored.cached_pages, by=(tables.messages, "media_id", "media_id")),
-        Holding("stored logs", "files", stored.messages, "path", stored_template),
+        Holding("stored logs", "packs", stored.messages) if packs else logs,
         Holding("marks", "rows", marks_path(stored.messages), PLACE[0]),
         Holding("channel maps", "buckets", stored.channel_maps),
         Holding("forwards", "buckets", stored.forwards),
