@@ -15,25 +15,30 @@ from chanlake.functions.pseudonym import key_blocks
 from chanlake.schemas import RAW_MESSAGE, Schema
 from chanlake.session import configure
 from chanlake.sources.messages import decode, valid
+from chanlake.sources.paths import stored_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 Entry = tuple[Query, str | None]
 
 # Key of the queries (a public test value; jobs take theirs from the caller).
 KEY = bytes(range(32)).hex()
+SPREAD_BYTES = 4 << 20  # of Parquet: some 200,000 events
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """A given table; its zone-less timestamps are read as UTC.
 
-    With ``spread`` a table in fewer files than there are cores is dealt to all of them,
-    for work that costs more per row than moving the row. Large tables are left alone.
+    With ``spread`` a table is dealt to all cores, and to a task for each ``SPREAD_BYTES`` at least,
+    for work that costs more per row than moving the row: what a task holds does not grow with the
+    table. A table in as many files is left alone.
     """
     configure(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread and len(df.inputFiles()) < cores:
-        df = df.repartition(cores)
+    if spread:
+        files = len(df.inputFiles())
+        parts = max(spark.sparkContext.defaultParallelism, -(-stored_bytes(spark, f"{sf_dir}/{name}.parquet") // SPREAD_BYTES))
+        if files < parts:
+            df = df.repartition(parts)
     moments = {
         c: F.col(c).cast("timestamp") for c, kind in df.dtypes if kind == "timestamp_ntz"
     }

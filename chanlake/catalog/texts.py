@@ -153,7 +153,7 @@ SELECT lang AS language, count(*) AS texts, count(*) FILTER (WHERE language = up
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
+    return table(spark, sf_dir, "part", spread=True).select(
         F.col("p_partkey").alias("id"),
         F.concat_ws(". ", "p_name", "p_brand", "p_type").alias("text"),
     )

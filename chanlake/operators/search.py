@@ -31,6 +31,18 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
 
 
+def _digest(phrase: Column) -> Column:
+    """128 bits of neighbouring words."""
+    return F.unhex(F.md5(F.array_join(phrase, " ")))
+
+
+def _phrases(tokens: Column, n: int) -> Column:
+    """Digests of each ``n`` neighbouring words."""
+    starts = F.sequence(F.lit(1), F.size(tokens) - (n - 1))
+    digests = F.transform(starts, lambda at: _digest(F.slice(tokens, at, F.lit(n))))
+    return F.when(F.size(tokens) >= n, digests).otherwise(F.array().cast("array<binary>"))
+
+
 def search_channels(
     channels: DataFrame,
     keywords: DataFrame,
@@ -40,23 +52,19 @@ def search_channels(
 ) -> DataFrame:
     """Each keyword with the channels that match it; only the first ``limit`` on request.
 
-    A channel matches when the keyword's words stand in its text one after the other.
-    Candidates come from an equality join on the keyword's longest word; the phrase is
-    then checked. A cut to ``limit`` happens in every task before the shuffle.
+    A channel matches when the keyword's words stand in its text one after the other: an equality
+    join on digests of as many neighbouring words as a keyword has. No text is copied for its words,
+    and no pair is made that does not match. The numbers of words that keywords have are looked up
+    first. A cut to ``limit`` happens in every task before the shuffle.
     """
     phrase = words(F.col("keyword"))
-    longest = F.array_max(F.transform(phrase, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
-    asked = keywords.select(
-        "keyword",
-        longest["w"].alias("_word"),
-        F.concat(F.lit(" "), F.array_join(phrase, " "), F.lit(" ")).alias("_phrase"),
-    ).distinct()
-    tokens = words(text)
+    asked = keywords.select("keyword", F.size(phrase).alias("_n"), _digest(phrase).alias("_phrase")).filter("_n > 0").distinct()
+    lengths = sorted(row[0] for row in asked.select("_n").distinct().collect())
     order_columns = order or [F.col("id").asc()]
-    indexed = channels.select(
-        "*", F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" ")).alias("_text")
-    ).select("*", F.explode(F.array_distinct(F.filter(F.split("_text", " "), lambda w: w != ""))).alias("_word"))
-    found = indexed.join(asked, "_word").filter(F.contains("_text", F.col("_phrase")))
+    tokens = channels.select("*", words(text).alias("_words"))
+    phrases = F.flatten(F.array(*(_phrases(F.col("_words"), n) for n in lengths))) if lengths else F.array(F.lit(b""))
+    indexed = tokens.select(*channels.columns, F.explode(F.array_distinct(phrases)).alias("_phrase"))
+    found = indexed.join(asked, "_phrase")
     if limit is None:
         return found.select("keyword", *channels.columns)
     window = Window.partitionBy("keyword").orderBy(*order_columns)

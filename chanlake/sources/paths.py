@@ -16,6 +16,13 @@ def list_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files in a folder."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
 def _segments(template: str, fixed: dict) -> tuple[str, list[str]]:
     """Literal and key segments of a ``{key}`` template as one pattern, and its free keys."""
     parts = re.split(r"\{(\w+)\}", template)
