@@ -2,7 +2,8 @@
 
 Ids of a channel's messages grow one by one, so those that were seen are few intervals, however
 many they are. A state is kept for each channel and block of a million ids: a channel with much of
-the traffic is many states, and a state has at most half a million intervals.
+the traffic is many states. Where ids have many gaps, so that the intervals would be more than a
+bitmap of the block, the state is that bitmap: no state has more than 16,384 numbers.
 """
 
 from __future__ import annotations
@@ -19,6 +20,9 @@ from pyspark.sql.types import StructType
 from chanlake.session import ship_package
 
 BLOCK_BITS = 20
+BLOCK = 1 << BLOCK_BITS
+WORDS = BLOCK // 64
+# Intervals, or the words of a bitmap as ``starts`` without ``ends``.
 STATE = "starts array<bigint>, ends array<bigint>"
 _MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
@@ -42,15 +46,58 @@ def with_ids(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return low[first], high[np.append(first[1:], len(low))[: len(first)] - 1]
 
 
+def one_of_each(batch: pd.DataFrame) -> pd.DataFrame:
+    """A row for each id; of several the first as text, whatever their order. Only these are sorted."""
+    several = batch["id"].duplicated(keep=False)
+    if not several.any():
+        return batch
+    chosen = batch[several].sort_values(["id", "row"]).drop_duplicates("id")
+    return pd.concat([batch[~several], chosen])
+
+
+def bitmap(starts: np.ndarray, ends: np.ndarray, first: int) -> np.ndarray:
+    """A flag for each id of the block that begins with ``first``: whether it lies in the intervals."""
+    steps = np.zeros(BLOCK + 1, np.int8)
+    steps[starts - first] += 1
+    steps[ends + 1 - first] -= 1
+    return np.cumsum(steps[:-1], dtype=np.int8).astype(bool)
+
+
+def intervals(seen: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """The intervals that ``bitmap`` gives these flags for."""
+    steps = np.diff(seen.astype(np.int8), prepend=0, append=0)
+    return np.flatnonzero(steps == 1) + first, np.flatnonzero(steps == -1) - 1 + first
+
+
+def state_of(starts: np.ndarray, ends: np.ndarray, first: int) -> tuple[list[int], list[int]]:
+    """What is stored for the intervals: them, or the words of their bitmap if these are fewer."""
+    if 2 * len(starts) <= WORDS:
+        return starts.tolist(), ends.tolist()
+    return np.packbits(bitmap(starts, ends, first), bitorder="little").view("<i8").tolist(), []
+
+
+def from_state(starts: list[int], ends: list[int], first: int) -> tuple[np.ndarray, np.ndarray]:
+    """The intervals of a stored state."""
+    stored = np.array(starts, "<i8")
+    if len(starts) == len(ends):
+        return stored.astype(np.int64), np.array(ends, np.int64)
+    return intervals(np.unpackbits(stored.view(np.uint8), bitorder="little"), first)
+
+
 def _keep_first(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    starts, ends = (np.array(v, np.int64) for v in (state.get if state.exists else ([], [])))
+    first = int(key[1]) << BLOCK_BITS
+    starts, ends = from_state(*(state.get if state.exists else ([], [])), first)
+    grown = False
     for batch in batches:
-        batch = batch.sort_values(["id", "row"]).drop_duplicates("id")  # a fixed choice among a batch's rows
+        batch = one_of_each(batch)
         ids = batch["id"].to_numpy(np.int64)
         fresh = unseen(ids, starts, ends)
-        starts, ends = with_ids(ids[fresh], starts, ends)
+        if fresh.any():
+            starts, ends = with_ids(ids[fresh], starts, ends)
+            grown = True
         yield batch.loc[fresh, ["row"]]
-    state.update((starts.tolist(), ends.tolist()))
+    if grown:  # messages that were all seen leave the state as it is stored
+        state.update(state_of(starts, ends, first))
 
 
 def first_readings(messages: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ import datetime as dt
 import random
 
 import numpy as np
+import pandas as pd
 
-from chanlake.streaming.intervals import unseen, with_ids
+from chanlake.streaming.intervals import from_state, one_of_each, state_of, unseen, with_ids
 from chanlake.streaming.messages import dedup_stream
 
 
@@ -32,6 +33,25 @@ def test_a_million_ids_in_order_are_one_interval():
     assert (starts.tolist(), ends.tolist()) == ([0], [999_999])
 
 
+def test_a_state_is_no_larger_than_a_bitmap():
+    none = np.zeros(0, np.int64)
+    for first in (-(1 << 20), 0, 5 << 20):
+        for ids in (none, first + np.arange(0, 1 << 20, 4), first + np.arange(1 << 20), first + np.array([0, 7, (1 << 20) - 1])):
+            given = with_ids(ids, none, none)
+            state = state_of(*given, first)
+            assert len(state[0]) + len(state[1]) <= 16_384
+            assert all(a.tolist() == b.tolist() for a, b in zip(from_state(*state, first), given, strict=True))
+    old = ([0, 8], [3, 9])  # as stored before there were bitmaps
+    assert [v.tolist() for v in from_state(*old, 0)] == [*old]
+
+
+def test_one_row_for_each_id_whatever_the_order():
+    batch = pd.DataFrame({"id": [5, 1, 5, 2, 1], "row": ["b", "z", "a", "c", "y"]})
+    for order in ([0, 1, 2, 3, 4], [4, 3, 2, 1, 0], [2, 0, 4, 1, 3]):
+        kept = one_of_each(batch.iloc[order])
+        assert sorted(zip(kept["id"], kept["row"], strict=True)) == [(1, "y"), (2, "c"), (5, "a")]
+
+
 def test_a_stream_equals_a_batch_over_restarts(spark, tmp_path):
     rng = random.Random(2)
     when = dt.datetime(2024, 1, 1, 0, 0, 0, 123456)
