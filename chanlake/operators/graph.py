@@ -120,7 +120,8 @@ def forward_sources(pairs: DataFrame, anon_map: DataFrame) -> tuple[DataFrame, D
     """Hashed forward sources with their originals, and the pairs no map row explains."""
     inverse = anon_map.groupBy("hash").agg(F.min("original").alias("original_id"))
     known = inverse.withColumnRenamed("hash", "source_id")
-    joined = materialised(pairs.join(known, "source_id", "left"), "sources")
+    # equal hashes side by side are stored once; apart, their 64 characters are stored for each pair
+    joined = materialised(pairs.join(known, "source_id", "left").sortWithinPartitions("source_id"), "sources")
     missing = F.col("original_id").isNull()
     return joined.filter(~missing), joined.filter(missing).select(*pairs.columns)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import heapq
 import random
+from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +53,18 @@ def test_neighbour_sets_of_any_size_are_one_set(spark, tmp_path):
     assert set(sets.pages().inputFiles()) == files
 
 
+def test_sources_are_staged_once_for_their_pairs(spark):
+    pairs = spark.range(240_000).coalesce(1).select(
+        F.concat(F.lit("c"), "id").alias("channel_id"), F.sha2((F.col("id") % 30_000).cast("string"), 256).alias("source_id")
+    )
+    known = spark.range(10).select(F.col("id").cast("string").alias("original"), F.sha2(F.col("id").cast("string"), 256).alias("hash"))
+    found, missing = G.forward_sources(pairs, known)
+    assert (found.count(), missing.count()) == (80, 239_920)
+    assert found.select("original_id").distinct().count() == 10
+    size = sum(Path(unquote(urlparse(f).path)).stat().st_size for f in found.inputFiles())
+    assert size < 240_000 * 32  # the hash of each pair takes 64
+
+
 def test_global_rank(spark):
     df = spark.range(500).select((F.col("id") * 37 % 500).alias("v"), F.lit(1).alias("c"))
     ranked = global_rank(df, ["c", "v"])
