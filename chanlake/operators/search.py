@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from chanlake.functions.text import matches_query
 
+# Keywords, and bytes of them, up to which every task gets them all.
+FEW_KEYWORDS, FEW_BYTES = 100_000, 4 << 20
+
 
 def content_type(kind: str) -> Column:
     """Predicate of a content type over flat messages; ``message`` is any."""
@@ -55,16 +58,20 @@ def search_channels(
     A channel matches when the keyword's words stand in its text one after the other: an equality
     join on digests of as many neighbouring words as a keyword has. No text is copied for its words,
     and no pair is made that does not match. The numbers of words that keywords have are looked up
-    first. A cut to ``limit`` happens in every task before the shuffle.
+    first, with how many keywords there are: few go to every task, and many meet the phrases in a
+    shuffle. Phrases are never broadcast, as Spark's estimate knows nothing of how many a text has.
+    A cut to ``limit`` happens in every task before the shuffle.
     """
     phrase = words(F.col("keyword"))
     asked = keywords.select("keyword", F.size(phrase).alias("_n"), _digest(phrase).alias("_phrase")).filter("_n > 0").distinct()
-    lengths = sorted(row[0] for row in asked.select("_n").distinct().collect())
+    counts = asked.groupBy("_n").agg(F.count("*").alias("n"), F.sum(F.octet_length("keyword")).alias("bytes")).collect()
+    lengths = sorted(row["_n"] for row in counts)
+    few = sum(row["n"] for row in counts) <= FEW_KEYWORDS and sum(row["bytes"] for row in counts) <= FEW_BYTES
     order_columns = order or [F.col("id").asc()]
     tokens = channels.select("*", words(text).alias("_words"))
     phrases = F.flatten(F.array(*(_phrases(F.col("_words"), n) for n in lengths))) if lengths else F.array(F.lit(b""))
     indexed = tokens.select(*channels.columns, F.explode(F.array_distinct(phrases)).alias("_phrase"))
-    found = indexed.join(asked, "_phrase")
+    found = indexed.join(F.broadcast(asked) if few else asked.hint("merge"), "_phrase")
     if limit is None:
         return found.select("keyword", *channels.columns)
     window = Window.partitionBy("keyword").orderBy(*order_columns)

@@ -34,6 +34,26 @@ def test_no_text_is_copied_and_no_other_pair_is_made(spark):
     assert found.count() == 100 and "contains(" not in plan
 
 
+def test_phrases_of_channels_are_never_broadcast(spark, tmp_path, monkeypatch):
+    """Spark takes them for the smaller side, whose estimate leaves out how many phrases a text has."""
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(200)), lambda i: F.concat(F.lit("w"), F.pmod(F.col("id") * i, F.lit(3000)))))
+    spark.range(300).withColumn("text", text).write.parquet(str(tmp_path / "channels"))
+    spark.range(3000).select(F.concat(F.lit("W"), "id").alias("keyword"), F.lit("x" * 40).alias("note")).write.parquet(str(tmp_path / "keywords"))
+    channels, keywords = spark.read.parquet(str(tmp_path / "channels")), spark.read.parquet(str(tmp_path / "keywords"))
+
+    def searched():
+        found = search_channels(channels, keywords.unionByName(keywords).distinct(), F.col("text")).select("keyword", "id")
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        return rows(found), found._jdf.queryExecution().executedPlan().toString(), plan
+
+    few, plan, _ = searched()
+    assert len(few) == 300 * 200 - sum(200 - len({k * i % 3000 for i in range(1, 201)}) for k in range(300))
+    assert "BroadcastHashJoin" in plan and "BuildLeft" not in plan
+    monkeypatch.setattr("chanlake.operators.search.FEW_KEYWORDS", 2999, raising=False)
+    many, plan, hinted = searched()
+    assert many == few and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, hinted
+
+
 def test_tables_are_dealt_in_proportion_to_their_size(spark, tmp_path, monkeypatch):
     spark.range(20000).write.parquet(str(tmp_path / "events.parquet"))
     monkeypatch.setattr(base, "SPREAD_BYTES", 2000)
